@@ -9,7 +9,10 @@ from riskloom import schema
 # Quotes inside a quoted field are doubled, which is what spreadsheets and pandas write. Spark's
 # own default is a backslash, and with it a doubled quote shifts all later fields.
 QUOTING = {"escape": '"'}
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
 
 
 def message_text(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -48,10 +51,7 @@ def csv_record(df: DataFrame) -> Column:
         else F.col(field.name)
         for field in df.schema.fields
     ]
-    return F.to_csv(
-        F.struct(*columns),
-        {**QUOTING, "timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT},
-    )
+    return F.to_csv(F.struct(*columns), {**QUOTING, **TIME_FORMATS})
 
 
 def to_messages(df: DataFrame) -> DataFrame:

@@ -116,10 +116,11 @@ def train_severity(accidents: DataFrame, key: str | None = "ID", **settings) ->
     sample_by = uniform_of(F.col(key), seed=SAMPLE_SEED) if key else None
     split_by = uniform_of(F.col(key), seed=SPLIT_SEED) if key else None
     sampled = stratified_sample(labelled, uniform=sample_by)
-    train, test = split(sampled, uniform=split_by)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # Fitting and measuring read the sample many times and the table once.
+    sampled = sampled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train, test = split(sampled, uniform=split_by)
         model = fit(train, **settings)
+        return Trained(model, area_under_roc(model.transform(test)))
     finally:
-        train.unpersist()
-    return Trained(model, area_under_roc(model.transform(test)))
+        sampled.unpersist()

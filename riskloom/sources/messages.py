@@ -38,10 +38,6 @@ def file_messages(
     return reader.load(path)
 
 
-def table_stream(
-    spark: SparkSession, folder: str, ddl: str, pattern: str = "*.parquet"
-) -> DataFrame:
-    """Parquet files of a folder as a stream of typed rows."""
-    return (
-        spark.readStream.schema(ddl).option("pathGlobFilter", pattern).parquet(folder)
-    )
+def table_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Parquet files under a folder or a glob pattern as a stream of typed rows."""
+    return spark.readStream.schema(ddl).parquet(path)

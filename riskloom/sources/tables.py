@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom import schema
-from riskloom.operators.parsing import QUOTING, TIME_FORMAT
+from riskloom.operators.parsing import QUOTING, TIME_FORMATS
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
@@ -44,13 +44,7 @@ def read_accidents(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """A CSV table with a header in every part file and doubled quotes."""
-    df.write.mode(mode).csv(
-        path,
-        header=True,
-        timestampFormat=TIME_FORMAT,
-        timestampNTZFormat=TIME_FORMAT,
-        **QUOTING,
-    )
+    df.write.mode(mode).options(**QUOTING, **TIME_FORMATS).csv(path, header=True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
