@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import schema
 
@@ -45,13 +45,10 @@ def csv_record(df: DataFrame) -> Column:
     Line breaks inside a text become spaces: a message holds exactly one record and readers
     split files at line ends.
     """
-    columns = [
-        F.regexp_replace(field.name, r"\r\n|\r|\n", " ").alias(field.name)
-        if isinstance(field.dataType, T.StringType)
-        else F.col(field.name)
-        for field in df.schema.fields
-    ]
-    return F.to_csv(F.struct(*columns), {**QUOTING, **TIME_FORMATS})
+    record = F.to_csv(F.struct(*df.columns), {**QUOTING, **TIME_FORMATS})
+    for line_break in ("\r\n", "\r", "\n"):
+        record = F.replace(record, F.lit(line_break), F.lit(" "))
+    return record
 
 
 def to_messages(df: DataFrame) -> DataFrame:

@@ -111,13 +111,19 @@ def train_severity(accidents: DataFrame, key: str | None = "ID", **settings) ->
     inputs = settings.get("inputs", schema.FEATURE_INPUTS)
     categories = settings.get("categories", schema.CATEGORY_COLUMNS)
     plain = [name for name in inputs if name.removesuffix("Indexed") not in categories]
-    needed = dict.fromkeys([*([key] if key else []), *plain, *categories])
-    labelled = with_label(accidents).select("label", *needed)
+    needed = dict.fromkeys([*([key] if key else []), "label", *plain, *categories])
+    labelled = with_label(accidents).select(*needed)
     sample_by = uniform_of(F.col(key), seed=SAMPLE_SEED) if key else None
     split_by = uniform_of(F.col(key), seed=SPLIT_SEED) if key else None
     sampled = stratified_sample(labelled, uniform=sample_by)
-    # Fitting and measuring read the sample many times and the table once.
-    sampled = sampled.persist(StorageLevel.MEMORY_AND_DISK)
+    # Boosting goes over the sample hundreds of times: spread it evenly once, whatever files it
+    # comes from and however the strata lie in them, in an order that only the rows decide.
+    partitions = int(accidents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sampled = (
+        sampled.repartition(partitions, *sampled.columns)
+        .sortWithinPartitions(*sampled.columns)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
         train, test = split(sampled, uniform=split_by)
         model = fit(train, **settings)
