@@ -102,6 +102,17 @@ def _top(key: str, rows: str) -> str:
         ORDER BY Avg_Probability DESC, {key} LIMIT 15"""
 
 
+# The events but for those of the first third whose window had ended, less the delay, when the
+# second third was through.
+_IN_TIME = f"""
+    SELECT m.* FROM ({MEASURED}) m CROSS JOIN (
+        SELECT lo + to_microseconds(third) AS t1, lo + to_microseconds(2 * third) AS t2
+        FROM (SELECT min(ts) AS lo, (epoch_us(max(ts)) - epoch_us(min(ts))) // 3 AS third
+              FROM events)) t
+    WHERE ts >= t1 OR time_bucket(INTERVAL 60 MINUTE, ts) + INTERVAL 60 MINUTE > (
+        SELECT date_trunc('millisecond', max(e.ts)) FROM events e WHERE e.ts < t2)
+        - INTERVAL 13 DAY"""
+
 _ACCIDENT_TEXT = ACCIDENTS.replace("chr(10)", "' '")
 _UNIT_COLUMNS = ", ".join(schema.UNIT_COLUMNS.values())
 _READABLE_END = "CASE WHEN Severity < 3 THEN End_Time END"
@@ -122,6 +133,8 @@ ORACLES = {
         }) AS skipped_windows FROM ({_accident_windows(10, 10)})""",
     "stream_tumbling": _event_windows(60, 60, delay=60),
     "stream_sliding": _event_windows(60, 30, delay=60),
+    "stream_restart": _event_windows(60, 60, delay=60),
+    "late_rows": _event_windows(60, 60, _IN_TIME, delay=13 * 24 * 60),
     "message_windows": _accident_windows(360, 60, delay=60),
     "csv_parse": "SELECT * FROM events",
     "csv_shapes": """

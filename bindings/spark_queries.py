@@ -145,6 +145,49 @@ def message_windows(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(use_utc(spark).read.schema(schema.WINDOW_FEATURES_DDL).json(path))
 
 
+def _stream_in_parts(spark: SparkSession, parts: list[DataFrame], delay: str) -> DataFrame:
+    """Send one part of the events after the other; every part is a run of its own, begun anew
+    from the checkpoint of the last."""
+    source, target = fresh_folder(spark, "parts"), fresh_folder(spark, "part-windows")
+    checkpoint = fresh_folder(spark, "part-checkpoint")
+    for part in parts:
+        replay_to_files(part, source, ["ts", "event_id"], REPLAY_FILES, mode="append")
+        lines = messages.file_messages(stream_session(spark), source)
+        ddl = EVENTS_DDL.replace("TIMESTAMP_NTZ", "TIMESTAMP")
+        rows = parsing.parse_csv(parsing.message_text(lines), ddl).selectExpr(
+            *stand_ins.expressions(stand_ins.MEASURED_EVENTS)
+        )
+        features = windows.window_features(rows, TUMBLING, EVENT_MEASURES, "ts", delay)
+        append_files(
+            _plain_times(features), target, checkpoint, "parquet", available_now=True
+        ).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def _thirds(events: DataFrame) -> list[DataFrame]:
+    """The events of the first, second and last third of the time they cover."""
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    third = (high - low) // 3
+    first, second = low + third, low + 2 * third
+    time = F.col("ts")
+    return [
+        events.where(time < first),
+        events.where((time >= first) & (time < second)),
+        events.where(time >= second),
+    ]
+
+
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs in the order of time: nothing is lost or repeated at a restart."""
+    return _stream_in_parts(spark, _thirds(_table(spark, folder, "events")), "1 hour")
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The second third comes first; of the first third only what the delay still allows counts."""
+    early, middle, last = _thirds(_table(spark, folder, "events"))
+    return _stream_in_parts(spark, [middle, early, last], "13 days")
+
+
 # --- Parsing, cleaning, replay --------------------------------------------------------------
 
 
@@ -263,8 +306,7 @@ def random_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def category_index(spark: SparkSession, folder: str) -> DataFrame:
     rows = accidents(spark, folder).select("ID", "Weather_Condition", "Wind_Direction")
-    indexer = training.category_indexer(["Weather_Condition", "Wind_Direction"])
-    return indexer.fit(rows).transform(rows)
+    return training.fit_categories(rows, ["Weather_Condition", "Wind_Direction"]).transform(rows)
 
 
 def assembled_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -405,6 +447,8 @@ QUERIES: dict[str, Query] = {
     "incomplete_windows": incomplete_windows,
     "stream_tumbling": _stream_windows(TUMBLING),
     "stream_sliding": _stream_windows(SLIDING),
+    "stream_restart": stream_restart,
+    "late_rows": late_rows,
     "message_windows": message_windows,
     "csv_parse": csv_parse,
     "csv_shapes": csv_shapes,

@@ -47,7 +47,16 @@ def arguments() -> argparse.ArgumentParser:
     train = commands.add_parser("train", help="train the severity classifier")
     train.add_argument("--source", default=CLEANED_FILE)
     train.add_argument("--model", default=MODEL)
-    train.add_argument("--key", default="ID", help="column that decides sample and split")
+    train.add_argument(
+        "--key", nargs="+", default=["ID"], help="columns that decide sample and split"
+    )
+
+    for reader in (clean, replay, train):
+        reader.add_argument(
+            "--one-line-records",
+            action="store_true",
+            help="no record of the CSV has line breaks, so large files may be read in pieces",
+        )
 
     score = commands.add_parser("score", help="score a message stream per window")
     score.add_argument("kind", help="tumbling or sliding")
@@ -70,15 +79,18 @@ def arguments() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "clean":
-        clean_file(spark, args.source, args.target, args.drop_nulls)
+        clean_file(
+            spark, args.source, args.target, args.drop_nulls, not args.one_line_records
+        )
     elif args.command == "replay":
-        table = read_accidents(spark, args.source)
+        table = read_accidents(spark, args.source, not args.one_line_records)
         if args.files:
             replay_to_files(table, args.files, ["Start_Time", "ID"], args.slices)
         else:
             replay_to_topic(table, args.servers, args.topic)
     elif args.command == "train":
-        trained = train_severity(read_accidents(spark, args.source), args.key)
+        table = read_accidents(spark, args.source, not args.one_line_records)
+        trained = train_severity(table, args.key)
         save_model(trained.model, args.model)
         print(f"area under ROC: {trained.area_under_roc}")
     elif args.command == "score":

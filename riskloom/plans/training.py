@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import schema
@@ -72,6 +72,14 @@ def severity_pipeline(
     return Pipeline(stages=[category_indexer(categories), feature_assembler(inputs), trees])
 
 
+def fit_categories(
+    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS, bins: int = BINS
+) -> StringIndexerModel:
+    """The index of each category, for columns known to be categories."""
+    check_categories(df, columns, bins)
+    return category_indexer(columns).fit(df)
+
+
 def check_categories(df: DataFrame, categories: Sequence[str], bins: int) -> None:
     """Refuse categories with more values than the trees have bins, before fitting anything.
 
@@ -101,20 +109,23 @@ def area_under_roc(
     ).evaluate(predictions)
 
 
-def train_severity(accidents: DataFrame, key: str | None = "ID", **settings) -> Trained:
+def train_severity(
+    accidents: DataFrame, key: Sequence[str] | None = ("ID",), **settings
+) -> Trained:
     """Label, sample, split, fit, and measure on the held-out part.
 
-    With a ``key`` column the sample and the split follow the key; without one Spark's samplers
-    draw by partition. Sampling comes before the split, so the measure is for the sampled mix.
+    With ``key`` columns, which have to tell rows apart, the sample and the split follow the key;
+    without them Spark's samplers draw by partition. Sampling comes before the split, so the measure is for the sampled mix.
     """
     shared_folder(accidents.sparkSession)  # boosting cuts its lineage there
     inputs = settings.get("inputs", schema.FEATURE_INPUTS)
     categories = settings.get("categories", schema.CATEGORY_COLUMNS)
     plain = [name for name in inputs if name.removesuffix("Indexed") not in categories]
-    needed = dict.fromkeys([*([key] if key else []), "label", *plain, *categories])
+    needed = dict.fromkeys([*(key or []), "label", *plain, *categories])
     labelled = with_label(accidents).select(*needed)
-    sample_by = uniform_of(F.col(key), seed=SAMPLE_SEED) if key else None
-    split_by = uniform_of(F.col(key), seed=SPLIT_SEED) if key else None
+    keys = [F.col(name) for name in key or []]
+    sample_by = uniform_of(*keys, seed=SAMPLE_SEED) if key else None
+    split_by = uniform_of(*keys, seed=SPLIT_SEED) if key else None
     sampled = stratified_sample(labelled, uniform=sample_by)
     # Boosting goes over the sample hundreds of times: spread it evenly once, whatever files it
     # comes from and however the strata lie in them, in an order that only the rows decide.
