@@ -128,39 +128,40 @@ def _table_windows(
         rows = rows.select(time, *names, F.inline(F.array(*slots)))
         keys = ["_slot", "_value"]
 
-    def only_first(column: str) -> Column:
-        return F.when(F.col("_slot") == 0, F.col(column)) if keys else F.col(column)
-
+    first = "FILTER (WHERE _slot = 0)" if keys else ""
     pane = window.pane()
     grouping = F.window(time, pane) if pane else window.over(time)
     parts = rows.groupBy(grouping.alias("window"), *keys).agg(
-        F.count("*").alias("_rows"),
-        *[F.sum(only_first(name)).alias(f"_sum_{name}") for name in names],
-        *[F.count(only_first(name)).alias(f"_count_{name}") for name in names],
+        F.expr("count(*) AS _rows"),
+        *[F.expr(f"sum(`{name}`) {first} AS `_sum_{name}`") for name in names],
+        *[F.expr(f"count(`{name}`) {first} AS `_count_{name}`") for name in names],
     )
-    totals = ["_rows", *[f"_{part}_{name}" for name in names for part in ("sum", "count")]]
 
     if window.slide and pane:
         # All boundaries of the windows are pane boundaries, so a pane lies in the windows of its
         # start. Panes are few next to rows: the copies per window are made after the scan.
+        totals = ["_rows", *[f"_{part}_{name}" for name in names for part in ("sum", "count")]]
         parts = (
             parts.select(F.col("window.start").alias("_pane"), *keys, *totals)
             .groupBy(window.over("_pane").alias("window"), *keys)
-            .agg(*[F.sum(name).alias(name) for name in totals])
+            .agg(*[F.expr(f"sum(`{name}`) AS `{name}`") for name in totals])
         )
 
-    def most_frequent(slot: int) -> Column:
-        entry = F.struct((-F.col("_rows")).alias("order"), F.col("_value").alias("value"))
-        here = (F.col("_slot") == slot) & F.col("_value").isNotNull()
-        return F.min(F.when(here, entry))["value"]
-
+    # The category with the most rows has the lowest negated count; the value decides on a tie.
+    most_frequent = (
+        "(min(struct(-_rows AS place, _value AS value))"
+        " FILTER (WHERE _slot = {slot} AND _value IS NOT NULL)).value AS `{name}`"
+    )
     return parts.groupBy("window").agg(
-        F.sum(only_first("_rows")).alias(measures.count),
+        F.expr(f"sum(_rows) {first} AS `{measures.count}`"),
         *[
-            F.try_divide(F.sum(f"_sum_{name}"), F.sum(f"_count_{name}")).alias(name)
+            F.expr(f"try_divide(sum(`_sum_{name}`), sum(`_count_{name}`)) AS `{name}`")
             for name in names
         ],
-        *[most_frequent(slot).alias(name) for slot, name in enumerate(measures.modes)],
+        *[
+            F.expr(most_frequent.format(slot=slot, name=name))
+            for slot, name in enumerate(measures.modes)
+        ],
     )
 
 
