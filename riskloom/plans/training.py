@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom import schema
 from riskloom.functions.columns import label_from_severity, uniform_of
 from riskloom.operators.sampling import SAMPLE_SEED, SPLIT_SEED, split, stratified_sample
-from riskloom.session import shared_folder
+from riskloom.session import fresh_folder, shared_folder
 
 # --- Fixed values: the classifier's settings. ---
 ITERATIONS = 30
@@ -110,14 +109,21 @@ def area_under_roc(
 
 
 def train_severity(
-    accidents: DataFrame, key: Sequence[str] | None = ("ID",), **settings
+    accidents: DataFrame,
+    key: Sequence[str] | None = ("ID",),
+    sample_path: str | None = None,
+    **settings,
 ) -> Trained:
     """Label, sample, split, fit, and measure on the held-out part.
 
     With ``key`` columns, which have to tell rows apart, the sample and the split follow the key;
-    without them Spark's samplers draw by partition. Sampling comes before the split, so the measure is for the sampled mix.
+    without them Spark's samplers draw by partition. Sampling comes before the split, so the
+    measure is for the sampled mix.
+
+    The sample stays under ``sample_path``, by default a new folder in the shared one.
     """
-    shared_folder(accidents.sparkSession)  # boosting cuts its lineage there
+    spark = accidents.sparkSession
+    shared_folder(spark)  # boosting cuts its lineage there
     inputs = settings.get("inputs", schema.FEATURE_INPUTS)
     categories = settings.get("categories", schema.CATEGORY_COLUMNS)
     plain = [name for name in inputs if name.removesuffix("Indexed") not in categories]
@@ -127,17 +133,14 @@ def train_severity(
     sample_by = uniform_of(*keys, seed=SAMPLE_SEED) if key else None
     split_by = uniform_of(*keys, seed=SPLIT_SEED) if key else None
     sampled = stratified_sample(labelled, uniform=sample_by)
-    # Boosting goes over the sample hundreds of times: spread it evenly once, whatever files it
-    # comes from and however the strata lie in them, in an order that only the rows decide.
-    partitions = int(accidents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sampled = (
-        sampled.repartition(partitions, *sampled.columns)
-        .sortWithinPartitions(*sampled.columns)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        train, test = split(sampled, uniform=split_by)
-        model = fit(train, **settings)
-        return Trained(model, area_under_roc(model.transform(test)))
-    finally:
-        sampled.unpersist()
+    # Boosting goes over the sample hundreds of times. It is written as a table of its own, so an
+    # executor lost on the way costs a read of its part and not of the source; spread evenly,
+    # whatever files it comes from and however the strata lie in them; and in as many files as
+    # its size calls for. All columns are hashed, so a key that many rows share does not draw
+    # them together.
+    columns = sampled.columns
+    path = sample_path or fresh_folder(spark, "sample")
+    sampled.repartition(*columns).sortWithinPartitions(*columns).write.parquet(path)
+    train, test = split(spark.read.parquet(path), uniform=split_by)
+    model = fit(train, **settings)
+    return Trained(model, area_under_roc(model.transform(test)))
