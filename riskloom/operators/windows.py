@@ -1,8 +1,8 @@
 """Event-time window features: means, flag rates, most frequent categories and a count.
 
-One call serves tables and streams. A stream keeps one aggregate per open window behind a
-watermark. A table needs no watermark and is aggregated in narrower steps, which bounds what any
-one task holds and reads a sliding window's rows once instead of once per window.
+One call serves tables and streams, by the same aggregates. A stream sets a watermark and keeps
+its open windows as state. A table's sliding windows are put together from panes, so that its
+rows are aggregated once instead of once per window.
 """
 
 from __future__ import annotations
@@ -80,9 +80,12 @@ def window_features(
         *[F.col(name).cast("string").alias(name) for name in measures.modes],
     )
     if df.isStreaming:
-        windows = _stream_windows(rows, window, measures, time, delay or window.duration)
+        # Late rows are judged by their windows, so they go into windows at once and not by pane.
+        rows = rows.withWatermark(time, delay or window.duration)
+        pane = None
     else:
-        windows = _table_windows(rows, window, measures, time)
+        pane = window.pane() if window.slide else None
+    windows = _aggregate(rows, window, measures, time, pane)
     return windows.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -92,31 +95,18 @@ def window_features(
     )
 
 
-def _stream_windows(
-    rows: DataFrame, window: EventWindow, measures: Measures, time: str, delay: str
+def _aggregate(
+    rows: DataFrame, window: EventWindow, measures: Measures, time: str, pane: str | None
 ) -> DataFrame:
-    # State per open window: sums, counts and one counter map per category, so it grows with the
-    # distinct categories of a window and not with its rows.
-    return (
-        rows.withWatermark(time, delay)
-        .groupBy(window.over(time).alias("window"))
-        .agg(
-            F.count("*").alias(measures.count),
-            *[F.avg(name).alias(name) for name in measures.averaged],
-            *[F.mode(name, True).alias(name) for name in measures.modes],
-        )
-    )
-
-
-def _table_windows(
-    rows: DataFrame, window: EventWindow, measures: Measures, time: str
-) -> DataFrame:
-    """Count categories per pane, roll panes up to windows, then reduce each window to one row.
+    """Count the values of each category per window, then reduce each window to one row.
 
     Every row is repeated once per category and carries its measures only in the first copy
     (``_slot`` 0), so one scan feeds all aggregates. Grouping by category value too means that no
     buffer holds a window's whole set of categories, and a window with most of the rows is spread
-    over as many groups as it has values, after partial aggregation on the map side.
+    over as many groups as it has values, after partial aggregation on the map side. In a stream
+    both steps are stateful, and a closed window passes through them in one micro-batch.
+
+    With a ``pane`` the first step is by pane and its results are rolled up to windows.
     """
     names = measures.averaged
     keys = []
@@ -129,15 +119,13 @@ def _table_windows(
         keys = ["_slot", "_value"]
 
     first = "FILTER (WHERE _slot = 0)" if keys else ""
-    pane = window.pane()
     grouping = F.window(time, pane) if pane else window.over(time)
     parts = rows.groupBy(grouping.alias("window"), *keys).agg(
         F.expr("count(*) AS _rows"),
         *[F.expr(f"sum(`{name}`) {first} AS `_sum_{name}`") for name in names],
         *[F.expr(f"count(`{name}`) {first} AS `_count_{name}`") for name in names],
     )
-
-    if window.slide and pane:
+    if pane:
         # All boundaries of the windows are pane boundaries, so a pane lies in the windows of its
         # start. Panes are few next to rows: the copies per window are made after the scan.
         totals = ["_rows", *[f"_{part}_{name}" for name in names for part in ("sum", "count")]]
@@ -146,6 +134,12 @@ def _table_windows(
             .groupBy(window.over("_pane").alias("window"), *keys)
             .agg(*[F.expr(f"sum(`{name}`) AS `{name}`") for name in totals])
         )
+    if not keys:
+        return parts.select(
+            "window",
+            F.expr(f"_rows AS `{measures.count}`"),
+            *[F.expr(f"try_divide(`_sum_{name}`, `_count_{name}`) AS `{name}`") for name in names],
+        )
 
     # The category with the most rows has the lowest negated count; the value decides on a tie.
     most_frequent = (

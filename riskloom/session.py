@@ -15,10 +15,6 @@ STREAM_SETTINGS = {
     ),
     # A commit uploads what changed and not the whole state.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Windows a task may aggregate by hash before it sorts its rows instead. A stream that starts
-    # far behind has more open windows per batch than the default of 128, and sorting all its
-    # rows took up to three times as long; a window's buffers are a few kilobytes.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

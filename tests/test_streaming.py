@@ -184,3 +184,28 @@ def test_rows_at_the_window_edge(spark):
     df = spark.createDataFrame([(at("2024-01-01 01:00:00"), 1.0, "a")], DDL)
     (row,) = plain_times(window_features(df, HOUR, MEASURES, "ts")).collect()
     assert row.window_start == at("2024-01-01 01:00:00")
+
+
+def test_state_rows_stay_small_for_a_category_without_bound(spark, tmp_path):
+    """A window's categories are state rows of their own; the reduced rows are not kept."""
+    stream = Stream(spark, tmp_path)
+    query = stream.send(*[f"2024-01-01 00:10:00,1.0,c{number:04}" for number in range(2000)])
+    reduce, count = query.recentProgress[0]["stateOperators"]
+    assert (reduce["numRowsTotal"], count["numRowsTotal"]) == (0, 2000)
+    stream.send("2024-01-01 00:20:00,1.0,c0007", "2024-01-01 05:00:00,1.0,a")
+    assert stream.windows() == {"00:00": (2001, 1.0, "c0007")}
+
+
+def test_stream_without_categories_keeps_one_state(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("2024-01-01 00:10:00,1.0,a\n2024-01-01 05:00:00,1.0,a\n")
+    features = message_features(
+        file_messages(stream_session(spark), str(tmp_path / "in")),
+        HOUR, DDL, Measures(means=["v"], count="n"), "ts",
+    )
+    query = append_files(
+        features, str(tmp_path / "out"), str(tmp_path / "checkpoint"), available_now=True
+    )
+    query.awaitTermination()
+    assert {len(progress["stateOperators"]) for progress in query.recentProgress} == {1}
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
