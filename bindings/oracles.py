@@ -184,6 +184,11 @@ ORACLES = {
         "CASE WHEN Junction THEN 1e0 ELSE 0e0 END AS feature_2, Distance_mi AS feature_3",
         "Wind_Chill_F IS NOT NULL AND Precipitation_in IS NOT NULL",
     ),
+    "scored_windows": f"""
+        SELECT *, true AS prediction_is_likelier FROM ({_accident_windows(60, 60, delay=60)})
+        WHERE {
+            " AND ".join(f"{c} IS NOT NULL" for c in schema.MEAN_COLUMNS + schema.RATE_COLUMNS)
+        }""",
     "auc": f"""
         WITH ranked AS (
             SELECT is_error, rank() OVER (ORDER BY cents)

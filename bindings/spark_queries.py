@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -326,10 +327,10 @@ def assembled_rows(spark: SparkSession, folder: str) -> DataFrame:
 # --- Models ---------------------------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, folder: str):
+def _trained(spark: SparkSession, folder: str, **settings) -> PipelineModel:
     """Train on the accidents, save, and load what was saved."""
     path = fresh_folder(spark, "model")
-    trained = training.train_severity(accidents(spark, folder))
+    trained = training.train_severity(accidents(spark, folder), **settings)
     models.save_model(trained.model, path)
     return models.load_model(path)
 
@@ -348,9 +349,8 @@ def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Train, then score the message stream per window and read the predictions back."""
-    model = _trained(spark, folder)
+def _stream_scored(spark: SparkSession, folder: str, model: PipelineModel) -> DataFrame:
+    """Score the message stream per window and read the predictions back."""
     source = _accident_messages(spark, folder)
     target, checkpoint = fresh_folder(spark, "predictions"), fresh_folder(spark, "checkpoint")
     score_messages(
@@ -361,7 +361,11 @@ def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
         checkpoint,
         available_now=True,
     ).awaitTermination()
-    return _plain_times(stored.read_predictions(use_utc(spark), target)).select(
+    return _plain_times(stored.read_predictions(use_utc(spark), target))
+
+
+def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_scored(spark, folder, _trained(spark, folder)).select(
         "window_start",
         "window_end",
         "accident_count",
@@ -371,6 +375,22 @@ def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def scored_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Which windows a model scores, with what it was given and whether its class is the likelier
+    one. These hold for any model, so a small one will do."""
+    predictions = _stream_scored(spark, folder, _trained(spark, folder, iterations=2))
+    likely = (F.col("high_severity_prob") > reports.DECISION_THRESHOLD).cast("double")
+    return predictions.select(
+        "window_start",
+        "window_end",
+        "accident_count",
+        *schema.MEAN_COLUMNS,
+        *schema.RATE_COLUMNS,
+        *schema.CATEGORY_COLUMNS,
+        (F.col("prediction") == likely).alias("prediction_is_likelier"),
+    )
+
+
 def auc(spark: SparkSession, folder: str) -> DataFrame:
     rows = measured(spark, folder).select(
         F.col("cents").alias("score"), F.col("is_error").cast("double").alias("label")
@@ -466,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "assembled_rows": assembled_rows,
     "gbt_score": gbt_score,
     "gbt_stream_score": gbt_stream_score,
+    "scored_windows": scored_windows,
     "auc": auc,
     "prediction_readback": prediction_readback,
     "prediction_preview": prediction_preview,

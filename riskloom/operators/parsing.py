@@ -7,8 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom import schema
 
 # Quotes inside a quoted field are doubled, which is what spreadsheets and pandas write. Spark's
-# own default is a backslash, and with it a doubled quote shifts all later fields.
-QUOTING = {"escape": '"'}
+# own default is a backslash, and with it a doubled quote shifts all later fields. Its writer would
+# also strip the blanks around texts.
+QUOTING = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",

@@ -37,18 +37,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session for one stream, with its own SQL settings and the same executors.
 
     The number of shuffle partitions becomes the number of state stores and stays fixed for the
-    life of the checkpoint. More stores than cores only adds commits to every micro-batch, so the
-    configured number is lowered to the cluster's parallelism if that is smaller.
+    life of the checkpoint, so size it before the first start. A local session, whose cores are
+    known, takes no more stores than cores, since each adds a commit to every micro-batch.
     """
     session = spark.newSession()
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set(
-        "spark.sql.shuffle.partitions", min(shuffles, spark.sparkContext.defaultParallelism)
-    )
+    if is_local(spark):
+        shuffles = min(shuffles, spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.shuffle.partitions", shuffles)
     for key, value in STREAM_SETTINGS.items():
         session.conf.set(key, value)
     return use_utc(session)
@@ -65,7 +69,7 @@ def shared_folder(spark: SparkSession) -> str:
         "spark.checkpoint.dir"
     )
     if not folder:
-        if not context.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="riskloom-")
     if context.getCheckpointDir() is None:

@@ -1,4 +1,7 @@
+import re
+
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from riskloom import schema
@@ -54,6 +57,30 @@ def test_record_is_one_line_and_parses_back(spark):
     assert row.text.split() == text.split()
 
 
+TEXTS = st.text(st.sampled_from('ab",\\#\'; \t\n\ré|'), min_size=1, max_size=12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TEXTS, min_size=1, max_size=60))
+def test_any_text_survives_a_message(spark, texts):
+    data = [(number, text, number) for number, text in enumerate(texts)]
+    df = spark.createDataFrame(data, "n INT, text STRING, after INT").coalesce(1)
+    lines = df.select(csv_record(df).alias("csv_line"))
+    found = parse_csv(lines, "n INT, text STRING, after INT").orderBy("n").collect()
+    one_line = [re.sub(r"\r\n|\r|\n", " ", text) for text in texts]
+    assert [(row.text, row.after) for row in found] == list(zip(one_line, range(len(texts))))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TEXTS.filter(lambda text: "\r" not in text), min_size=1, max_size=60))
+def test_any_text_survives_a_file(spark, tmp_path_factory, texts):
+    path = str(tmp_path_factory.mktemp("texts") / "t.csv")
+    df = spark.createDataFrame(list(enumerate(texts)), "n INT, text STRING")
+    write_csv(df, path)
+    found = read_csv(spark, path, "n INT, text STRING").orderBy("n").collect()
+    assert [row.text for row in found] == texts
+
+
 def test_messages_have_unique_keys_and_bytes_parse(spark):
     df = spark.range(100).withColumn("t", F.lit("x"))
     messages = to_messages(df)
