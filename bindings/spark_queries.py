@@ -14,7 +14,7 @@ from riskloom.functions import columns as fn
 from riskloom.operators import cleaning, parsing, reports, sampling, windows
 from riskloom.operators.windows import ACCIDENT_MEASURES, EventWindow, Measures
 from riskloom.plans import training
-from riskloom.session import fresh_folder, stream_session, use_utc
+from riskloom.session import fresh_folder, partitions_of, stream_session, use_utc
 from riskloom.sources import messages, models, predictions as stored, tables
 from riskloom.streaming.replay import replay_to_files
 from riskloom.streaming.scoring import message_features, score_messages
@@ -31,7 +31,6 @@ TUMBLING = EventWindow("1 hour")
 SLIDING = EventWindow("1 hour", "30 minutes")
 UNEVEN = EventWindow("50 minutes", "20 minutes")
 LONG_SLIDING = EventWindow("6 hours", "1 hour")
-REPLAY_FILES = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,7 +131,7 @@ def _stream_windows(window: EventWindow) -> Query:
 def _accident_messages(spark: SparkSession, folder: str) -> str:
     """The accidents as message files, in stretches of time."""
     path = fresh_folder(spark, "messages")
-    replay_to_files(accidents(spark, folder), path, ["Start_Time", "ID"], REPLAY_FILES)
+    replay_to_files(accidents(spark, folder), path, ["Start_Time", "ID"])
     return path
 
 
@@ -152,7 +151,7 @@ def _stream_in_parts(spark: SparkSession, parts: list[DataFrame], delay: str) ->
     source, target = fresh_folder(spark, "parts"), fresh_folder(spark, "part-windows")
     checkpoint = fresh_folder(spark, "part-checkpoint")
     for part in parts:
-        replay_to_files(part, source, ["ts", "event_id"], REPLAY_FILES, mode="append")
+        replay_to_files(part, source, ["ts", "event_id"], mode="append")
         lines = messages.file_messages(stream_session(spark), source)
         ddl = EVENTS_DDL.replace("TIMESTAMP_NTZ", "TIMESTAMP")
         rows = parsing.parse_csv(parsing.message_text(lines), ddl).selectExpr(
@@ -221,8 +220,9 @@ def accident_messages(spark: SparkSession, folder: str) -> DataFrame:
 def replay_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Message files read as a stream of several micro-batches."""
     source = fresh_folder(spark, "replay")
-    replay_to_files(_table(spark, folder, "events"), source, ["ts", "event_id"], REPLAY_FILES)
-    lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=2)
+    replay_to_files(_table(spark, folder, "events"), source, ["ts", "event_id"])
+    batch = -(-partitions_of(spark) // 4)
+    lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=batch)
     rows = parsing.parse_csv(parsing.message_text(lines), EVENTS_DDL)
     return spark.read.parquet(_run_to_files(spark, rows, "replayed", "parquet"))
 

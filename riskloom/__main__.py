@@ -42,7 +42,7 @@ def arguments() -> argparse.ArgumentParser:
     replay.add_argument("--servers", default=SERVERS)
     replay.add_argument("--topic", default=TOPIC)
     replay.add_argument("--files", help="write text files to this folder instead of a topic")
-    replay.add_argument("--slices", type=int, default=8, help="number of files")
+    replay.add_argument("--slices", type=int, help="number of files")
 
     train = commands.add_parser("train", help="train the severity classifier")
     train.add_argument("--source", default=CLEANED_FILE)

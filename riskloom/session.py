@@ -41,18 +41,21 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def partitions_of(spark: SparkSession) -> int:
+    """The configured number of shuffle partitions. A local session, whose cores are known, takes
+    no more than those."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(configured, spark.sparkContext.defaultParallelism) if is_local(spark) else configured
+
+
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session for one stream, with its own SQL settings and the same executors.
 
     The number of shuffle partitions becomes the number of state stores and stays fixed for the
-    life of the checkpoint, so size it before the first start. A local session, whose cores are
-    known, takes no more stores than cores, since each adds a commit to every micro-batch.
+    life of the checkpoint, so size it before the first start.
     """
     session = spark.newSession()
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if is_local(spark):
-        shuffles = min(shuffles, spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.shuffle.partitions", shuffles)
+    session.conf.set("spark.sql.shuffle.partitions", partitions_of(spark))
     for key, value in STREAM_SETTINGS.items():
         session.conf.set(key, value)
     return use_utc(session)

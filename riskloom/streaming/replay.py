@@ -7,17 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from riskloom.operators.parsing import csv_record, to_messages
+from riskloom.session import partitions_of
 
 
 def replay_to_files(
-    df: DataFrame, path: str, order: Sequence[str], files: int, mode: str = "error"
+    df: DataFrame,
+    path: str,
+    order: Sequence[str],
+    files: int | None = None,
+    mode: str = "error",
 ) -> None:
     """Write the table as text files of messages, each file one stretch of the given order.
 
+    There are as many files as shuffle partitions unless another number is given.
     Name the event time first and a key after it: the key splits a time that very many rows
     share. A file source takes files by modification time, and files written side by side finish
     in any order, so a stream that reads them one by one needs a delay that covers a file or two.
     """
+    files = files or partitions_of(df.sparkSession)
     sliced = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     sliced.select(csv_record(df).alias("value")).write.mode(mode).text(path)
 

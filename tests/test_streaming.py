@@ -1,16 +1,19 @@
+import datetime as dt
 import glob
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from riskloom.functions.intervals import micros
+from riskloom.operators.parsing import to_messages
 from riskloom.operators.windows import EventWindow, Measures, closed_windows, window_features
 from riskloom.session import fresh_folder, shared_folder, stream_session
 from riskloom.sources.messages import file_messages, kafka_messages
 from riskloom.streaming.replay import replay_to_files, replay_to_topic
 from riskloom.streaming.scoring import message_features
 from riskloom.streaming.sinks import append_files, append_to_topic
-from riskloom.operators.parsing import to_messages
 
 from helpers import at, plain_times, rows
 
@@ -209,3 +212,34 @@ def test_stream_without_categories_keeps_one_state(spark, tmp_path):
     query.awaitTermination()
     assert {len(progress["stateOperators"]) for progress in query.recentProgress} == {1}
     assert spark.read.json(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("window", [HOUR, EventWindow("2 hours", "30 minutes")], ids=str)
+def test_random_batches_follow_the_watermark(spark, tmp_path, window):
+    """Against a plain count of what each batch may still add to and what it closes."""
+    draw = random.Random(11)
+    length = dt.timedelta(microseconds=micros(window.duration))
+    step = dt.timedelta(microseconds=micros(window.slide or window.duration))
+    delay = dt.timedelta(minutes=45)
+    stream = Stream(spark, tmp_path, window, "45 minutes")
+    start, watermark, latest = at("2024-01-01 00:00:00"), dt.datetime.min, dt.datetime.min
+    counts, emitted = {}, {}
+    for batch in range(5):
+        minutes = [70 * batch + draw.randrange(-240, 90) for _ in range(30)]
+        times = [start + dt.timedelta(minutes=m, seconds=draw.randrange(60)) for m in minutes]
+        stream.send(*[f"{time},1.0,a" for time in times])
+        for time in times:
+            opening = time - (time - dt.datetime(1970, 1, 1)) % step
+            while opening + length > time:
+                if opening + length > watermark:
+                    counts[opening] = counts.get(opening, 0) + 1
+                opening -= step
+        latest = max(latest, *times)
+        watermark = latest - delay
+        for opening in [opening for opening in counts if opening + length <= watermark]:
+            emitted[opening] = counts.pop(opening)
+    ddl = "window_start TIMESTAMP, n BIGINT"
+    found = plain_times(spark.read.schema(ddl).json(str(stream.target))).collect()
+    assert emitted and counts
+    assert {row.window_start: row.n for row in found} == emitted
+    assert len(found) == len(emitted)
