@@ -12,7 +12,7 @@ from bindings import stand_ins
 from riskloom import schema
 from riskloom.functions import columns as fn
 from riskloom.operators import cleaning, parsing, reports, sampling, windows
-from riskloom.operators.windows import ACCIDENT_MEASURES, EventWindow, Measures
+from riskloom.operators.windows import EventWindow, Measures
 from riskloom.plans import training
 from riskloom.session import fresh_folder, partitions_of, stream_session, use_utc
 from riskloom.sources import messages, models, predictions as stored, tables

@@ -67,7 +67,9 @@ def test_split_bounds_cover_the_unit_range():
     assert all(left[1] == right[0] for left, right in zip(bounds, bounds[1:]))
 
 
-@pytest.mark.parametrize("uniform", [lambda c: uniform_of(c, seed=1), lambda c: uniform_of_md5(c, 1)])
+@pytest.mark.parametrize(
+    "uniform", [lambda c: uniform_of(c, seed=1), lambda c: uniform_of_md5(c, 1)]
+)
 def test_uniform_is_even(spark, uniform):
     draws = spark.range(50000).select(uniform(F.col("id")).alias("u"))
     low, high, mean, below = draws.agg(
@@ -82,8 +84,9 @@ def test_index_order_null_and_unseen(spark):
         [("b",), ("b",), ("c",), ("c",), ("a",), (None,)], "Weather STRING"
     )
     model = training.category_indexer(["Weather"]).fit(train)
-    seen = model.transform(spark.createDataFrame([("a",), ("b",), ("c",), ("new",), (None,)], "Weather STRING"))
-    assert {row.Weather: row.WeatherIndexed for row in seen.collect()} == {
+    names = [("a",), ("b",), ("c",), ("new",), (None,)]
+    indexed = model.transform(spark.createDataFrame(names, "Weather STRING"))
+    assert {row.Weather: row.WeatherIndexed for row in indexed.collect()} == {
         "b": 0.0, "c": 1.0, "a": 2.0, "new": 3.0, None: 3.0,
     }
 

@@ -21,11 +21,13 @@ DDL = "id INT, ts TIMESTAMP, text STRING, flag BOOLEAN, x DOUBLE, y STRING"
 
 
 def parsed(spark, *lines, ddl=DDL, **more):
-    return parse_csv(spark.createDataFrame([(line,) for line in lines], "csv_line STRING"), ddl, **more)
+    df = spark.createDataFrame([(line,) for line in lines], "csv_line STRING")
+    return parse_csv(df, ddl, **more)
 
 
 def test_short_long_bad_and_empty_records(spark):
-    result = parsed(spark, "1,2024-01-01 00:00:00,a", "2,,b,True,1.5,y,extra", "xx,,b", "2.0,,b", "")
+    long, short = "2,,b,True,1.5,y,extra", "1,2024-01-01 00:00:00,a"
+    result = parsed(spark, short, long, "xx,,b", "2.0,,b", "")
     ids = [(row.id, row.text, row.y) for row in result.collect()]
     assert ids == [(1, "a", None), (2, "b", "y"), (None, "b", None), (None, "b", None), (None,) * 3]
 
@@ -36,7 +38,8 @@ def test_fraction_digits(spark):
 
 
 def test_doubled_quotes_and_commas(spark):
-    (row,) = parsed(spark, '1,"say ""a, b"" ok",True', ddl="id INT, text STRING, flag BOOLEAN").collect()
+    ddl = "id INT, text STRING, flag BOOLEAN"
+    (row,) = parsed(spark, '1,"say ""a, b"" ok",True', ddl=ddl).collect()
     assert tuple(row) == (1, 'say "a, b" ok', True)
 
 
@@ -57,10 +60,13 @@ def test_record_is_one_line_and_parses_back(spark):
     assert row.text.split() == text.split()
 
 
+few = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 TEXTS = st.text(st.sampled_from('ab",\\#\'; \t\n\ré|'), min_size=1, max_size=12)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@few
 @given(st.lists(TEXTS, min_size=1, max_size=60))
 def test_any_text_survives_a_message(spark, texts):
     data = [(number, text, number) for number, text in enumerate(texts)]
@@ -71,7 +77,7 @@ def test_any_text_survives_a_message(spark, texts):
     assert [(row.text, row.after) for row in found] == list(zip(one_line, range(len(texts))))
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@few
 @given(st.lists(TEXTS.filter(lambda text: "\r" not in text), min_size=1, max_size=60))
 def test_any_text_survives_a_file(spark, tmp_path_factory, texts):
     path = str(tmp_path_factory.mktemp("texts") / "t.csv")
@@ -106,8 +112,9 @@ def test_bad_times_become_null(spark):
 
 
 def test_missing_texts(spark):
-    df = spark.createDataFrame([("N/A", 1), ("", 2), ("Clear", 3), (None, 4)], "`a(b)` STRING, n INT")
-    assert [row[0] for row in blank_missing(df).orderBy("n").collect()] == [None, None, "Clear", None]
+    data = [("N/A", 1), ("", 2), ("Clear", 3), (None, 4)]
+    found = blank_missing(spark.createDataFrame(data, "`a(b)` STRING, n INT")).orderBy("n")
+    assert [row[0] for row in found.collect()] == [None, None, "Clear", None]
 
 
 @pytest.fixture
@@ -136,7 +143,8 @@ def test_raw_to_cleaned_to_typed(spark, raw_file, tmp_path):
     cleaned = clean_accidents(raw)
     assert cleaned.columns == schema.ACCIDENT_COLUMNS
     write_csv(cleaned, str(tmp_path / "cleaned"))
-    first, second = plain_times(read_accidents(spark, str(tmp_path / "cleaned"))).orderBy("ID").collect()
+    typed = plain_times(read_accidents(spark, str(tmp_path / "cleaned")))
+    first, second = typed.orderBy("ID").collect()
     assert first.Description == 'He said "stop", then\nleft'
     assert (first.Severity, first.Temperature_F, first.Junction) == (3, 36.9, True)
     assert first.Start_Time == at("2016-02-08 05:46:00")

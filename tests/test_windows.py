@@ -146,7 +146,9 @@ def test_slide_longer_than_duration_is_refused(spark):
         window_features(df, EventWindow("1 hour", "2 hours"), MEASURES, "ts").collect()
 
 
-@pytest.mark.parametrize("window", [EventWindow("1 month"), EventWindow("1 month", "1 day")], ids=str)
+@pytest.mark.parametrize(
+    "window", [EventWindow("1 month"), EventWindow("1 month", "1 day")], ids=str
+)
 def test_months_are_refused(spark, window):
     with pytest.raises(PySparkException, match="month"):
         window_features(random_table(spark, 5), window, MEASURES, "ts").collect()
