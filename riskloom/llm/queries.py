@@ -10,7 +10,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import riskloom
-from riskloom.llm import decontaminate, language_id, packing, pii_crf, simhash
+from riskloom.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    pii_crf,
+    quality_rules,
+    simhash,
+    url_filter,
+    warc,
+)
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,10 +72,23 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Both derivatives of each page, with the digest of each record as text."""
+    made = warc.derivatives(warc.responses(table(spark, folder, "pages")))
+    return made.select(
+        F.col("id").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri", "date",
+        "payload_digest", "block_digest", "content_length", F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     remainder = remainder_of_id()
@@ -79,10 +109,26 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A page is made of a document, whose number stands in the URL's path; the labels of that
+    document, low quality or toxic, are the URL's."""
+    pages = table(spark, folder, "pages")
+    labels = table(spark, folder, "labels")
+    _, path = url_filter.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, "^/[^/]+/([0-9]{1,18})", 1)
+    numbered = pages.select("url", number.try_cast("long").alias("doc_id"))
+    blocked = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = numbered.join(labels.select("doc_id", blocked.alias("blocked")), "doc_id")
+    return url_filter.judge(pages, labelled.where("blocked is not null"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op2_pii_crf": op2_pii_crf,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_warc": op6_warc,
     "op7_language_id": op7_language_id,
     "op9_simhash": op9_simhash,
+    "op10_url_filter": op10_url_filter,
 }
