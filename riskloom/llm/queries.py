@@ -13,6 +13,7 @@ import riskloom
 from riskloom.llm import (
     decontaminate,
     language_id,
+    ngram_trie,
     packing,
     pii_crf,
     quality_rules,
@@ -64,6 +65,11 @@ def remainder_of_id(doc_id: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(5))
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scored = ngram_trie.score(table(spark, folder, "documents"), remainder_of_id() != 1)
+    return scored.withColumn("trained", ~F.col("trained")).withColumnRenamed("trained", "held_out")
+
+
 def op2_pii_crf(spark: SparkSession, folder: str) -> DataFrame:
     return pii_crf.find(table(spark, folder, "documents"), pii_crf.fitted())
 
@@ -123,6 +129,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_pii_crf": op2_pii_crf,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
