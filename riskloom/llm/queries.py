@@ -18,6 +18,7 @@ from riskloom.llm import (
     pii_crf,
     quality_rules,
     simhash,
+    suffix_dedup,
     url_filter,
     warc,
 )
@@ -109,6 +110,10 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
     "op7_language_id": op7_language_id,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
 }
