@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.batches import ragged
 from riskloom.session import fresh_folder
@@ -101,40 +101,42 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _deal(rows: DataFrame, masks: list[int]) -> DataFrame:
+def _deal(rows: DataFrame, masks: Column) -> DataFrame:
     """Each fingerprint once for each mask, with the bits under it."""
-    values = F.array(*[F.lit(_signed(m)) for m in masks])
-    dealt = rows.select("fp", F.explode(values).alias("mask"))
+    dealt = rows.select("fp", F.explode(masks).alias("mask"))
     return dealt.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
 
 
+def _masks(values: list[int]) -> Column:
+    return F.array(*[F.lit(_signed(m)) for m in values])
+
+
 def groups(fps: DataFrame, max_bits: int = MAX_BITS, limit: int = GROUP_LIMIT) -> DataFrame:
     """mask, bits, fp: groups of distinct fingerprints such that every two of them within
-    ``max_bits`` meet in a group. A group over the limit is parted again while that can make it
-    smaller."""
+    ``max_bits`` meet in a group.
+
+    A group over the limit is parted again until its free bits alone keep it below the limit; each
+    round is written to the shared folder.
+    """
     spark = fps.sparkSession
     masks, small = _parts(0, max_bits + 1), []
-    rows = _deal(fps, masks)
+    rows = _deal(fps, _masks(masks))
     while True:
+        path = fresh_folder(spark, "simhash-dealt")
+        rows.write.parquet(path)
+        rows = spark.read.parquet(path)
         path = fresh_folder(spark, "simhash-groups")
-        sized = rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).where("n > 1")
-        sized.write.parquet(path)
+        rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).where("n > 1").write.parquet(path)
         sized = spark.read.parquet(path)
         small.append(rows.join(sized.where(F.col("n") <= limit), ["mask", "bits"]).drop("n"))
-        large = sized.where(F.col("n") > limit)
-        found = [r[0] for r in large.select("mask").distinct().collect()]  # one for each part, at most
-        if not found:
+        large = sized.where(F.col("n") > limit).drop("n")
+        if large.isEmpty():
             break
-        large = large.select("mask", "bits")
-        parted = []
-        for mask in found:
-            finer = [m for m in _parts(mask % (1 << 64), max_bits + 1) if m != mask % (1 << 64)]
-            inside = rows.where(F.col("mask") == mask).join(large, ["mask", "bits"])
-            parted.append(_deal(inside.select("fp"), finer))
-        rows = parted[0]
-        for more in parted[1:]:
-            rows = rows.unionByName(more)
-        rows = rows.distinct()
+        finer = {m: [x for x in _parts(m, max_bits + 1) if x != m] for m in masks}
+        choice = F.create_map(*[x for m, f in finer.items() for x in (F.lit(_signed(m)), _masks(f))])
+        inside = rows.join(large, ["mask", "bits"])
+        rows = _deal(inside, choice[F.col("mask")]).distinct()
+        masks = sorted({x for f in finer.values() for x in f})
     out = small[0]
     for more in small[1:]:
         out = out.unionByName(more)

@@ -121,9 +121,10 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int, lanes: int
             bytes_same = np.bitwise_count(low - np.uint64(1)) >> 3
             length[todo] += np.where(same, 8, bytes_same)
             todo = todo[same]
-        # Zeros after the end are no part of a suffix.
-        length[lane] = np.minimum(length[lane], np.minimum(n - at, np.where(other < 0, 0, n - other)))
-        shared[at] = np.minimum(length[lane], limit)
+        # Zeros after the end are no part of a suffix; one that ends there may be tied with zeros.
+        rest = np.minimum(n - at, np.where(other < 0, 0, n - other))
+        shared[at] = np.minimum(np.minimum(length[lane], rest), limit)
+        length[lane] = np.where(length[lane] >= rest, 0, length[lane])
     return shared[order]
 
 
