@@ -86,7 +86,7 @@ _REPORT = """
 
 
 def _uniform(seed: int) -> str:
-    return f"(CAST('0x' || substr(md5('{seed}:' || ID), 1, 8) AS BIGINT) / 4294967296e0)"
+    return f"(CAST('0x' || substr(md5('{seed}:' || ID), 1, 13) AS BIGINT) / 4503599627370496e0)"
 
 
 def _index(column: str) -> str:
@@ -117,6 +117,12 @@ _ACCIDENT_TEXT = ACCIDENTS.replace("chr(10)", "' '")
 _UNIT_COLUMNS = ", ".join(schema.UNIT_COLUMNS.values())
 _READABLE_END = "CASE WHEN Severity < 3 THEN End_Time END"
 
+_CLEANED = f"""SELECT * REPLACE (
+    {_READABLE_END} AS End_Time, Weather_Condition AS Wind_Direction) FROM ({ACCIDENTS})"""
+_INPUTS = schema.MEAN_COLUMNS + schema.RATE_COLUMNS
+_COMPLETE = " AND ".join(f"{name} IS NOT NULL" for name in _INPUTS)
+_IN_SAMPLE = f"{_uniform(36)} < CASE WHEN Severity >= 3 THEN 1e0 ELSE 0.24e0 END"
+
 ORACLES = {
     "tumbling_features": _event_windows(60, 60),
     "sliding_features": _event_windows(60, 30),
@@ -131,6 +137,7 @@ ORACLES = {
         SELECT count(*) AS windows, count(*) FILTER (WHERE {
             " OR ".join(f"{c} IS NULL" for c in schema.MEAN_COLUMNS + schema.RATE_COLUMNS)
         }) AS skipped_windows FROM ({_accident_windows(10, 10)})""",
+    "closed_windows": _event_windows(60, 60, delay=60),
     "stream_tumbling": _event_windows(60, 60, delay=60),
     "stream_sliding": _event_windows(60, 30, delay=60),
     "stream_restart": _event_windows(60, 60, delay=60),
@@ -146,13 +153,18 @@ ORACLES = {
         FROM events""",
     "accident_messages": _ACCIDENT_TEXT,
     "replay_roundtrip": "SELECT * FROM events",
+    "blank_messages": """
+        SELECT event_type || ' ' AS first, concat('  ', event_id, ' ') AS middle,
+               ' ' || event_type AS last, way
+        FROM events CROSS JOIN (VALUES ('files'), ('topic')) AS w(way)""",
     "rename_coerce": _some(
         ACCIDENTS,
         f"ID, Start_Time, {_READABLE_END} AS End_Time, Weather_Condition AS Wind_Direction, "
         + _UNIT_COLUMNS,
     ),
-    "clean_csv_files": f"""SELECT * REPLACE (
-        {_READABLE_END} AS End_Time, Weather_Condition AS Wind_Direction) FROM ({ACCIDENTS})""",
+    "clean_csv_files": _CLEANED,
+    "clean_other_columns": _CLEANED,
+    "clean_parquet_files": _CLEANED,
     "drop_nulls": _some(
         ACCIDENTS,
         "ID, Weather_Condition, Precipitation_in, Wind_Chill_F",
@@ -164,7 +176,13 @@ ORACLES = {
         FROM ({stand_ins.select(stand_ins.ORDER_FIELDS, "orders")})""",
     "stratified_sample": f"""
         SELECT ID, {_LABEL} AS label FROM ({ACCIDENTS})
-        WHERE {_uniform(36)} < CASE WHEN Severity >= 3 THEN 1e0 ELSE 0.24e0 END""",
+        WHERE {_IN_SAMPLE}""",
+    "random_stratified_sample": f"""
+        SELECT {_LABEL} AS label, count(*) AS rows, CAST(1 AS BIGINT) AS most_times,
+               true AS as_due
+        FROM ({ACCIDENTS}) GROUP BY 1""",
+    "random_split": """
+        SELECT count(*) AS rows, count(*) AS rows_in_one_part, true AS as_due FROM events""",
     "train_test_split": f"""
         SELECT ID, {_LABEL} AS label,
                CASE WHEN {_uniform(5043)} < 0.85e0 THEN 'train' ELSE 'test' END AS part
@@ -178,6 +196,25 @@ ORACLES = {
                     AS DOUBLE) AS Wind_DirectionIndexed
         FROM a LEFT JOIN {_index("Weather_Condition")} w USING (Weather_Condition)
                LEFT JOIN {_index("Wind_Direction")} d USING (Wind_Direction)""",
+    "category_index_wide": """
+        WITH a AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS part FROM lineitem),
+        i AS (SELECT part, row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS place
+              FROM a GROUP BY part)
+        SELECT a.*, CAST(place AS DOUBLE) AS partIndexed FROM a JOIN i USING (part)""",
+    "gbt_score": f"""
+        SELECT ID, {_LABEL} AS label, true AS prediction_is_likelier
+        FROM ({ACCIDENTS}) WHERE {_COMPLETE}""",
+    "gbt_score_rows": f"""
+        SELECT ID, {_LABEL} AS label, {', '.join(_INPUTS + schema.CATEGORY_COLUMNS)},
+               true AS all_inputs, true AS prediction_is_likelier
+        FROM ({ACCIDENTS}) WHERE {_COMPLETE}""",
+    "gbt_heldout": f"""
+        SELECT ID, {_LABEL} AS label, true AS prediction_is_likelier FROM ({ACCIDENTS})
+        WHERE {_COMPLETE} AND {_IN_SAMPLE} AND {_uniform(5043)} >= 0.85e0""",
+    "gbt_stream_score": f"""
+        SELECT window_start, window_end, accident_count, {', '.join(schema.CATEGORY_COLUMNS)},
+               true AS prediction_is_likelier
+        FROM ({_accident_windows(60, 60, delay=60)}) WHERE {_COMPLETE}""",
     "assembled_rows": _some(
         ACCIDENTS,
         "ID, Wind_Chill_F AS feature_0, Precipitation_in AS feature_1, "

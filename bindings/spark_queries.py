@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bindings import stand_ins
@@ -14,7 +14,8 @@ from riskloom.functions import columns as fn
 from riskloom.operators import cleaning, parsing, reports, sampling, windows
 from riskloom.operators.windows import EventWindow, Measures
 from riskloom.plans import training
-from riskloom.session import fresh_folder, partitions_of, stream_session, use_utc
+from riskloom.plans.ingest import typed
+from riskloom.session import fresh_folder, stream_session, utc_session
 from riskloom.sources import messages, models, predictions as stored, tables
 from riskloom.streaming.replay import replay_to_files
 from riskloom.streaming.scoring import message_features, score_messages
@@ -36,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return utc_session(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _events(spark: SparkSession, folder: str, fields: dict[str, str]) -> DataFrame:
@@ -95,6 +96,13 @@ def null_event_time(spark: SparkSession, folder: str) -> DataFrame:
     return windows.window_features(timeless, TUMBLING, EVENT_MEASURES, "ts")
 
 
+def closed_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The windows of a table that a stream over it would have emitted."""
+    rows = measured(spark, folder)
+    features = windows.window_features(rows, TUMBLING, EVENT_MEASURES, "ts")
+    return windows.closed_windows(features, rows, "ts", TUMBLING.duration)
+
+
 def incomplete_windows(spark: SparkSession, folder: str) -> DataFrame:
     features = windows.window_features(accidents(spark, folder), EventWindow("10 minutes"))
     return windows.incomplete_windows(features, schema.MEAN_COLUMNS + schema.RATE_COLUMNS)
@@ -142,7 +150,7 @@ def message_windows(spark: SparkSession, folder: str) -> DataFrame:
         messages.file_messages(stream_session(spark), source), LONG_SLIDING, delay="1 hour"
     )
     path = _run_to_files(spark, features, "message-windows", "json")
-    return _plain_times(use_utc(spark).read.schema(schema.WINDOW_FEATURES_DDL).json(path))
+    return _plain_times(utc_session(spark).read.schema(schema.WINDOW_FEATURES_DDL).json(path))
 
 
 def _stream_in_parts(spark: SparkSession, parts: list[DataFrame], delay: str) -> DataFrame:
@@ -220,13 +228,31 @@ def accident_messages(spark: SparkSession, folder: str) -> DataFrame:
 def replay_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Message files read as a stream of several micro-batches."""
     source = fresh_folder(spark, "replay")
-    replay_to_files(_table(spark, folder, "events"), source, ["ts", "event_id"])
-    batch = -(-partitions_of(spark) // 4)
-    lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=batch)
+    events = _table(spark, folder, "events")
+    replay_to_files(events, source, ["ts", "event_id"], rows_per_file=1000)
+    lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=3)
     rows = parsing.parse_csv(parsing.message_text(lines), EVENTS_DDL)
     return spark.read.parquet(_run_to_files(spark, rows, "replayed", "parquet"))
 
 
+def blank_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts that begin and end with blanks: white space inside a message stays, that around it
+    goes, whether it is sent to files or to a topic."""
+    texts = _table(spark, folder, "events").select(
+        F.concat(F.lit(" \t"), "event_type", F.lit(" ")).alias("first"),
+        F.concat(F.lit("  "), F.col("event_id").cast("string"), F.lit(" ")).alias("middle"),
+        F.concat(F.lit(" "), "event_type", F.lit(" \t ")).alias("last"),
+    )
+    source = fresh_folder(spark, "blank-messages")
+    replay_to_files(texts, source, ["middle"])
+    ddl = "first STRING, middle STRING, last STRING"
+    from_files = parsing.parse_csv(parsing.message_text(texts.sparkSession.read.text(source)), ddl)
+    from_topic = parsing.parse_csv(parsing.message_text(parsing.to_messages(texts)), ddl)
+    return from_files.withColumn("way", F.lit("files")).unionAll(
+        from_topic.withColumn("way", F.lit("topic"))
+    )
+
+
 def _raw_accidents(spark: SparkSession, folder: str) -> DataFrame:
     raw_names = {clean: raw for raw, clean in schema.UNIT_COLUMNS.items()}
     rows = accidents(spark, folder).withColumn(
@@ -248,8 +274,29 @@ def clean_csv_files(spark: SparkSession, folder: str) -> DataFrame:
     """Raw CSV files to cleaned CSV files to the typed table."""
     raw, cleaned = fresh_folder(spark, "raw"), fresh_folder(spark, "cleaned")
     tables.write_csv(_raw_accidents(spark, folder), raw)
-    tables.write_csv(cleaning.clean_accidents(tables.read_raw_accidents(spark, raw)), cleaned)
-    return _plain_times(tables.read_accidents(spark, cleaned))
+    read = tables.read_raw_accidents(utc_session(spark), raw)
+    tables.write_csv(cleaning.clean_accidents(read), cleaned)
+    return _plain_times(tables.read_accidents(utc_session(spark), cleaned))
+
+
+def clean_other_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw file with its columns in another order and one more."""
+    raw, cleaned = fresh_folder(spark, "raw"), fresh_folder(spark, "cleaned")
+    rows = _raw_accidents(spark, folder)
+    mixed = [F.col(f"`{name}`") for name in sorted(rows.columns, key=lambda name: name[::-1])]
+    tables.write_csv(rows.select(F.lit("x").alias("Other"), *mixed), raw)
+    read = tables.read_raw_accidents(utc_session(spark), raw)
+    tables.write_csv(cleaning.clean_accidents(read), cleaned)
+    return _plain_times(tables.read_accidents(utc_session(spark), cleaned))
+
+
+def clean_parquet_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw CSV files to the cleaned table in Parquet."""
+    raw, cleaned = fresh_folder(spark, "raw"), f"{fresh_folder(spark, 'cleaned')}.parquet"
+    tables.write_csv(_raw_accidents(spark, folder), raw)
+    read = tables.read_raw_accidents(utc_session(spark), raw)
+    tables.write_table(typed(cleaning.clean_accidents(read)), cleaned)
+    return _plain_times(tables.read_accidents(utc_session(spark), cleaned))
 
 
 def drop_nulls(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,33 +328,70 @@ def _in_parts(parts: list[DataFrame]) -> DataFrame:
     return train.unionAll(test)
 
 
-def _md5_uniform(seed: int) -> Column:
-    return fn.uniform_of_md5(F.col("ID"), seed)
-
-
 def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.stratified_sample(
-        _labelled(spark, folder), uniform=_md5_uniform(sampling.SAMPLE_SEED)
-    )
+    """The sample that training takes."""
+    rows = _labelled(spark, folder)
+    by = training.draw(rows, ["ID"], sampling.SAMPLE_SEED)
+    return sampling.stratified_sample(rows, uniform=by)
 
 
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
-    return _in_parts(
-        sampling.split(_labelled(spark, folder), uniform=_md5_uniform(sampling.SPLIT_SEED))
-    )
+    """The split that training makes."""
+    rows = _labelled(spark, folder)
+    return _in_parts(sampling.split(rows, uniform=training.draw(rows, ["ID"], sampling.SPLIT_SEED)))
+
+
+def _near(part: Column, whole: Column, fraction: float) -> Column:
+    """Whether a drawn part is within six standard deviations of its fraction."""
+    spread = F.sqrt(whole * fraction * (1 - fraction))
+    return F.abs(part - whole * fraction) <= 6 * spread
 
 
 def random_stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.stratified_sample(_labelled(spark, folder))
+    """What holds for any draw of Spark's sampler: label 1 whole, label 0 near its fraction, no row
+    twice and none that is not in the table."""
+    table = _labelled(spark, folder)
+    drawn = sampling.stratified_sample(table)
+    counts = drawn.groupBy("ID", "label").count().withColumnRenamed("count", "times")
+    both = table.join(counts, ["ID", "label"], "full")
+    kept = F.col("times").isNotNull()
+    return both.groupBy("label").agg(
+        F.count("*").alias("rows"),
+        F.max(F.coalesce("times", F.lit(0))).alias("most_times"),
+        (
+            (F.first("label") == 1) & (F.count_if(kept) == F.count("*"))
+            | (F.first("label") == 0)
+            & _near(F.count_if(kept), F.count("*"), sampling.LABEL_FRACTIONS[0])
+        ).alias("as_due"),
+    )
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    return _in_parts(sampling.split(_labelled(spark, folder)))
+    """What holds for any draw of Spark's split: the parts together are the table, each row in one,
+    and the first is near its weight."""
+    table = _labelled(spark, folder)
+    parts = _in_parts(sampling.split(table))
+    placed = parts.groupBy("ID", "label").agg(
+        F.count("*").alias("times"), F.count_if(F.col("part") == "train").alias("train")
+    )
+    both = table.join(placed, ["ID", "label"], "full")
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.coalesce("times", F.lit(0)) == 1).alias("rows_in_one_part"),
+        _near(F.sum("train"), F.count("*"), sampling.SPLIT_WEIGHTS[0]).alias("as_due"),
+    )
 
 
 def category_index(spark: SparkSession, folder: str) -> DataFrame:
     rows = accidents(spark, folder).select("ID", "Weather_Condition", "Wind_Direction")
-    return training.fit_categories(rows, ["Weather_Condition", "Wind_Direction"]).transform(rows)
+    return training.with_category_index(rows, ["Weather_Condition", "Wind_Direction"])
+
+
+def category_index_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """A column of very many values."""
+    lines = _table(spark, folder, "lineitem")
+    rows = lines.select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return training.with_category_index(rows, ["part"])
 
 
 def assembled_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -335,20 +419,44 @@ def _trained(spark: SparkSession, folder: str, **settings) -> PipelineModel:
     return models.load_model(path)
 
 
-def _gbt_scored(spark: SparkSession, folder: str) -> DataFrame:
-    rows = training.with_label(accidents(spark, folder))
-    return _trained(spark, folder).transform(rows)
+def _likelier(probability: Column) -> Column:
+    """Whether the predicted class is the likelier one, with a probability that is one."""
+    likely = (probability > reports.DECISION_THRESHOLD).cast("double")
+    return ((F.col("prediction") == likely) & probability.between(0, 1)).alias(
+        "prediction_is_likelier"
+    )
 
 
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _gbt_scored(spark, folder).select(
+    """Which records the full classifier scores, and that it gives the likelier class."""
+    rows = training.with_label(accidents(spark, folder))
+    scored_rows = _trained(spark, folder).transform(rows)
+    return scored_rows.select("ID", "label", _likelier(fn.vector_element(F.col("probability"), 1)))
+
+
+def gbt_score_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all inputs as they come out of the classifier, category places included."""
+    rows = training.with_label(accidents(spark, folder))
+    scored_rows = _trained(spark, folder, iterations=2).transform(rows)
+    return scored_rows.select(
         "ID",
         "label",
-        "prediction",
-        fn.vector_element(F.col("probability"), 1).alias("high_severity_prob"),
+        *schema.MEAN_COLUMNS,
+        *schema.RATE_COLUMNS,
+        *schema.CATEGORY_COLUMNS,
+        (F.size(vector_to_array("features")) == len(schema.FEATURE_INPUTS)).alias("all_inputs"),
+        _likelier(fn.vector_element(F.col("probability"), 1)),
     )
 
 
+def gbt_heldout(spark: SparkSession, folder: str) -> DataFrame:
+    """The held-out records of the keyed sample and split, scored by a model of the others."""
+    path = fresh_folder(spark, "held-out")
+    training.train_severity(accidents(spark, folder), predictions_path=path, iterations=2)
+    scored_rows = utc_session(spark).read.parquet(path)
+    return scored_rows.select("ID", "label", _likelier(fn.vector_element(F.col("probability"), 1)))
+
+
 def _stream_scored(spark: SparkSession, folder: str, model: PipelineModel) -> DataFrame:
     """Score the message stream per window and read the predictions back."""
     source = _accident_messages(spark, folder)
@@ -361,7 +469,7 @@ def _stream_scored(spark: SparkSession, folder: str, model: PipelineModel) -> Da
         checkpoint,
         available_now=True,
     ).awaitTermination()
-    return _plain_times(stored.read_predictions(use_utc(spark), target))
+    return _plain_times(stored.read_predictions(utc_session(spark), target))
 
 
 def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -370,8 +478,7 @@ def gbt_stream_score(spark: SparkSession, folder: str) -> DataFrame:
         "window_end",
         "accident_count",
         *schema.CATEGORY_COLUMNS,
-        "prediction",
-        "high_severity_prob",
+        _likelier(F.col("high_severity_prob")),
     )
 
 
@@ -379,7 +486,6 @@ def scored_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Which windows a model scores, with what it was given and whether its class is the likelier
     one. These hold for any model, so a small one will do."""
     predictions = _stream_scored(spark, folder, _trained(spark, folder, iterations=2))
-    likely = (F.col("high_severity_prob") > reports.DECISION_THRESHOLD).cast("double")
     return predictions.select(
         "window_start",
         "window_end",
@@ -387,7 +493,7 @@ def scored_windows(spark: SparkSession, folder: str) -> DataFrame:
         *schema.MEAN_COLUMNS,
         *schema.RATE_COLUMNS,
         *schema.CATEGORY_COLUMNS,
-        (F.col("prediction") == likely).alias("prediction_is_likelier"),
+        _likelier(F.col("high_severity_prob")),
     )
 
 
@@ -465,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "mean_windows": mean_windows,
     "null_event_time": null_event_time,
     "incomplete_windows": incomplete_windows,
+    "closed_windows": closed_windows,
     "stream_tumbling": _stream_windows(TUMBLING),
     "stream_sliding": _stream_windows(SLIDING),
     "stream_restart": stream_restart,
@@ -474,8 +581,11 @@ QUERIES: dict[str, Query] = {
     "csv_shapes": csv_shapes,
     "accident_messages": accident_messages,
     "replay_roundtrip": replay_roundtrip,
+    "blank_messages": blank_messages,
     "rename_coerce": rename_coerce,
     "clean_csv_files": clean_csv_files,
+    "clean_other_columns": clean_other_columns,
+    "clean_parquet_files": clean_parquet_files,
     "drop_nulls": drop_nulls,
     "severity_label": severity_label,
     "stratified_sample": stratified_sample,
@@ -483,8 +593,11 @@ QUERIES: dict[str, Query] = {
     "random_stratified_sample": random_stratified_sample,
     "random_split": random_split,
     "category_index": category_index,
+    "category_index_wide": category_index_wide,
     "assembled_rows": assembled_rows,
     "gbt_score": gbt_score,
+    "gbt_score_rows": gbt_score_rows,
+    "gbt_heldout": gbt_heldout,
     "gbt_stream_score": gbt_stream_score,
     "scored_windows": scored_windows,
     "auc": auc,

@@ -14,12 +14,12 @@ from riskloom.session import get_spark, stream_session
 from riskloom.sources.messages import file_messages, kafka_messages
 from riskloom.sources.models import load_model, save_model
 from riskloom.sources.tables import read_accidents
-from riskloom.streaming.replay import replay_to_files, replay_to_topic
+from riskloom.streaming.replay import ROWS_PER_FILE, replay_to_files, replay_to_topic
 from riskloom.streaming.scoring import score_messages
 
 # --- Fixed values: default names and paths of the command line. ---
 RAW_FILE = "us_accidents.csv"
-CLEANED_FILE = "us_accidents_cleaned.csv"
+CLEANED_FILE = "us_accidents_cleaned.parquet"
 TOPIC = "us_accidents_topic"
 SERVERS = "localhost:9092"
 MODEL = "models/accident_gbt_pipeline"
@@ -42,11 +42,13 @@ def arguments() -> argparse.ArgumentParser:
     replay.add_argument("--servers", default=SERVERS)
     replay.add_argument("--topic", default=TOPIC)
     replay.add_argument("--files", help="write text files to this folder instead of a topic")
-    replay.add_argument("--slices", type=int, help="number of files")
+    replay.add_argument("--slices", type=int, help="number of stretches of time")
+    replay.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
 
     train = commands.add_parser("train", help="train the severity classifier")
     train.add_argument("--source", default=CLEANED_FILE)
     train.add_argument("--model", default=MODEL)
+    train.add_argument("--predictions", help="write the held-out predictions to this folder")
     train.add_argument(
         "--key", nargs="+", default=["ID"], help="columns that decide sample and split"
     )
@@ -70,6 +72,16 @@ def arguments() -> argparse.ArgumentParser:
     score.add_argument("--target", default=PREDICTIONS)
     score.add_argument("--checkpoint", default=CHECKPOINT)
     score.add_argument("--available-now", action="store_true", help="take what is there and end")
+    score.add_argument(
+        "--max-per-trigger", type=int, help="files, or messages of a topic, in a micro-batch"
+    )
+    score.add_argument("--trigger", help="time between micro-batches, such as '1 minute'")
+
+    for topic in (replay, score):
+        topic.add_argument(
+            "--option", nargs=2, action="append", default=[], metavar=("NAME", "VALUE"),
+            help="an option of the topic connector",
+        )
 
     report = commands.add_parser("report", help="write the report tables")
     report.add_argument("--source", default=PREDICTIONS)
@@ -85,21 +97,27 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "replay":
         table = read_accidents(spark, args.source, not args.one_line_records)
         if args.files:
-            replay_to_files(table, args.files, ["Start_Time", "ID"], args.slices)
+            order = ["Start_Time", "ID"]
+            replay_to_files(table, args.files, order, args.slices, rows_per_file=args.rows_per_file)
         else:
-            replay_to_topic(table, args.servers, args.topic)
+            replay_to_topic(table, args.servers, args.topic, **dict(args.option))
     elif args.command == "train":
         table = read_accidents(spark, args.source, not args.one_line_records)
-        trained = train_severity(table, args.key)
+        trained = train_severity(table, args.key, predictions_path=args.predictions)
         save_model(trained.model, args.model)
+        for row in trained.preview:
+            print(f"label {row.label}, prediction {row.prediction}, probability {row.probability}")
         print(f"area under ROC: {trained.area_under_roc}")
     elif args.command == "score":
         window = EventWindow.of(args.kind, args.duration, args.slide)
         session = stream_session(spark)
         if args.files:
-            messages = file_messages(session, args.files)
+            messages = file_messages(session, args.files, args.max_per_trigger)
         else:
-            messages = kafka_messages(session, args.servers, args.topic)
+            options = dict(args.option)
+            if args.max_per_trigger:
+                options["maxOffsetsPerTrigger"] = str(args.max_per_trigger)
+            messages = kafka_messages(session, args.servers, args.topic, **options)
         score_messages(
             messages,
             load_model(args.model),
@@ -108,6 +126,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoint,
             args.delay,
             available_now=args.available_now,
+            processing_time=args.trigger,
         ).awaitTermination()
     elif args.command == "report":
         write_reports(spark, args.source, args.target)

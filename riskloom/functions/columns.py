@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
@@ -27,12 +30,20 @@ def label_from_severity(severity: Column, threshold: int = 3) -> Column:
     return F.when(severity >= threshold, 1).otherwise(0)
 
 
-def uniform_of(*keys: Column, seed: int) -> Column:
-    """A number in [0, 1) fixed by the key and the seed, whatever the partitioning."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11) * F.lit(2.0**-53)
+def uniform_of(*keys: Column, seed: int, others: Sequence[Column] = ()) -> Column:
+    """A number in [0, 1) fixed by the key and the seed, whatever the partitioning.
+
+    It comes from a digest that other SQL engines compute too. A row that lacks a part of its key
+    draws from ``others``.
+    """
+    text = _joined(seed, keys)
+    if others:
+        known = reduce(lambda a, b: a & b, [key.isNotNull() for key in keys])
+        text = F.when(known, text).otherwise(_joined(seed, others))
+    digest = F.substring(F.md5(text), 1, 13)
+    return F.conv(digest, 16, 10).cast("bigint") * F.lit(2.0**-52)
 
 
-def uniform_of_md5(key: Column, seed: int) -> Column:
-    """As :func:`uniform_of`, by a digest that other SQL engines compute too, at a higher cost."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
+def _joined(seed: int, values: Sequence[Column]) -> Column:
+    texts = [F.coalesce(value.cast("string"), F.lit("")) for value in values]
+    return F.concat_ws(":", F.lit(str(seed)), *texts)

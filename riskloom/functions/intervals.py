@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 
 _MICROS = {
@@ -25,9 +24,7 @@ def micros(interval: str) -> int | None:
     return sum(int(count) * _MICROS[unit.lower()] for count, unit in _PART.findall(text))
 
 
-def common_step(duration: str, slide: str) -> str | None:
-    """The longest interval that divides both, or None if either text is in another form."""
-    lengths = [micros(duration), micros(slide)]
-    if not all(lengths):
-        return None
-    return f"{math.gcd(*lengths)} microseconds"
+def divides(slide: str, duration: str) -> bool:
+    """Whether the slide goes into the duration; not for a text in another form."""
+    lengths = [micros(slide), micros(duration)]
+    return bool(all(lengths)) and lengths[1] % lengths[0] == 0

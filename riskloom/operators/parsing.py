@@ -14,6 +14,7 @@ QUOTING = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+WHITE_SPACE = " \t\n\x0b\f\r"
 TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
@@ -56,7 +57,19 @@ def csv_record(df: DataFrame) -> Column:
     return record
 
 
+def message_value(df: DataFrame) -> Column:
+    """All columns as a message's text: the CSV record without the white space around it. Blanks
+    at the ends of a message are no data, whichever way it is sent."""
+    return F.btrim(csv_record(df), F.lit(WHITE_SPACE))
+
+
 def to_messages(df: DataFrame) -> DataFrame:
     """Every row as a message: a random key, so that a topic's partitions fill evenly, and the
     row as a CSV record. Works on tables and streams."""
-    return df.select(F.expr("uuid()").alias("key"), F.trim(csv_record(df)).alias("value"))
+    return df.select(F.expr("uuid()").alias("key"), message_value(df).alias("value"))
+
+
+def parsed_as(value: Column, kind: str) -> Column:
+    """A text under a type, by the parser that reads CSV files; what does not parse becomes null."""
+    record = F.to_csv(F.struct(value.alias("field")), QUOTING)
+    return F.from_csv(record, f"field {kind}", QUOTING)["field"]

@@ -25,7 +25,7 @@ def top_rows(df: DataFrame, by: str, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col(key)).limit(rows)
 
 
-def preview(predictions: DataFrame, order: str, rows: int = 5) -> DataFrame:
+def preview(predictions: DataFrame, order: str | list[str], rows: int = 5) -> DataFrame:
     """A few labelled predictions, the same ones on every run."""
     return (
         predictions.orderBy(order).select("label", "prediction", "probability").limit(rows)

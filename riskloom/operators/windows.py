@@ -13,7 +13,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import schema
-from riskloom.functions.intervals import common_step
+from riskloom.functions.intervals import divides
+
+
+# With this setting false, Spark lets the second of two aggregates take all rows for late.
+CHAINED = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
 @dataclass(frozen=True)
@@ -38,8 +42,9 @@ class EventWindow:
         return F.window(time, self.duration, self.slide)
 
     def pane(self) -> str | None:
-        """Length of the pieces that every window consists of, where it can be told."""
-        return common_step(self.duration, self.slide) if self.slide else self.duration
+        """Length of the pieces that every window consists of: the slide, where it divides the
+        duration. Shorter pieces may be as many as rows, so other windows have none."""
+        return self.slide if self.slide and divides(self.slide, self.duration) else None
 
 
 @dataclass(frozen=True)
@@ -81,10 +86,12 @@ def window_features(
     )
     if df.isStreaming:
         # Late rows are judged by their windows, so they go into windows at once and not by pane.
+        if measures.modes and df.sparkSession.conf.get(CHAINED, "true").lower() == "false":
+            raise ValueError(f"categories over a stream need {CHAINED} to be true")
         rows = rows.withWatermark(time, delay or window.duration)
         pane = None
     else:
-        pane = window.pane() if window.slide else None
+        pane = window.pane()
     windows = _aggregate(rows, window, measures, time, pane)
     return windows.select(
         F.col("window.start").alias("window_start"),
@@ -100,7 +107,7 @@ def _aggregate(
 ) -> DataFrame:
     """Count the values of each category per window, then reduce each window to one row.
 
-    Every row is repeated once per category and carries its measures only in the first copy
+    Every row is repeated once per category, and its measures count in the first copy only
     (``_slot`` 0), so one scan feeds all aggregates. Grouping by category value too means that no
     buffer holds a window's whole set of categories, and a window with most of the rows is spread
     over as many groups as it has values, after partial aggregation on the map side. In a stream

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom import schema
 from riskloom.operators.cleaning import clean_accidents
+from riskloom.operators.parsing import parsed_as
 from riskloom.sources.tables import read_raw_accidents, write_table
 
 
@@ -26,10 +27,11 @@ def clean_file(
 
 
 def typed(cleaned: DataFrame) -> DataFrame:
-    """The cleaned text columns under their types; what does not parse becomes null."""
+    """The cleaned text columns under their types, as reading the cleaned CSV gives them."""
+    kinds = dict(cleaned.dtypes)
     return cleaned.select(
         *[
-            F.col(name).try_cast(kind.lower()).alias(name)
+            (parsed_as(F.col(name), kind) if kinds[name] != kind.lower() else F.col(name)).alias(name)
             for name, kind in schema.ACCIDENT_FIELDS
         ]
     )

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from riskloom import schema
 from riskloom.functions.columns import label_from_severity, uniform_of
+from riskloom.operators.reports import preview
 from riskloom.operators.sampling import SAMPLE_SEED, SPLIT_SEED, split, stratified_sample
-from riskloom.session import fresh_folder, shared_folder
+from riskloom.session import fresh_folder, remove_folder, shared_folder
 
 # --- Fixed values: the classifier's settings. ---
 ITERATIONS = 30
@@ -27,6 +28,8 @@ MODEL_SEED = 36
 class Trained:
     model: PipelineModel
     area_under_roc: float
+    #: A few held-out predictions: label, prediction, probability.
+    preview: list[Row]
 
 
 def with_label(df: DataFrame, severity: str = "Severity") -> DataFrame:
@@ -71,26 +74,73 @@ def severity_pipeline(
     return Pipeline(stages=[category_indexer(categories), feature_assembler(inputs), trees])
 
 
-def fit_categories(
-    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS, bins: int = BINS
-) -> StringIndexerModel:
-    """The index of each category, for columns known to be categories."""
-    check_categories(df, columns, bins)
-    return category_indexer(columns).fit(df)
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """slot (a column's place), value and rows of each category, for all columns in one pass."""
+    slots = [
+        F.struct(F.lit(slot).alias("slot"), F.col(name).cast("string").alias("value"))
+        for slot, name in enumerate(columns)
+    ]
+    values = df.select(F.inline(F.array(*slots))).where("value IS NOT NULL")
+    return values.groupBy("slot", "value").agg(F.count("*").alias("rows"))
+
+
+def category_index(
+    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS
+) -> tuple[DataFrame, list[int]]:
+    """(slot, value and place of every category, number of categories of each column).
+
+    Places go by falling frequency and then by name, for any number of values: the counts are sorted
+    by range and written, and a row's place is its place in its partition after the rows of the
+    partitions before. Only the rows of each partition, one number for each column, come together.
+    """
+    spark = df.sparkSession
+    path = fresh_folder(spark, "categories")
+    order = [F.col("slot"), F.col("rows").desc(), F.col("value")]
+    placed = category_counts(df, columns).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed.select("slot", "value", F.monotonically_increasing_id().alias("id")).write.parquet(path)
+    placed = spark.read.parquet(path)
+    part = F.shiftright("id", 33)
+    sizes = placed.groupBy(part.alias("part"), "slot").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    totals, starts = [0] * len(columns), {}
+    for row in sorted(sizes.collect()):
+        starts[row["part"], row["slot"]] = totals[row["slot"]] - row["low"]
+        totals[row["slot"]] += row["n"]
+    shifts = spark.createDataFrame(
+        [(part, slot, shift) for (part, slot), shift in starts.items()], "part BIGINT, slot INT, shift BIGINT"
+    )
+    found = placed.withColumn("part", part).join(shifts, ["part", "slot"])
+    return found.select("slot", "value", (F.col("id") + F.col("shift")).alias("place")), totals
+
+
+def with_category_index(
+    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS
+) -> DataFrame:
+    """Each column with its index beside it; missing values share one place after the last."""
+    index, totals = category_index(df, columns)
+    for slot, name in enumerate(columns):
+        own = index.where(F.col("slot") == slot).select(
+            F.col("value").alias("_value"), F.col("place").cast("double").alias(f"{name}Indexed")
+        )
+        joined = df.join(own, F.col(name).cast("string") == F.col("_value"), "left").drop("_value")
+        df = joined.withColumn(
+            f"{name}Indexed", F.coalesce(f"{name}Indexed", F.lit(float(totals[slot])))
+        )
+    return df
 
 
 def check_categories(df: DataFrame, categories: Sequence[str], bins: int) -> None:
     """Refuse categories with more values than the trees have bins, before fitting anything.
 
-    The indexer takes all values of a column to one place, so this also bounds what it holds.
-    The sketch only decides for counts far above the bins; the trees check the exact count.
+    Missing values take a bin as well. The library's indexer takes all values of a column to one
+    place, so this also bounds what it holds.
     """
-    counts = df.agg(*[F.approx_count_distinct(name, 0.02).alias(name) for name in categories])
+    counts = category_counts(df, categories).groupBy("slot").count()
     too_many = {
-        name: count for name, count in counts.first().asDict().items() if count > bins * 1.1
+        categories[row["slot"]]: row["count"]
+        for row in counts.where(F.col("count") + 1 > bins).collect()
     }
     if too_many:
-        raise ValueError(f"categories with more than {bins} values (estimated): {too_many}")
+        raise ValueError(f"categories with more values than {bins} bins less one: {too_many}")
 
 
 def fit(train: DataFrame, bins: int = BINS, **settings) -> PipelineModel:
@@ -112,35 +162,53 @@ def train_severity(
     accidents: DataFrame,
     key: Sequence[str] | None = ("ID",),
     sample_path: str | None = None,
+    predictions_path: str | None = None,
+    work_folder: str | None = None,
     **settings,
 ) -> Trained:
     """Label, sample, split, fit, and measure on the held-out part.
 
-    With ``key`` columns, which have to tell rows apart, the sample and the split follow the key;
-    without them Spark's samplers draw by partition. Sampling comes before the split, so the
-    measure is for the sampled mix.
+    With ``key`` columns, which have to tell rows apart, the sample and the split follow the key,
+    and for rows that lack it the other columns; without them Spark's samplers draw by partition.
+    Sampling comes before the split, so the measure is for the sampled mix.
 
-    The sample stays under ``sample_path``, by default a new folder in the shared one.
+    The sample is written to the shared folder and removed at the end, or stays under
+    ``sample_path``. The held-out predictions are written to ``predictions_path``, if given.
     """
     spark = accidents.sparkSession
-    shared_folder(spark)  # boosting cuts its lineage there
+    if spark.sparkContext.getCheckpointDir() is None:  # boosting cuts its lineage there
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, work_folder))
     inputs = settings.get("inputs", schema.FEATURE_INPUTS)
     categories = settings.get("categories", schema.CATEGORY_COLUMNS)
     plain = [name for name in inputs if name.removesuffix("Indexed") not in categories]
     needed = dict.fromkeys([*(key or []), "label", *plain, *categories])
     labelled = with_label(accidents).select(*needed)
-    keys = [F.col(name) for name in key or []]
-    sample_by = uniform_of(*keys, seed=SAMPLE_SEED) if key else None
-    split_by = uniform_of(*keys, seed=SPLIT_SEED) if key else None
-    sampled = stratified_sample(labelled, uniform=sample_by)
+    sampled = stratified_sample(labelled, uniform=draw(labelled, key, SAMPLE_SEED))
     # Boosting goes over the sample hundreds of times. It is written as a table of its own, so an
     # executor lost on the way costs a read of its part and not of the source; spread evenly,
     # whatever files it comes from and however the strata lie in them; and in as many files as
     # its size calls for. All columns are hashed, so a key that many rows share does not draw
     # them together.
     columns = sampled.columns
-    path = sample_path or fresh_folder(spark, "sample")
+    path = sample_path or fresh_folder(spark, "sample", work_folder)
     sampled.repartition(*columns).sortWithinPartitions(*columns).write.parquet(path)
-    train, test = split(spark.read.parquet(path), uniform=split_by)
+    sampled = spark.read.parquet(path)
+    train, test = split(sampled, uniform=draw(sampled, key, SPLIT_SEED))
     model = fit(train, **settings)
-    return Trained(model, area_under_roc(model.transform(test)))
+    predictions = model.transform(test)
+    if predictions_path:
+        predictions.write.parquet(predictions_path)
+        predictions = spark.read.parquet(predictions_path)
+    order = list(key) if key else sampled.columns
+    trained = Trained(model, area_under_roc(predictions), preview(predictions, order).collect())
+    if not sample_path:
+        remove_folder(spark, path)
+    return trained
+
+
+def draw(df: DataFrame, key: Sequence[str] | None, seed: int) -> Column | None:
+    """A number in [0, 1) for each row, by its key, or else by its other columns."""
+    if not key:
+        return None
+    others = [F.col(name) for name in df.columns if name not in key]
+    return uniform_of(*map(F.col, key), seed=seed, others=others)

@@ -60,10 +60,6 @@ def _fields(ddl: str) -> list[tuple[str, str]]:
 ACCIDENT_FIELDS = _fields(ACCIDENT_DDL)
 ACCIDENT_COLUMNS = [name for name, _ in ACCIDENT_FIELDS]
 
-_RAW_NAMES = {clean: raw for raw, clean in UNIT_COLUMNS.items()}
-# The raw file is read as text: cleaning coerces the two times and passes the rest through.
-RAW_DDL = ", ".join(f"`{_RAW_NAMES.get(name, name)}` STRING" for name in ACCIDENT_COLUMNS)
-
 WINDOW_FEATURES_DDL = ", ".join(
     ["window_start TIMESTAMP", "window_end TIMESTAMP", f"{COUNT_COLUMN} BIGINT"]
     + [f"{name} DOUBLE" for name in MEAN_COLUMNS + RATE_COLUMNS]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -15,6 +14,8 @@ STREAM_SETTINGS = {
     ),
     # A commit uploads what changed and not the whole state.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Most frequent categories take two aggregates, one after the other.
+    "spark.sql.streaming.statefulOperator.allowMultiple": "true",
 }
 
 
@@ -31,55 +32,53 @@ def get_spark(app_name: str = "riskloom", options: Mapping[str, str] = {}) -> Sp
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Windows align to the epoch in UTC, so hours and days are read in UTC as well."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def utc_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings in UTC: windows align to the epoch in UTC, so hours and
+    days are read in UTC as well. The caller's own session stays as it is."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key) and session.conf.get(key, None) != value:
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    return session
 
 
 def partitions_of(spark: SparkSession) -> int:
-    """The configured number of shuffle partitions. A local session, whose cores are known, takes
-    no more than those."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(configured, spark.sparkContext.defaultParallelism) if is_local(spark) else configured
+    """The configured number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """A session for one stream, with its own SQL settings and the same executors.
+    """A session for one stream, in UTC, with its own SQL settings and the same executors.
 
     The number of shuffle partitions becomes the number of state stores and stays fixed for the
     life of the checkpoint, so size it before the first start.
     """
     session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", partitions_of(spark))
     for key, value in STREAM_SETTINGS.items():
         session.conf.set(key, value)
-    return use_utc(session)
-
+    return session
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own; a cluster
-    without one is refused, since a driver's temporary folder is lost to its executors.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """A folder every executor can reach: the one given, else that in ``spark.checkpoint.dir``, else
+    one under the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if not folder:
-        if not is_local(spark):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="riskloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return folder or configured or f"{warehouse}/riskloom-work"
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
+def fresh_folder(spark: SparkSession, name: str, folder: str | None = None) -> str:
     """A path of its own for one run under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark, folder).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that a job has written and no longer needs."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

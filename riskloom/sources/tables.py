@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom import schema
-from riskloom.operators.parsing import QUOTING, TIME_FORMATS
+from riskloom.operators.parsing import QUOTING, TIME_FORMATS, parsed_as
+
+
+# Rows in a file of a CSV table. One with line breaks inside texts is read by one task a file.
+ROWS_PER_FILE = 1_000_000
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
@@ -30,21 +34,49 @@ def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True) -
     return spark.read.csv(path, header=True, inferSchema=True, multiLine=multi_line, **QUOTING)
 
 
+def read_text_fields(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV table with all fields as text under the header's own names.
+
+    Without ``multi_line`` a record with another number of fields than the header is an error: it
+    is a piece of one with a line break, whose fields would be out of place.
+    """
+    strict = {} if multi_line else {"mode": "FAILFAST", "columnPruning": "false"}
+    return spark.read.options(**strict).csv(path, header=True, multiLine=multi_line, **QUOTING)
+
+
 def read_raw_accidents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """The raw accident file, all fields as text under their unit-suffixed names."""
-    return read_csv(spark, path, schema.RAW_DDL, multi_line)
+    """The raw accident fields as text under their unit-suffixed names, found by name; other
+    columns, and the order of the columns, do not matter."""
+    raw = read_text_fields(spark, path, multi_line)
+    suffixed = {clean: name for name, clean in schema.UNIT_COLUMNS.items()}
+    wanted = {name: [suffixed.get(name, name), name] for name in schema.ACCIDENT_COLUMNS}
+    found = {name: next((x for x in names if x in raw.columns), None) for name, names in wanted.items()}
+    absent = [wanted[name][0] for name, held in found.items() if held is None]
+    if absent:
+        raise ValueError(f"columns that {path} lacks: {', '.join(absent)}")
+    return raw.select(*[F.col(f"`{held}`").alias(wanted[name][0]) for name, held in found.items()])
 
 
 def read_accidents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The cleaned accident table, from Parquet if the path says so, else from CSV."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema.ACCIDENT_DDL).parquet(path)
-    return read_csv(spark, path, schema.ACCIDENT_DDL, multi_line)
+    if multi_line:
+        return read_csv(spark, path, schema.ACCIDENT_DDL)
+    # As text first, so that a field that does not parse is told from a field out of place.
+    fields = read_text_fields(spark, path, multi_line=False)
+    return fields.select(
+        *[
+            (F.col(name) if kind == "STRING" else parsed_as(F.col(name), kind)).alias(name)
+            for name, kind in schema.ACCIDENT_FIELDS
+        ]
+    )
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """A CSV table with a header in every part file and doubled quotes."""
-    df.write.mode(mode).options(**QUOTING, **TIME_FORMATS).csv(path, header=True)
+    """A CSV table with a header in every part file, doubled quotes and bounded files."""
+    writer = df.write.mode(mode).options(**QUOTING, **TIME_FORMATS, maxRecordsPerFile=ROWS_PER_FILE)
+    writer.csv(path, header=True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error") -> None:

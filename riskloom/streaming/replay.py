@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from riskloom.operators.parsing import csv_record, to_messages
-from riskloom.session import partitions_of
+from riskloom.operators.parsing import message_value, to_messages
+
+
+ROWS_PER_FILE = 1_000_000
 
 
 def replay_to_files(
@@ -16,17 +18,19 @@ def replay_to_files(
     order: Sequence[str],
     files: int | None = None,
     mode: str = "error",
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """Write the table as text files of messages, each file one stretch of the given order.
+    """Write the table as text files of messages, each file one stretch of the given order and of
+    at most ``rows_per_file`` messages.
 
-    There are as many files as shuffle partitions unless another number is given.
+    The table is cut into ``files`` stretches, or as Spark sizes them by the shuffle settings.
     Name the event time first and a key after it: the key splits a time that very many rows
     share. A file source takes files by modification time, and files written side by side finish
     in any order, so a stream that reads them one by one needs a delay that covers a file or two.
     """
-    files = files or partitions_of(df.sparkSession)
-    sliced = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    sliced.select(csv_record(df).alias("value")).write.mode(mode).text(path)
+    sliced = df.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order)
+    lines = sliced.select(message_value(df).alias("value"))
+    lines.write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def replay_to_topic(df: DataFrame, servers: str, topic: str, **options: str) -> None:

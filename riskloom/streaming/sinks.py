@@ -1,4 +1,4 @@
-"""Append-only file and topic sinks with checkpoints."""
+"""Append-only file sinks with checkpoints."""
 
 from __future__ import annotations
 
@@ -31,24 +31,3 @@ def append_files(
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
-
-
-def append_to_topic(
-    messages: DataFrame,
-    servers: str,
-    topic: str,
-    checkpoint: str,
-    available_now: bool = False,
-    **options: str,
-) -> StreamingQuery:
-    """Start a query that sends ``key`` and ``value`` to a topic. Needs the Kafka package."""
-    writer = (
-        messages.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .options(**options)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()

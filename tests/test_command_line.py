@@ -3,6 +3,8 @@
 import pytest
 
 from bindings.spark_queries import _raw_accidents
+from pyspark.sql import functions as F
+
 from riskloom import schema
 from riskloom.__main__ import arguments, run
 from riskloom.sources.predictions import read_predictions
@@ -43,7 +45,10 @@ def test_cleaned_csv_and_parquet_hold_the_same(spark, tables, tmp_path):
     from riskloom.sources.tables import read_accidents
 
     raw = tmp_path / "raw.csv"
-    write_csv(_raw_accidents(spark, tables), str(raw))
+    untidy = F.array(*map(F.lit, ["yes", "1", " true", "t", "True", "FALSE", " 3", "3.0", "4 ", "x", "3"]))
+    pick = F.get(untidy, (F.substring("ID", 3, 9).cast("int") % 11))
+    given = _raw_accidents(spark, tables).withColumns({"Junction": pick, "Severity": pick, "Humidity(%)": pick, "Weather_Timestamp": F.concat(F.lit(" "), "Start_Time")})
+    write_csv(given, str(raw))
     found = []
     for name in ("c.csv", "c.parquet"):
         command(spark, "clean", "--source", raw, "--target", tmp_path / name)

@@ -1,13 +1,12 @@
 import random
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bindings.spark_queries import accidents
 from riskloom import schema
-from riskloom.functions.columns import label_from_severity, uniform_of, uniform_of_md5
+from riskloom.functions.columns import label_from_severity, uniform_of
 from riskloom.operators.reports import preview
 from riskloom.operators.sampling import split, split_bounds, stratified_sample
 from riskloom.plans import training
@@ -67,11 +66,8 @@ def test_split_bounds_cover_the_unit_range():
     assert all(left[1] == right[0] for left, right in zip(bounds, bounds[1:]))
 
 
-@pytest.mark.parametrize(
-    "uniform", [lambda c: uniform_of(c, seed=1), lambda c: uniform_of_md5(c, 1)]
-)
-def test_uniform_is_even(spark, uniform):
-    draws = spark.range(50000).select(uniform(F.col("id")).alias("u"))
+def test_uniform_is_even(spark):
+    draws = spark.range(50000).select(uniform_of(F.col("id"), seed=1).alias("u"))
     low, high, mean, below = draws.agg(
         F.min("u"), F.max("u"), F.avg("u"), F.avg((F.col("u") < 0.24).cast("double"))
     ).first()
@@ -115,15 +111,42 @@ def test_too_many_categories_are_refused_before_fitting(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("Weather"))
     with pytest.raises(ValueError, match="Weather"):
         training.check_categories(df, ["Weather"], 150)
-    training.check_categories(df.where("id < 100"), ["Weather"], 150)
+    training.check_categories(df.where("id < 149"), ["Weather"], 150)
+    with pytest.raises(ValueError, match="Weather"):
+        training.check_categories(df.where("id < 150"), ["Weather"], 150)
 
 
-def test_bins_just_too_few_fail_in_the_trees(spark, tables):
+def test_bins_accept_what_the_trees_accept(spark, tables):
     rows = training.with_label(accidents(spark, tables))
-    with pytest.raises(PySparkException, match="maxBins"):
+    # Four kinds of weather and of wind, and a place for missing values.
+    training.fit(rows, bins=5, **QUICK)
+    with pytest.raises(ValueError, match="Weather"):
         training.fit(rows, bins=4, **QUICK)
 
 
+def test_category_index_of_many_values_equals_the_librarys(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, (F.col("id") * F.col("id") % 911).cast("string")).alias("Weather"),
+        (F.col("id") % 5 == 0).cast("string").alias("Wind"),
+    )
+    names = ["Weather", "Wind"]
+    expected = training.category_indexer(names).fit(df).transform(df)
+    assert rows(training.with_category_index(df.repartition(5), names)) == rows(expected)
+    assert training.with_category_index(df.limit(0), names).count() == 0
+
+
+def test_rows_without_a_key_are_drawn_by_their_other_columns(spark):
+    df = spark.range(1000).select(
+        F.lit(None).cast("string").alias("ID"), F.lit(0).alias("label"), F.col("id").alias("measure")
+    )
+    drawn = stratified_sample(df, uniform=training.draw(df, ["ID"], 36)).count()
+    assert drawn == pytest.approx(240, abs=60)
+    keyed = df.withColumn("ID", F.col("measure").cast("string"))
+    other = keyed.withColumn("measure", F.lit(0))
+    by_key = [stratified_sample(t, uniform=training.draw(t, ["ID"], 36)) for t in (keyed, other)]
+    assert rows(by_key[0].select("ID")) == rows(by_key[1].select("ID"))
+
+
 @pytest.fixture(scope="module")
 def trained(spark, tables):
     return training.train_severity(accidents(spark, tables), iterations=5)
@@ -152,6 +175,18 @@ def test_training_does_not_depend_on_the_layout(spark, tables, trained):
     assert again.area_under_roc == trained.area_under_roc
 
 
+def test_training_leaves_no_sample_and_shows_held_out_rows(spark, tables, tmp_path):
+    folder, kept = tmp_path / "work", tmp_path / "kept"
+    trained = training.train_severity(accidents(spark, tables), work_folder=str(folder), **QUICK)
+    assert not [p for p in folder.glob("sample-*")] and len(trained.preview) == 5
+    again = training.train_severity(
+        accidents(spark, tables), sample_path=str(kept), predictions_path=str(tmp_path / "p"), **QUICK
+    )
+    assert spark.read.parquet(str(kept)).count() > 0 and again.preview == trained.preview
+    held_out = spark.read.parquet(str(tmp_path / "p"))
+    assert rows(preview(held_out, ["ID"])) == rows(spark.createDataFrame(trained.preview, held_out.select("label", "prediction", "probability").schema))
+
+
 def test_training_without_a_key(spark, tables):
     assert training.train_severity(accidents(spark, tables), key=None, **QUICK).area_under_roc > 0.5
 

@@ -167,6 +167,27 @@ def test_header_in_another_order_is_refused(spark, tmp_path):
         read_csv(spark, str(path), "a INT, b INT").collect()
 
 
+def test_raw_columns_are_found_by_name(spark, raw_file, tmp_path):
+    raw = read_raw_accidents(spark, raw_file)
+    other = tmp_path / "other.csv"
+    write_csv(raw.select(F.lit(1).alias("More"), *[F.col(f"`{c}`") for c in raw.columns[::-1]]), str(other))
+    assert rows(read_raw_accidents(spark, str(other))) == rows(raw)
+    (tmp_path / "few.csv").write_text("ID,Severity\n1,2\n")
+    with pytest.raises(ValueError, match="Start_Time"):
+        read_raw_accidents(spark, str(tmp_path / "few.csv"))
+
+
+def test_line_break_in_a_text_is_an_error_for_one_line_records(spark, raw_file):
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_raw_accidents(spark, raw_file, multi_line=False).select("ID").collect()
+
+
+def test_large_csv_is_read_in_pieces(spark, tmp_path):
+    path = str(tmp_path / "pieces")
+    write_csv(spark.range(2_500_000).select("id", F.lit("text").alias("t")).coalesce(1), path)
+    assert read_csv(spark, path, "id BIGINT, t STRING").rdd.getNumPartitions() > 1
+
+
 def test_inferred_types(spark, tmp_path):
     path = tmp_path / "typed.csv"
     path.write_text('n,flag,time,text\n1,True,2016-02-08 05:46:00,"a ""b"", c"\n2,False,,\n')

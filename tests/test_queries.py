@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from bindings.oracles import ORACLES
+from bindings.spark_queries import QUERIES
 
 SPARK_TYPES = {
     "bigint": "BIGINT",
@@ -30,14 +32,9 @@ def test_query_equals_sql(spark, duck, tables, name):
     assert expected
 
 
-@pytest.mark.parametrize("name", ["random_stratified_sample", "random_split"])
-def test_random_draws_take_rows_of_the_table(spark, tables, name):
-    result = queries()[name](spark, tables).collect()
-    assert result and len({row.ID for row in result}) == len(result)
-
-
 def test_names_match():
     assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -7,13 +7,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from riskloom.functions.intervals import micros
-from riskloom.operators.parsing import to_messages
 from riskloom.operators.windows import EventWindow, Measures, closed_windows, window_features
-from riskloom.session import fresh_folder, shared_folder, stream_session
+from riskloom.session import fresh_folder, shared_folder, stream_session, utc_session
 from riskloom.sources.messages import file_messages, kafka_messages
 from riskloom.streaming.replay import replay_to_files, replay_to_topic
 from riskloom.streaming.scoring import message_features
-from riskloom.streaming.sinks import append_files, append_to_topic
+from riskloom.streaming.sinks import append_files
 
 from helpers import at, plain_times, rows
 
@@ -136,15 +135,11 @@ def test_file_sink_takes_finished_windows_only(spark, tmp_path):
 
 
 def test_topics_need_their_connector(spark, tmp_path):
-    """Without Spark's Kafka package each of the three says which data source is missing."""
+    """Without Spark's Kafka package both say which data source is missing."""
     table = spark.range(1)
-    stream = spark.readStream.format("rate").load()
     for call in (
         lambda: kafka_messages(spark, "localhost:9092", "topic", maxOffsetsPerTrigger="10"),
         lambda: replay_to_topic(table, "localhost:9092", "topic"),
-        lambda: append_to_topic(
-            to_messages(stream), "localhost:9092", "topic", str(tmp_path), available_now=True
-        ),
     ):
         with pytest.raises(AnalysisException, match="(?i)kafka"):
             call()
@@ -180,7 +175,39 @@ def test_stream_session_leaves_the_callers_settings(spark):
 def test_shared_folder_follows_the_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
-    assert spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark, "given") == "given"
+
+
+def test_categories_need_chained_aggregates(spark, tmp_path):
+    """With the setting false no window would ever come out."""
+    key = "spark.sql.streaming.statefulOperator.allowMultiple"
+    session = stream_session(spark)
+    assert session.conf.get(key) == "true"
+    session.conf.set(key, "false")
+    messages = file_messages(session, str(tmp_path))
+    with pytest.raises(ValueError, match="allowMultiple"):
+        message_features(messages, HOUR, DDL, MEASURES, "ts")
+    plain = Measures(means=["v"], count="n")
+    assert message_features(messages, HOUR, DDL, plain, "ts").isStreaming
+
+
+def test_queries_leave_the_callers_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        session = utc_session(spark)
+        assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+        assert session.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_replay_bounds_the_rows_of_a_file(spark, tmp_path):
+    replay_to_files(spark.range(5000), str(tmp_path / "in"), ["id"], rows_per_file=700)
+    lines = spark.read.text(str(tmp_path / "in")).groupBy(F.input_file_name()).count()
+    sizes = [row["count"] for row in lines.collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 700
 
 
 def test_rows_at_the_window_edge(spark):

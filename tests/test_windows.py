@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from riskloom.functions.intervals import common_step, micros
+from riskloom.functions.intervals import divides, micros
 from riskloom.operators.windows import (
     EventWindow,
     Measures,
@@ -167,8 +167,11 @@ def test_intervals():
     assert micros("1 day 12 hours") == 36 * 3_600_000_000
     assert micros("interval 90 seconds") == 90_000_000
     assert micros("1 month") is None and micros("soon") is None
-    assert common_step("50 minutes", "20 minutes") == "600000000 microseconds"
-    assert common_step("1 month", "1 day") is None
+    assert divides("15 minutes", "1 hour") and not divides("20 minutes", "50 minutes")
+    assert not divides("1 day", "1 month")
+    assert EventWindow("1 hour", "15 minutes").pane() == "15 minutes"
+    assert EventWindow("1 hour", "59 minutes 59 seconds").pane() is None
+    assert EventWindow("1 hour").pane() is None
 
 
 def test_incomplete_windows(spark):
