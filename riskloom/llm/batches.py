@@ -112,3 +112,40 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
     return shift + np.arange(total)
+
+
+class HashSlots:
+    """Numbers by 64-bit hash, in an open-addressing table of fixed size."""
+
+    def __init__(self, bits: int) -> None:
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.numbers = np.full(1 << bits, -1, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it has none."""
+        wanted = np.maximum(hashes, np.uint64(1))  # 0 marks a free place
+        place = (wanted & self.mask).astype(np.int64)
+        held = self.keys[place]
+        out = np.where(held == wanted, self.numbers[place], -1)
+        todo = np.flatnonzero((held != wanted) & (held != 0))
+        while len(todo):
+            place[todo] = (place[todo] + 1) & int(self.mask)
+            held = self.keys[place[todo]]
+            hit = held == wanted[todo]
+            out[todo[hit]] = self.numbers[place[todo[hit]]]
+            todo = todo[~hit & (held != 0)]
+        return out
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Puts distinct hashes that are not there."""
+        wanted = np.maximum(hashes, np.uint64(1))
+        place = (wanted & self.mask).astype(np.int64)
+        todo = np.arange(len(wanted))
+        while len(todo):
+            free = todo[self.keys[place[todo]] == 0]
+            self.keys[place[free]] = wanted[free]
+            done = self.keys[place[todo]] == wanted[todo]
+            self.numbers[place[todo[done]]] = numbers[todo[done]]
+            todo = todo[~done]
+            place[todo] = (place[todo] + 1) & int(self.mask)

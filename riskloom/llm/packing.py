@@ -16,63 +16,87 @@ their own; an empty table has no pieces; columns other than the ID and the text
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.batches import hash_slices, ragged, text_groups
+from riskloom.llm.batches import HashSlots, hash_slices, ragged, text_groups
 from riskloom.session import fresh_folder
 
 CAPACITY = 1024
 END_ID = 2
 OPEN_BINS = 512
 PIECES_PER_TASK = 200_000
-KNOWN_CHUNKS = 1 << 20
+KNOWN_CHUNKS = 1 << 21
+GROUP_BYTES = 2 << 20
+JOINED = 512
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
 class ChunkTokenizer:
-    """Token IDs of whole texts, tokenising each distinct chunk of a batch once.
+    """Token IDs of whole texts, tokenising each distinct chunk once.
 
     A text is cut before every single blank between two characters that are no white space. The
     tokenizer's own splitting starts anew at such a blank, so the IDs of the chunks, one after the
-    other, are those of the text. What was seen is kept in sorted arrays up to a fixed number.
+    other, are those of the text. What was seen is kept up to a fixed number of chunks.
     """
 
     def __init__(self, path: str) -> None:
+        # Its own threads would add to those of the executor.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A token of the byte-level vocabulary has a character for each byte.
+        special = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        for name, k in names.items():
+            self.bytes_of[k] = len(special[k].encode()) if k in special else len(name)
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
-        if len(self.keys) + len(keys) > KNOWN_CHUNKS:
-            self._forget()
-        lengths, flat = [], []
-        for low in range(0, len(chunks), 4096):
-            for encoded in self.tokenizer.encode_batch_fast(
-                chunks[low : low + 4096], add_special_tokens=False
-            ):
-                ids = encoded.ids
-                lengths.append(len(ids))
-                flat.extend(ids)
-        lengths = np.array(lengths, np.int64)
-        starts = len(self.ids) + np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        self.ids = np.concatenate((self.ids, np.array(flat, np.uint32)))
-        order = np.argsort(np.concatenate((self.keys, keys)), kind="stable")
-        self.keys = np.concatenate((self.keys, keys))[order]
-        self.starts = np.concatenate((self.starts, starts))[order]
-        self.lengths = np.concatenate((self.lengths, lengths))[order]
+        self.slots = HashSlots(KNOWN_CHUNKS.bit_length() + 1)
+        self.n = self.used = 0
+        self.starts = np.zeros(KNOWN_CHUNKS, np.int32)
+        self.lengths = np.zeros(KNOWN_CHUNKS, np.int32)
+        self.ids = np.zeros(4 * KNOWN_CHUNKS, np.uint32)
+
+    def _learn(self, keys: np.ndarray, chunks: list[bytes], joinable: np.ndarray) -> None:
+        """Tokenises new chunks. Those that begin and end within a text are tokenised as one text,
+        some hundred at a time, and taken apart by the bytes of their tokens."""
+        alone, joined = np.flatnonzero(~joinable).tolist(), np.flatnonzero(joinable).tolist()
+        groups = [[k] for k in alone] + [joined[low : low + JOINED] for low in range(0, len(joined), JOINED)]
+        lengths, flat = np.zeros(len(chunks), np.int64), []
+        order = np.array([k for g in groups for k in g], np.int64)
+        for low in range(0, len(groups), 256):
+            part = groups[low : low + 256]
+            texts = [b"".join([chunks[k] for k in g]).decode() for g in part]
+            for g, encoded in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(encoded.ids, np.uint32)
+                edges = np.cumsum(self.bytes_of[ids])
+                ends = np.searchsorted(edges, np.cumsum([len(chunks[k]) for k in g]), "left") + 1
+                lengths[g] = np.diff(ends, prepend=0) if len(g) > 1 else len(ids)
+                flat.append(ids)
+        flat = np.concatenate(flat)
+        n, used = self.n + len(keys), self.used + len(flat)
+        if n > len(self.starts):
+            more = n - len(self.starts)
+            self.starts, self.lengths = (np.concatenate((x, np.zeros(more, np.int32))) for x in (self.starts, self.lengths))
+        if used > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(used - len(self.ids), np.uint32)))
+        lengths = lengths[order]
+        self.lengths[self.n : n] = lengths
+        self.starts[self.n : n] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : used] = flat
+        self.slots.add(keys[order], np.arange(self.n, n, dtype=np.int32))
+        self.n, self.used = n, used
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(IDs of all texts, number of IDs of each text)."""
@@ -81,27 +105,35 @@ class ChunkTokenizer:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(texts, np.int64)
         ends = np.concatenate((starts[1:], offsets[-1:]))
-        rows = np.searchsorted(offsets, starts, "right") - 1
-        keys, first, inverse = np.unique(
-            hash_slices(data, starts, ends), return_index=True, return_inverse=True
-        )
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        if not known.all():
+        keys = hash_slices(data, starts, ends)
+        slot = self.slots.find(keys)
+        if (slot < 0).any():
+            new = _distinct_places(keys, slot < 0)
+            if self.n + len(new) > KNOWN_CHUNKS:
+                self._forget()
+                new = _distinct_places(keys, np.ones(len(keys), bool))
+                if 2 * len(new) > len(self.slots.keys):
+                    self.slots = HashSlots((4 * len(new)).bit_length())
             raw = data.tobytes()
-            if len(self.keys) + int((~known).sum()) > KNOWN_CHUNKS:
-                known[:] = False
-            new = first[~known]
-            self._learn(
-                keys[~known],
-                [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())],
-            )
-            at = np.searchsorted(self.keys, keys)
-        slot = at[inverse]
+            inside = ~np.isin(starts[new], offsets) & ~np.isin(ends[new], offsets)
+            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())], inside)
+            slot = self.slots.find(keys)
         lengths = self.lengths[slot]
-        sizes = np.bincount(rows, weights=lengths, minlength=texts).astype(np.int64)
-        return self.ids[ragged(self.starts[slot], lengths)], sizes
+        firsts = np.searchsorted(starts, offsets)
+        total = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+        return self.ids[ragged(self.starts[slot], lengths)], np.diff(total[firsts])
+
+
+@cache
+def _tokenizer(path: str) -> ChunkTokenizer:
+    """One for each Python process, so that tasks share what it has seen."""
+    return ChunkTokenizer(path)
+
+
+def _distinct_places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The first place of each distinct key among those wanted."""
+    at = np.flatnonzero(wanted)
+    return at[np.unique(keys[at], return_index=True)[1]]
 
 
 def _chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -123,9 +155,10 @@ def _chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     )
     wide |= (after == 0xC2) & ((next_two == 0x85) | (next_two == 0xA0))
     wide |= (after >= 0xE1) & (after <= 0xE3)
-    at = at[~wide]
-    filled = offsets[:-1][offsets[:-1] < offsets[1:]]
-    return np.union1d(at, filled)
+    cuts = np.zeros(size, bool)
+    cuts[at[~wide]] = True
+    cuts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(cuts)
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -144,7 +177,7 @@ def tokenized(
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkTokenizer(tokenizer)
+        chunks = _tokenizer(tokenizer)
         for batch in batches:
             for first, last, ids, bounds in _documents(chunks, batch.column(1), end_id):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
@@ -157,7 +190,7 @@ def tokenized(
 
 def _documents(chunks: ChunkTokenizer, column: pa.Array, end_id: int):
     """(first row, row after the last, IDs, bounds) with the end token after each document."""
-    for first, last, data, offsets in text_groups(column):
+    for first, last, data, offsets in text_groups(column, GROUP_BYTES):
         ids, sizes = chunks.encode(data, offsets)
         bounds = np.concatenate(([0], np.cumsum(sizes + 1)))
         out = np.empty(bounds[-1], np.uint32)
@@ -180,7 +213,7 @@ def pieces(
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkTokenizer(tokenizer)
+        chunks = _tokenizer(tokenizer)
         for batch in batches:
             for first, last, ids, bounds in _documents(chunks, batch.column(1), end_id):
                 raw = memoryview(ids.astype("<u4").tobytes())
