@@ -1,5 +1,40 @@
-"""SQL that the queries on training text are checked against."""
+"""SQL that the queries on training text are checked against, where SQL can express them. The others
+hold trained models, a tokenizer or a hash that SQL engines do not share; tests compare them with
+plain versions."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{_CAPITALS}', '{_CAPITALS.lower()}')"
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+        b AS (SELECT item_id, w, least(10, len(w)) AS n
+              FROM (SELECT item_id, {_words("text")} AS w FROM benchmark) WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS words
+            FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS k FROM b)),
+        places AS (
+            SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS words
+            FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS k
+                  FROM d CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+        found AS (SELECT doc_id, k, n, item_id FROM places JOIN windows USING (n, words)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS place FROM found)
+            GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
+            GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
