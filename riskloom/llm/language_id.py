@@ -4,8 +4,9 @@ A model is an array of sorted n-gram hashes with the n-gram's log probability an
 passes on as a context. Words are runs of letters in lower case, closed at both ends; characters
 are predicted from at most ``ORDER - 1`` before them in the word. A text gets the language with the
 lowest cross-entropy per character. What is calibrated on labelled texts that the models have not
-seen: the temperature that turns the differences into a probability, and how far a language's own
-texts lie above its usual cross-entropy, beyond which a text is rejected.
+seen: the temperature that turns the differences into a probability, the usual cross-entropy of a
+language's texts, that of the same letters in random order, and how it varies with the length. A
+text nearer to random letters than to its language is rejected; one of several languages is not.
 
 The models learn from a bounded sample: whole labelled texts, drawn by hash, of about
 ``SAMPLE_CHARS`` characters over all languages. Each distinct word of a batch is scored once.
@@ -37,8 +38,10 @@ GROUP_CHARS = 1 << 20
 KNOWN_WORDS = 1 << 20
 #: Bound on the characters that any language's model keeps some probability for.
 ALPHABET = 1 << 12
-#: A text is rejected when it lies this many times as far out as the farthest calibration text.
-SLACK = 1.5
+#: A text is rejected when its cross-entropy lies beyond this part of the way from a language's usual
+#: one to that of its letters in random order, and beyond so many standard errors for its length.
+REJECT_AT = 0.65
+ERRORS = 4.0
 _BEGIN, _END = 2, 3
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -209,8 +212,8 @@ class Identifier:
     models: list[CharModel]
     temperature: float
     usual: np.ndarray  # cross-entropy of a language's texts
-    spread: np.ndarray  # of one character, and of one text
-    limit: float
+    noise: np.ndarray  # that of their letters in random order
+    spread: np.ndarray  # standard deviation of one character
 
     def judge(self, scorer: WordScorer, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, probability, rejected) of each text."""
@@ -220,16 +223,16 @@ class Identifier:
         best = log_p.argmax(axis=1)
         score = _posterior(log_p, n, self.temperature)[np.arange(len(texts)), best]
         empty = n == 0
-        rejected = empty | (self.distance(log_p, n, best) > self.limit)
+        rejected = empty | (self.excess(log_p, n, best) > 0)
         names = [UNKNOWN if e else self.languages[b] for b, e in zip(best.tolist(), empty.tolist())]
         return names, np.where(empty, 0.0, score), rejected
 
-    def distance(self, log_p: np.ndarray, n: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """How far a text's cross-entropy lies above the usual one, in standard deviations."""
+    def excess(self, log_p: np.ndarray, n: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """How far a text's cross-entropy lies beyond what is accepted for its length."""
         chars = np.maximum(n, 1)
         entropy = -log_p[np.arange(len(n)), best] / chars
-        of_char, of_text = self.spread[0][best], self.spread[1][best]
-        return (entropy - self.usual[best]) / np.sqrt(of_char**2 / chars + of_text**2)
+        limit = self.usual[best] + REJECT_AT * (self.noise[best] - self.usual[best])
+        return entropy - limit - ERRORS * self.spread[best] / np.sqrt(chars)
 
 
 def _posterior(log_p: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarray:
@@ -276,38 +279,38 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
 
 
 def _calibrated(languages: list[str], models: list[CharModel], held: list[tuple[str, str]]) -> Identifier:
-    wide = np.full(len(models), 10.0)
-    out = Identifier(languages, models, 1.0, np.zeros(len(models)), np.stack([wide, wide]), np.inf)
+    k = len(models)
+    out = Identifier(languages, models, 1.0, np.zeros(k), np.full(k, np.inf), np.ones(k))
     if not models or not held:
         return out
-    log_p, n = WordScorer(models)([t for _, t in held])
+    scorer = WordScorer(models)
+    log_p, n = scorer([t for _, t in held])
     truth = np.array([languages.index(x) for x, _ in held])
+    mixed_up, m = scorer([_shuffled(t, seed) for seed, (_, t) in enumerate(held)])
     keep = n > 0
-    log_p, n, truth = log_p[keep], n[keep], truth[keep]
+    log_p, n, truth, mixed_up, m = log_p[keep], n[keep], truth[keep], mixed_up[keep], m[keep]
     if not len(n):
         return out
     row = np.arange(len(n))
     grid = np.geomspace(0.01, 10, 61)
     losses = [-np.log(np.maximum(_posterior(log_p, n, t)[row, truth], 1e-12)).mean() for t in grid]
     out.temperature = float(grid[int(np.argmin(losses))])
-    entropy = -log_p[row, truth] / n
-    for m in range(len(models)):
-        own, size = entropy[truth == m], n[truth == m]
-        if not len(own):
-            own, size = entropy, n
-        out.usual[m] = np.median(own)
-        off = own - out.usual[m]
-        long = size >= np.median(size)
-        out.spread[1][m] = max(0.02, float(np.sqrt((off[long] ** 2).mean())))
-        out.spread[0][m] = max(0.5, float(np.sqrt((off**2 * size).mean())))
-    # A text of another language is none of the language's own, so labels that the models deny
-    # do not widen the limit.
-    right = log_p.argmax(axis=1) == truth
-    far = out.distance(log_p, n, truth)[right]
-    out.limit = SLACK * max(4.0, float(far.max()) if len(far) else 4.0)
+    entropy, noise = -log_p[row, truth] / n, -mixed_up[row, truth] / m
+    for k in range(len(models)):
+        own = truth == k if (truth == k).any() else np.ones(len(n), bool)
+        out.usual[k], out.noise[k] = np.median(entropy[own]), np.median(noise[own])
+        out.spread[k] = max(1.0, float(np.median(np.abs(entropy[own] - out.usual[k]) * np.sqrt(n[own])) * 1.48))
     return out
 
 
+def _shuffled(text: str, seed: int) -> str:
+    """The text with its letters in random order."""
+    letters = [c for c in text if c.isalpha()]
+    np.random.default_rng(seed).shuffle(letters)
+    left = iter(letters)
+    return "".join(next(left) if c.isalpha() else c for c in text)
+
+
 def predict(docs: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:
     """The documents' columns with ``language``: a struct of name, score and rejected."""
     docs = docs.drop("language")
