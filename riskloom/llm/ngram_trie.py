@@ -38,7 +38,7 @@ from riskloom.llm.batches import LOWER, NOT_SPACE, hash_slices, mixed, text_grou
 from riskloom.llm.elias_fano import EliasFano
 from riskloom.session import fresh_folder
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 4_500_000
 SHARD_TOKENS = 1_500_000
 VOCABULARY_SHARD = 3_000_000
 PAIR_SEEN = 32
@@ -60,7 +60,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
         out.append(np.array([len(a), width], "<u4").tobytes())
         out.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -75,6 +75,18 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _ranked(places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(how often each of n places occurs, the places by falling frequency), which packs well."""
+    counts = np.bincount(places.ravel(), minlength=n)
+    rank = np.empty(n, np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(n)
+    return counts, rank[places]
+
+
+def _unranked(counts: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts.astype(np.int64), kind="stable")[ranks.astype(np.int64)]
+
+
 def _steps(values: np.ndarray) -> np.ndarray:
     """Differences of sorted values."""
     return np.diff(values, prepend=np.uint64(0)) if len(values) else values
@@ -258,7 +270,7 @@ def _block(number: int, held: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndar
     columns = [
         pa.array([number], pa.int64()), one(ids), one(trains), one(pa.array(lengths.astype(np.int32))),
         pa.array([len(words)], pa.int64()), pa.array([len(hashes)], pa.int64()), pa.array([int(train.sum())], pa.int64()),
-        pa.array([pack(_steps(words), counts)], pa.binary()), pa.array([pack(places)], pa.binary()),
+        pa.array([pack(_steps(words), counts)], pa.binary()), pa.array([pack(*_ranked(places, len(words)))], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _BLOCK.split(", ")])
 
@@ -342,8 +354,7 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
         lengths = batch.column(3)[k].values.to_numpy().astype(np.int64)
         answers = sorted((a["shard"], a["data"]) for a in batch.column(5)[k].as_py())
         counts, numbers = _answers(answers)
-        (tokens,) = unpack(batch.column(4)[k].as_py())
-        tokens = tokens.astype(np.int64)
+        tokens = _unranked(*unpack(batch.column(4)[k].as_py()))
         log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         doc = np.repeat(np.arange(len(lengths)), lengths)
         firsts = np.cumsum(lengths) - lengths
@@ -375,7 +386,8 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
             used = used[none:]
             place = (place + 1 - none).reshape(3, -1)  # 0 is no word
             per_doc = np.bincount(doc[at[own]], minlength=len(lengths))
-            data.append(pack(_steps(numbers[used]), counts[used], *place, per_doc, train))
+            often, ranks = _ranked(place, len(used) + 1)
+            data.append(pack(_steps(numbers[used]), counts[used], often, *ranks, per_doc, train))
         m = len(some)
         yield pa.RecordBatch.from_arrays(
             [
@@ -457,11 +469,11 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
     keys, trains, docs = [], [], []
     for k, p in enumerate(parts):
         to = np.concatenate(([_NONE], place[cuts[k] : cuts[k + 1]] + 1)).astype(np.uint64)
-        w2, w1, w3 = (to[x.astype(np.int64)] for x in p[2:5])
+        w2, w1, w3 = (to[_unranked(p[2], x)] for x in p[3:6])
         keys.append(w2 << np.uint64(2 * _BITS) | w1 << np.uint64(_BITS) | w3)
-        per_doc = p[5].astype(np.int64)
+        per_doc = p[6].astype(np.int64)
         docs.append(np.repeat(np.arange(len(per_doc)), per_doc))
-        trains.append(np.repeat(p[6].astype(bool), per_doc))
+        trains.append(np.repeat(p[7].astype(bool), per_doc))
     every_key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     seen = np.bincount(inverse[np.concatenate(trains)], minlength=len(every_key))
     mask = np.uint64((1 << _BITS) - 1)
@@ -477,7 +489,7 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
     for p, own in zip(parts, docs):
         values = scores[inverse[at : at + len(own)]]
         at += len(own)
-        out.append(np.bincount(own, weights=values, minlength=len(p[5])).astype("<f8").tobytes())
+        out.append(np.bincount(own, weights=values, minlength=len(p[6])).astype("<f8").tobytes())
     nothing = [pa.nulls(len(rows), rows[0].column(c).type) for c in (3, 4)]
     block = pa.concat_arrays([r.column(1) for r in rows])
     return pa.RecordBatch.from_arrays(
@@ -548,7 +560,7 @@ def score(
     answers = spark.read.parquet(path)
     v = int(answers.agg(F.sum("known")).head()[0] or 0)
     grouped = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias("answers"))
-    shards = max(1, -(-2 * n_tokens // shard_tokens))
+    shards = max(1, -(-6 * n_tokens // (5 * shard_tokens)))
     joined = blocks.drop("words").join(grouped, "block")
     sent = _sent(joined, kind, n, v, n_blocks, shards, shard_tokens)
     return _documents(_scored(sent, kind, n, v, shards), kind, n)
