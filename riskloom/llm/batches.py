@@ -31,6 +31,14 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _MASKS = np.array([0] + [(1 << (8 * n)) - 1 for n in range(1, 9)], dtype=np.uint64)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with underscores after it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_groups(column: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of consecutive rows; a null is empty.
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm.batches import ALNUM, LOWER, hash_slices, mixed, text_groups, words_of
+from riskloom.llm.batches import ALNUM, LOWER, free_name, hash_slices, mixed, text_groups, words_of
 
 N_WORDS = 10
 #: Text bytes of the benchmark in one broadcast set. A larger benchmark is searched block by block.
@@ -124,13 +124,14 @@ def scan(
     item: str = "item_id",
     benchmark_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    name: str = "decontamination",
 ) -> DataFrame:
-    """The documents' own columns and ``decontamination``: a struct of n_words, hits (positions of
-    hit words) and items (IDs of the items with occurring windows, sorted as strings).
+    """The documents' own columns and one more under ``name``, which it replaces: a struct of
+    n_words, hits (positions of hit words) and items (IDs of the items with occurring windows,
+    sorted as strings).
 
     Each block of the benchmark is one more step of the same tasks, so no text is shuffled.
     """
-    name = "decontamination"
     docs = docs.drop(name)
     out = docs.withColumn(name, F.lit(None).cast(f"struct<{_FOUND.replace(' ', ':').replace(',:', ',')}>"))
     for windows in _blocks(docs.sparkSession, benchmark, item, benchmark_text, block_bytes):
@@ -184,20 +185,22 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **opti
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options: Any) -> DataFrame:
     """The documents without those that hold a window of the benchmark."""
-    found = scan(docs, benchmark, **options)
-    return found.where(F.size("decontamination.hits") == 0).select(*docs.columns)
+    name = free_name(docs.columns, "decontamination")
+    found = scan(docs, benchmark, name=name, **options)
+    return found.where(F.size(F.col(name)["hits"]) == 0).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options: Any) -> DataFrame:
     """All documents, their text without the hit words; what stood before, between and after stays."""
-    found = scan(docs, benchmark, text=text, **options)
+    name = free_name(docs.columns, "decontamination")
+    found = scan(docs, benchmark, text=text, name=name, **options)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            hits = batch.column("decontamination").field("hits").to_pylist()
-            batch = batch.drop_columns(["decontamination"])
+            hits = batch.column(name).field("hits").to_pylist()
+            batch = batch.drop_columns([name])
             for r, places in enumerate(hits):
                 if places:
                     texts[r] = _without(texts[r], places)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.batches import hash_slices, mixed, ragged
+from riskloom.llm.batches import free_name, hash_slices, mixed, ragged
 
 UNKNOWN = "und"
 ORDER = 5
@@ -311,11 +311,12 @@ def _shuffled(text: str, seed: int) -> str:
     return "".join(next(left) if c.isalpha() else c for c in text)
 
 
-def predict(docs: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:
-    """The documents' columns with ``language``: a struct of name, score and rejected."""
-    docs = docs.drop("language")
+def predict(docs: DataFrame, identifier: Identifier, text: str = "text", name: str = "language") -> DataFrame:
+    """The documents' columns and one more under ``name``, which it replaces: a struct of name, score
+    and rejected."""
+    docs = docs.drop(name)
     held = docs.sparkSession.sparkContext.broadcast(identifier)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = docs.withColumn(name, F.lit(None).cast("struct<name:string,score:double,rejected:boolean>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         identifier = held.value
@@ -333,9 +334,9 @@ def predict(docs: DataFrame, identifier: Identifier, text: str = "text") -> Data
                 [pa.array(names, pa.string()), pa.array(np.concatenate(scores)), pa.array(np.concatenate(rejected))],
                 ["name", "score", "rejected"],
             )
-            yield batch.append_column("language", value)
+            yield batch.append_column(name, value)
 
-    return docs.mapInArrow(run, f"{fields}, language struct<name:string,score:double,rejected:boolean>")
+    return docs.mapInArrow(run, schema)
 
 
 def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -351,5 +352,6 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def accepted(docs: DataFrame, identifier: Identifier, **options: Any) -> DataFrame:
     """The documents that are not rejected."""
-    judged = predict(docs, identifier, **options)
-    return judged.where(~F.col("language.rejected")).select(*docs.columns)
+    name = free_name(docs.columns, "language")
+    judged = predict(docs, identifier, name=name, **options)
+    return judged.where(~F.col(name)["rejected"]).select(*docs.columns)

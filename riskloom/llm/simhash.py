@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.batches import ragged
+from riskloom.llm.batches import free_name, ragged
 from riskloom.session import fresh_folder
 
 SHINGLE_WORDS = 3
@@ -324,7 +324,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     found = _grouped(docs, doc_id, text, max_bits, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
     kept = found.groupBy("root").agg(first).select("first.doc_id", "first.text_key")
-    key = "riskloom_text_key"
+    key = free_name(docs.columns, "riskloom_text_key")
     keyed = docs.withColumn(key, F.xxhash64(text))
     same = keyed[doc_id].eqNullSafe(kept["doc_id"]) & (keyed[key] == kept["text_key"])
     return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, key]).select(*docs.columns)

@@ -160,6 +160,9 @@ def test_held_out_accuracy_and_rejection(spark, tables, edge):
     rows, awkward = edge
     found = language_id.predict(awkward.select("doc_id", "text", "score"), models).collect()
     assert len(found) == len(rows) and found[0]["score"] == 7
+    letters = sum(any(c.isalpha() for c in t or "") for _, t in rows)
+    assert {r["language"] for r in language_id.accepted(awkward, models).collect()} == {7}
+    assert language_id.accepted(awkward, models).count() <= letters
     for r in found:
         letters = any(c.isalpha() for c in r["text"] or "")
         assert (r["language"]["name"] == "und") == (not letters) and 0 <= r["language"]["score"] <= 1
@@ -225,6 +228,7 @@ def test_near_duplicates_of_awkward_texts(edge):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and kept.count() == len(set(roots))
+    assert {r["riskloom_text_key"] for r in kept.collect()} == {7}
 
 
 @pytest.mark.parametrize("limit", [4096, 64])
