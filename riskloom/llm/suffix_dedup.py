@@ -6,11 +6,13 @@ sorted strings of all shards, as hashes dealt by range, are merged by binary sea
 
 Most strings can be told to be unique before: each window of ``LENGTH`` bytes has a minimizer, its
 leftmost ``GRAM``-byte substring with the least hash, and equal windows have equal ones at the same
-distance. Consecutive windows with one minimizer are a run. A run whose minimizer is found nowhere else holds no repeated
-string; one whose whole bytes are found elsewhere, and whose minimizer is found with no other
-bytes, is repeated as a whole; only the others are suffix-sorted. All three steps count over all
-texts. A shard sends each hash once, however often it has it, so no key is hot, and a shard of a
-step gets an even range of hashes.
+distance. Consecutive windows with one minimizer are a run. A run whose minimizer is found nowhere
+else holds no repeated string; one whose whole bytes are found elsewhere, and whose minimizer is
+found with no other bytes, is repeated as a whole. The others are cut into pieces by the distance to
+the minimizer, and a piece is judged likewise by the bytes that all its windows share and by its
+whole bytes. Only what is then left is suffix-sorted. All steps count over all texts. A shard sends
+each hash once, however often it has it, so no key is hot, and a shard of a step gets an even range
+of hashes.
 
 Strings are compared across shards by 64-bit hashes. Defined results: a null or empty text has no
 bytes and nothing removed, as has one shorter than ``LENGTH``; repeated rows repeat each other's
@@ -35,6 +37,8 @@ LENGTH = 200
 GRAM = 40
 BLOCK_BYTES = 4 << 20
 SHARD_HASHES = 2_000_000
+STEP = 20
+LEVEL = 3  # of compression
 LANES = 4096
 #: What a run of windows is known to be.
 UNIQUE, REPEATED, REPEATED_AND_MORE, MIXED = 0, 1, 2, 3
@@ -168,13 +172,13 @@ def _least(values: np.ndarray, count: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, minimizer's hash) of runs of windows that lie in one text and have
-    the same minimizer at the same place. Equal windows are never in one run."""
+def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, minimizer's place, minimizer's hash) of runs of windows that lie in
+    one text and have the same minimizer at the same place. Equal windows are never in one run."""
     size = int(offsets[-1])
     none = np.zeros(0, np.int64)
     if size < length:
-        return none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64)
     hashes = _gram_hashes(data[:size], gram)
     # The place takes the low bits, so that the leftmost of equal hashes is the least.
     low = np.uint64((1 << size.bit_length()) - 1)
@@ -189,7 +193,30 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple
     same = np.concatenate(([False], (least[1:] == least[:-1]) & valid[:-1] & valid[1:]))
     starts = np.flatnonzero(valid & ~same)
     ends = np.flatnonzero(valid & ~np.concatenate((same[1:], [False])))
-    return starts, ends, hashes[least[starts].astype(np.int64)]
+    places = least[starts].astype(np.int64)
+    return starts, ends, places, hashes[places]
+
+
+def pieces(
+    data: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, least: np.ndarray, length: int, step: int = STEP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, hash of the bytes that all windows of the piece share, hash of all
+    its bytes) of runs cut by the distance to the minimizer.
+
+    Equal windows have equal minimizers at equal distances, so they lie in pieces of the same number
+    whose shared bytes are equal.
+    """
+    near, far = (place - last) // step, (place - first) // step
+    count = far - near + 1
+    run = np.repeat(np.arange(len(first)), count)
+    number = ragged(near, count)
+    low = np.maximum(first[run], place[run] - (number * step + step - 1))
+    high = np.minimum(last[run], place[run] - number * step)
+    start = place[run] - number * step
+    key = mixed(least[run] + number.astype(np.uint64) * _P)
+    core = mixed(hash_slices(data, start, start + length - step + 1) ^ key)
+    ends = ((place[run] - low) * length + place[run] - high).astype(np.uint64)
+    return low, high, core, mixed(hash_slices(data, low, high + length) ^ mixed(key + ends))
 
 
 # --- the job -----------------------------------------------------------------------------------
@@ -213,7 +240,7 @@ def _blocks(docs: DataFrame, kind: str, limit: int, length: int, gram: int) -> D
                     pa.array([number], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own),
                     pa.array([pack(sizes)], pa.binary()),
-                    pa.array([zstandard.ZstdCompressor(level=1).compress(data.tobytes())], pa.binary()),
+                    pa.array([zstandard.ZstdCompressor(level=LEVEL).compress(data.tobytes())], pa.binary()),
                     pa.array([len(data) * 2 // (length - gram + 2) + 1], pa.int64()),
                 ],
                 ["block", "ids", "lengths", "bytes", "n_runs"],
@@ -233,24 +260,34 @@ def _blocks(docs: DataFrame, kind: str, limit: int, length: int, gram: int) -> D
     return docs.mapInArrow(run, f"block long, ids array<{kind}>, lengths binary, bytes binary, n_runs long")
 
 
-class _Block:
-    """A block's bytes with its runs and the distinct pairs of minimizer and content among them."""
+class _Pairs:
+    """Two hashes of each of some pieces of text, as distinct pairs in order."""
 
-    def __init__(self, lengths: bytes, data: bytes, length: int, gram: int) -> None:
-        raw = zstandard.ZstdDecompressor().decompress(data)
-        self.data = np.frombuffer(raw + bytes(8), np.uint8)
-        (sizes,) = unpack(lengths)
-        self.offsets = np.concatenate(([0], np.cumsum(sizes.astype(np.int64))))
-        self.first, self.last, least = runs(self.data, self.offsets, length, gram)
-        content = hash_slices(self.data, self.first, self.last + length)
-        order = np.lexsort((content, least))
-        least, content = least[order], content[order]
+    def __init__(self, core: np.ndarray, whole: np.ndarray) -> None:
+        order = np.lexsort((whole, core))
+        core, whole = core[order], whole[order]
         new = np.ones(len(order), bool)
-        new[1:] = (least[1:] != least[:-1]) | (content[1:] != content[:-1])
-        self.pair = np.empty(len(order), np.int64)
-        self.pair[order] = np.cumsum(new) - 1
-        self.least, self.content = least[new], content[new]
-        self.many = np.bincount(self.pair, minlength=len(self.least)) > 1
+        new[1:] = (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(new) - 1
+        self.core, self.whole = core[new], whole[new]
+        self.many = np.bincount(self.of, minlength=len(self.core)) > 1
+
+
+def _text(data: bytes) -> np.ndarray:
+    """Bytes with a few zeros after them."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data) + bytes(8), np.uint8)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes.astype(np.int64))))
+
+
+def _runs_of_block(lengths: bytes, data: bytes, length: int, gram: int):
+    """(bytes, offsets, runs, pairs of minimizer and content)"""
+    text, offsets = _text(data), _offsets(unpack(lengths)[0])
+    found = runs(text, offsets, length, gram)
+    return text, offsets, found, _Pairs(found[3], hash_slices(text, found[0], found[1] + length))
 
 
 def _pieces(keys: np.ndarray, shards: int) -> tuple[list[int], list[slice]]:
@@ -274,28 +311,44 @@ def _send_runs(blocks: DataFrame, shards: int, length: int, gram: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, sizes, data in zip(*(c.to_pylist() for c in batch.columns)):
-                b = _Block(sizes, data, length, gram)
-                some, parts = _pieces(b.least, shards)
-                yield _message(some, number, [pack(_steps(b.least[p]), b.content[p], b.many[p]) for p in parts])
+                pairs = _runs_of_block(sizes, data, length, gram)[3]
+                some, parts = _pieces(pairs.core, shards)
+                yield _message(some, number, [_packed(pairs.core[p], pairs.whole[p], pairs.many[p]) for p in parts])
 
     return blocks.select("block", "lengths", "bytes").mapInArrow(run, _MESSAGE)
 
 
-def _judge_runs(sent: DataFrame, shards: int) -> DataFrame:
+def _packed(core: np.ndarray, whole: np.ndarray, many: np.ndarray) -> bytes:
+    return pack(_steps(core), whole, many)
+
+
+def _send_pieces(opened: DataFrame, shards: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(*(c.to_pylist() for c in batch.columns)):
+                steps, whole, many = unpack(data)
+                core = _sums(steps)
+                some, parts = _pieces(core, shards)
+                yield _message(some, number, [_packed(core[p], whole[p], many[p]) for p in parts])
+
+    return opened.select("block", "pairs").mapInArrow(run, _MESSAGE)
+
+
+def _judge(sent: DataFrame, shards: int) -> DataFrame:
     """What each of a block's pairs is, in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _runs(batches):
             parts = [unpack(r[2]) for r in rows]
-            least = np.concatenate([_sums(p[0]) for p in parts])
-            content = np.concatenate([p[1] for p in parts])
+            core = np.concatenate([_sums(p[0]) for p in parts])
+            whole = np.concatenate([p[1] for p in parts])
             many = np.concatenate([p[2] for p in parts])
-            order = np.lexsort((content, least))
-            new_least = np.ones(len(order), bool)
-            new_least[1:] = least[order][1:] != least[order][:-1]
-            new = new_least.copy()
-            new[1:] |= content[order][1:] != content[order][:-1]
-            pair, group = np.cumsum(new) - 1, np.cumsum(new_least) - 1
+            order = np.lexsort((whole, core))
+            new_core = np.ones(len(order), bool)
+            new_core[1:] = core[order][1:] != core[order][:-1]
+            new = new_core.copy()
+            new[1:] |= whole[order][1:] != whole[order][:-1]
+            pair, group = np.cumsum(new) - 1, np.cumsum(new_core) - 1
             times = np.bincount(pair, weights=1 + many[order])
             kinds = np.bincount(group[new])
             alone = kinds[group[new]] == 1
@@ -331,104 +384,178 @@ def _cover(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _result(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """(bytes removed, maximal removed runs) and the digest of what is left, of some texts."""
-    numbers, digests = np.zeros((2, len(rows)), np.int64), []
-    total = np.concatenate(([0], np.cumsum(gone)))
-    for k, r in enumerate(rows.tolist()):
-        a, b = int(offsets[r]), int(offsets[r + 1])
-        own = gone[a:b]
-        removed = int(total[b] - total[a])
-        numbers[0, k] = removed
-        if removed:
-            numbers[1, k] = int(own[0]) + int((own[1:] & ~own[:-1]).sum())
-        kept = data[a:b][~own] if removed else data[a:b]
-        digests.append(hashlib.sha256(kept.tobytes()).digest())
-    return numbers, digests
+class _Texts:
+    """A block's texts: the results of those that are decided, and the bytes of the others."""
+
+    def __init__(self, meta: np.ndarray, digests: np.ndarray, data: np.ndarray) -> None:
+        #: For each text its length, whether it is open, the bytes and the runs removed.
+        self.meta, self.digests, self.data = meta, digests, data
+        self.rows = np.flatnonzero(meta[1])
+        self.offsets = _offsets(meta[0][self.rows])
+
+    @classmethod
+    def open(cls, offsets: np.ndarray, data: np.ndarray) -> _Texts:
+        n = len(offsets) - 1
+        meta = np.stack([np.diff(offsets), np.ones(n, np.int64), *np.zeros((2, n), np.int64)])
+        return cls(meta, np.zeros((n, 32), np.uint8), data)
+
+    @classmethod
+    def load(cls, meta: bytes, digests: bytes, data: bytes) -> _Texts:
+        numbers = np.stack(unpack(meta)).astype(np.int64)
+        return cls(numbers, np.frombuffer(digests, np.uint8).reshape(-1, 32).copy(), _text(data))
+
+    def dump(self) -> list[pa.Array]:
+        raw = self.data[: self.offsets[-1]].tobytes()
+        packed = zstandard.ZstdCompressor(level=LEVEL).compress(raw)
+        return [pa.array([x], pa.binary()) for x in (pack(*self.meta), self.digests.tobytes(), packed)]
+
+    def close(self, gone: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Decides all texts but those with a string still asked for; returns what to add to a place
+        in each of the texts that were open to get its place among the bytes that go on."""
+        n = len(self.rows)
+        stay = np.zeros(n, bool)
+        stay[np.searchsorted(self.offsets, asked, "right") - 1] = True
+        total = np.concatenate(([0], np.cumsum(gone)))
+        for k in np.flatnonzero(~stay).tolist():
+            low, high, row = int(self.offsets[k]), int(self.offsets[k + 1]), self.rows[k]
+            own, removed = gone[low:high], int(total[high] - total[low])
+            kept = self.data[low:high]
+            if removed:
+                self.meta[2:, row] = removed, int(own[0]) + int((own[1:] & ~own[:-1]).sum())
+                kept = kept[~own]
+            self.digests[row] = np.frombuffer(hashlib.sha256(kept.tobytes()).digest(), np.uint8)
+        self.meta[1, self.rows[~stay]] = 0
+        sizes = np.diff(self.offsets)
+        shift = np.zeros(n, np.int64)
+        shift[stay] = np.cumsum(sizes[stay]) - sizes[stay] - self.offsets[:-1][stay]
+        self.kept = ragged(self.offsets[:-1][stay], sizes[stay])
+        self.data = np.concatenate((self.data[self.kept], np.zeros(8, np.uint8)))
+        self.rows, self.offsets = self.rows[stay], _offsets(sizes[stay])
+        return shift
+
 
+def _edges(gone: np.ndarray) -> bytes:
+    """Where ranges of bytes that go begin and end."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
+    return pack(edges[::2], edges[1::2])
 
-_SORTED = f"{_MESSAGE}, ids array<{{id}}>, meta binary, digests binary, bytes binary, cover binary, n_hashes long"
 
+def _covered(size: int, edges: bytes) -> np.ndarray:
+    return _cover(size, *(x.astype(np.int64) for x in unpack(edges)))
 
-def _sort_strings(joined: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
-    """For each block one row of its own (shard -1) with the texts that are decided, and for the
-    others their bytes, what is known to go, and the sorted strings still in question."""
-    names = [f.split()[0] for f in _SORTED.split(", ")]
+
+_TEXTS = "block long, ids array<{id}>, meta binary, digests binary, bytes binary, cover binary"
+_OPENED = f"{_TEXTS}, pairs binary, places binary, n_pairs long"
+_SORTED = f"{_TEXTS}, data binary, n_hashes long"
+
+
+def _names(ddl: str) -> list[str]:
+    return [f.split()[0] for f in ddl.split(", ")]
+
+
+def _open_runs(joined: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
+    """Each block with the texts that no longer have an open run decided, and the pieces of the open
+    runs in the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 number, sizes, raw, answers = (batch.column(c)[k].as_py() for c in (0, 2, 3, 4))
-                yield block(number, batch.column(1).slice(k, 1), _Block(sizes, raw, length, gram), answers)
+                yield block(number, batch.column(1).slice(k, 1), sizes, raw, answers)
 
-    def block(number: int, ids: pa.Array, b: _Block, answers: list[dict] | None) -> pa.RecordBatch:
-        state = _joined(answers)[b.pair] if len(b.pair) else b.pair
-        size, texts = int(b.offsets[-1]), len(b.offsets) - 1
+    def block(number: int, ids: pa.Array, sizes: bytes, raw: bytes, answers: list[dict] | None) -> pa.RecordBatch:
+        data, offsets, (first, last, place, least), pairs = _runs_of_block(sizes, raw, length, gram)
+        state = _joined(answers)[pairs.of] if len(pairs.of) else pairs.of
         whole = (state == REPEATED) | (state == REPEATED_AND_MORE)
-        gone = _cover(size, b.first[whole], b.last[whole] + length)
-        hashes, places, many = _strings(b, (state == REPEATED_AND_MORE) | (state == MIXED), length)
+        gone = _cover(int(offsets[-1]), first[whole], last[whole] + length)
+        more = (state == REPEATED_AND_MORE) | (state == MIXED)
+        low, high, core, full = pieces(data, first[more], last[more], place[more], least[more], length)
+        texts = _Texts.open(offsets, data)
+        row = np.searchsorted(offsets, low, "right") - 1
+        shift = texts.close(gone, low)
+        own = _Pairs(core, full)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()), ids, *texts.dump(),
+                pa.array([_edges(gone[texts.kept])], pa.binary()),
+                pa.array([_packed(own.core, own.whole, own.many)], pa.binary()),
+                pa.array([pack(low + shift[row], high - low, own.of)], pa.binary()),
+                pa.array([len(own.core)], pa.int64()),
+            ],
+            _names(_OPENED),
+        )
+
+    columns = joined.select("block", "ids", "lengths", "bytes", "answers")
+    return columns.mapInArrow(run, _OPENED.format(id=kind))
+
+
+def _sort_strings(joined: DataFrame, kind: str, length: int) -> DataFrame:
+    """Each block with the texts decided that hold no string still in question, and the sorted
+    strings of the open pieces: their hashes, with the place of those in question."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                number, meta, digests, raw, cover, places, answers = (batch.column(c)[k].as_py() for c in (0, 2, 3, 4, 5, 6, 7))
+                yield block(number, batch.column(1).slice(k, 1), _Texts.load(meta, digests, raw), cover, places, answers)
+
+    def block(number: int, ids: pa.Array, texts: _Texts, cover: bytes, places: bytes, answers: list[dict] | None) -> pa.RecordBatch:
+        size = int(texts.offsets[-1])
+        low, span, pair = (x.astype(np.int64) for x in unpack(places))
+        high = low + span
+        state = _joined(answers)[pair] if len(pair) else pair
+        whole = (state == REPEATED) | (state == REPEATED_AND_MORE)
+        gone = _covered(size, cover) | _cover(size, low[whole], high[whole] + length)
+        more = (state == REPEATED_AND_MORE) | (state == MIXED)
+        hashes, single, many = _strings(texts.data, size, low[more], high[more], length)
         gone |= _cover(size, many, many + length)
         # A string whose bytes all go already is not in question, but others may ask for it.
         total = np.concatenate(([0], np.cumsum(gone)))
-        asked = (places >= 0) & (total[np.maximum(places, 0) + length if len(places) else places] - total[np.maximum(places, 0)] < length)
-        places = np.where(asked, places, -1)
-        row_of = np.searchsorted(b.offsets, places[asked], "right") - 1
-        open_ = np.zeros(texts, bool)
-        open_[row_of] = True
-        done = np.flatnonzero(~open_)
-        numbers, digests = _result(b.data, b.offsets, gone, done)
-        lengths = np.diff(b.offsets)
-        meta = np.zeros((2, texts), np.int64)
-        meta[:, done] = numbers
-        # The open texts go on alone, one after the other.
-        rows = np.flatnonzero(open_)
-        kept = ragged(b.offsets[rows], lengths[rows])
-        shift = np.zeros(texts, np.int64)
-        shift[rows] = np.concatenate(([0], np.cumsum(lengths[rows])[:-1])) - b.offsets[rows]
-        moved = np.zeros(len(places), np.int64)
-        moved[asked] = places[asked] + shift[row_of] + 1  # 0 is a string not in question
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], gone[kept].view(np.int8), [0]))))
+        asked = single >= 0
+        asked[asked] = total[single[asked] + length] - total[single[asked]] < length
+        row = np.searchsorted(texts.offsets, single[asked], "right") - 1
+        shift = texts.close(gone, single[asked])
+        moved = np.zeros(len(single), np.int64)
+        moved[asked] = single[asked] + shift[row] + 1  # 0 is a string not in question
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([-1], pa.int64()), pa.array([number], pa.int64()),
-                pa.array([pack(_steps(hashes), moved)], pa.binary()), ids,
-                pa.array([pack(lengths, open_, *meta)], pa.binary()), pa.array([b"".join(digests)], pa.binary()),
-                pa.array([zstandard.ZstdCompressor(level=1).compress(b.data[kept].tobytes())], pa.binary()),
-                pa.array([pack(edges[::2], edges[1::2])], pa.binary()), pa.array([len(hashes)], pa.int64()),
+                pa.array([number], pa.int64()), ids, *texts.dump(),
+                pa.array([_edges(gone[texts.kept])], pa.binary()),
+                pa.array([pack(_steps(hashes), moved)], pa.binary()),
+                pa.array([len(hashes)], pa.int64()),
             ],
-            names,
+            _names(_SORTED),
         )
 
-    columns = joined.select("block", "ids", "lengths", "bytes", "answers")
+    columns = joined.select("block", "ids", "meta", "digests", "bytes", "cover", "places", "answers")
     return columns.mapInArrow(run, _SORTED.format(id=kind))
 
 
-def _strings(b: _Block, chosen: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct strings at the windows of some runs: (sorted hashes, place of a string that the
+def _strings(data: np.ndarray, size: int, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct strings at the windows of some pieces: (sorted hashes, place of a string that the
     block has once, else -1; places of all strings that it has more than once)."""
     none = np.zeros(0, np.int64)
-    first, last = b.first[chosen], b.last[chosen]
     if not len(first):
         return none.astype(np.uint64), none, none
-    # Runs that overlap or touch are one region of text.
-    apart = np.concatenate(([True], first[1:] > np.maximum.accumulate(last + length)[:-1]))
-    low = first[apart]
-    high = np.maximum.accumulate(last + length)[np.concatenate((apart[1:], [True]))]
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], last[order]
+    # Pieces that overlap or touch are one region of text.
+    reach = np.maximum.accumulate(last + length)
+    apart = np.concatenate(([True], first[1:] > reach[:-1]))
+    low, high = first[apart], reach[np.concatenate((apart[1:], [True]))]
     region = ragged(low, high - low)
-    windows = ragged(first, last - first + 1)
-    starts = np.zeros(int(b.offsets[-1]) + 1, bool)
-    starts[windows] = True
-    order, classes = string_classes(b.data[region], length)
+    starts = np.zeros(size + 1, bool)
+    starts[ragged(first, last - first + 1)] = True
+    order, classes = string_classes(data[region], length)
     places = region[order]
     asked = starts[places]
     places, classes = places[asked], classes[asked]
-    classes = np.unique(classes, return_inverse=True)[1]
-    counts = np.bincount(classes)
     firsts = np.flatnonzero(np.concatenate(([True], classes[1:] != classes[:-1])))
-    hashes = hash_slices(b.data, places[firsts], places[firsts] + length)
+    counts = np.diff(np.concatenate((firsts, [len(classes)])))
+    hashes = hash_slices(data, places[firsts], places[firsts] + length)
     by = np.argsort(hashes)
     single = np.where(counts == 1, places[firsts], -1)
-    return hashes[by], single[by], places[counts[classes] > 1]
+    return hashes[by], single[by], places[np.repeat(counts > 1, counts)]
 
 
 def _send_strings(own: DataFrame, shards: int) -> DataFrame:
@@ -467,28 +594,19 @@ def _finish(joined: DataFrame, kind: str, length: int) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 ids = batch.column(0)[k].values
-                data, meta, digests, raw, cover, answers = (batch.column(c)[k].as_py() for c in range(1, 7))
-                lengths, open_, removed, spans = (x.astype(np.int64) for x in unpack(meta))
-                rows = np.flatnonzero(open_)
-                text = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-                low, high = (x.astype(np.int64) for x in unpack(cover))
-                _, moved = unpack(data)
-                found = moved.astype(np.int64)[_joined(answers) > 0] if len(moved) else moved.astype(np.int64)
+                meta, digests, raw, cover, data, answers = (batch.column(c)[k].as_py() for c in range(1, 7))
+                texts = _Texts.load(meta, digests, raw)
+                size = int(texts.offsets[-1])
+                moved = unpack(data)[1].astype(np.int64)
+                found = moved[_joined(answers) > 0] if len(moved) else moved
                 found = found[found > 0] - 1
-                gone = _cover(len(text), np.concatenate((low, found)), np.concatenate((high, found + length)))
-                offsets = np.concatenate(([0], np.cumsum(lengths[rows])))
-                numbers, later = _result(text, offsets, gone, np.arange(len(rows)))
-                removed[rows], spans[rows] = numbers
-                sums = np.empty(len(lengths), object)
-                done = np.flatnonzero(open_ == 0)
-                sums[done] = [digests[32 * j : 32 * j + 32].hex() for j in range(len(done))]
-                sums[rows] = [d.hex() for d in later]
+                texts.close(_covered(size, cover) | _cover(size, found, found + length), found[:0])
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *map(pa.array, (lengths, removed, spans)), pa.array(sums.tolist(), pa.string())],
+                    [ids, *map(pa.array, texts.meta[[0, 2, 3]]), pa.array([d.tobytes().hex() for d in texts.digests], pa.string())],
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
                 )
 
-    columns = joined.select("ids", "data", "meta", "digests", "bytes", "cover", "answers")
+    columns = joined.select("ids", "meta", "digests", "bytes", "cover", "data", "answers")
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return columns.mapInArrow(run, schema)
 
@@ -519,9 +637,13 @@ def remove_repeats(
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     blocks = _written(_blocks(given, kind, block_bytes, length, gram), "repeats-blocks")
     shards = _total(blocks, "n_runs", shard_hashes)
-    states = _written(_judge_runs(_send_runs(blocks, shards, length, gram), shards), "repeats-runs")
+    states = _written(_judge(_send_runs(blocks, shards, length, gram), shards), "repeats-runs")
     joined = blocks.join(_by_block(states), "block", "left")
-    own = _written(_sort_strings(joined, kind, length, gram), "repeats-strings")
+    opened = _written(_open_runs(joined, kind, length, gram), "repeats-opened")
+    shards = _total(opened, "n_pairs", shard_hashes)
+    states = _written(_judge(_send_pieces(opened, shards), shards), "repeats-pieces")
+    joined = opened.drop("pairs").join(_by_block(states), "block", "left")
+    own = _written(_sort_strings(joined, kind, length), "repeats-strings")
     shards = _total(own, "n_hashes", shard_hashes)
     found = _merge_strings(_send_strings(own, shards), shards)
     return _finish(own.join(_by_block(found), "block", "left"), kind, length)
