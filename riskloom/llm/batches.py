@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 GROUP_BYTES = 4 << 20
 #: Separators of ASCII text: blank, and tab to carriage return.
@@ -31,6 +32,13 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _MASKS = np.array([0] + [(1 << (8 * n)) - 1 for n in range(1, 9)], dtype=np.uint64)
 
 
+def by_shard(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows dealt by the number in ``shard``, one shard to a partition, and sorted by it; numbers below
+    0 are dealt among the partitions."""
+    place = F.pmod(F.col("shard"), F.lit(shards)).cast("int")
+    return rows.repartitionById(shards, place).sortWithinPartitions("shard")
+
+
 def free_name(columns: list[str], name: str) -> str:
     """The name, with underscores after it until no column has it."""
     taken = {c.lower() for c in columns}

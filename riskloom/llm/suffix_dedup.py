@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.batches import hash_slices, mixed, ragged, text_groups
+from riskloom.llm.batches import by_shard, hash_slices, mixed, ragged, text_groups
 from riskloom.llm.ngram_trie import _runs, _shard_of_word, _steps, _sums, pack, unpack
 from riskloom.session import fresh_folder
 
@@ -287,7 +287,8 @@ def _runs_of_block(lengths: bytes, data: bytes, length: int, gram: int):
     """(bytes, offsets, runs, pairs of minimizer and content)"""
     text, offsets = _text(data), _offsets(unpack(lengths)[0])
     found = runs(text, offsets, length, gram)
-    return text, offsets, found, _Pairs(found[3], hash_slices(text, found[0], found[1] + length))
+    # A minimizer's hash is low, since it is the least of many; mixed, it falls anywhere.
+    return text, offsets, found, _Pairs(mixed(found[3]), hash_slices(text, found[0], found[1] + length))
 
 
 def _pieces(keys: np.ndarray, shards: int) -> tuple[list[int], list[slice]]:
@@ -362,8 +363,7 @@ def _judge(sent: DataFrame, shards: int) -> DataFrame:
                 [shard] * len(rows), 0, [pack(state[a:b]) for a, b in zip(cuts, cuts[1:])]
             ).set_column(1, "block", pa.array([r[1] for r in rows], pa.int64()))
 
-    dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, _MESSAGE)
+    return by_shard(sent, shards).mapInArrow(run, _MESSAGE)
 
 
 def _by_block(answers: DataFrame) -> DataFrame:
@@ -585,8 +585,7 @@ def _merge_strings(sent: DataFrame, shards: int) -> DataFrame:
                 1, "block", pa.array([r[1] for r in rows], pa.int64())
             )
 
-    dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, _MESSAGE)
+    return by_shard(sent, shards).mapInArrow(run, _MESSAGE)
 
 
 def _finish(joined: DataFrame, kind: str, length: int) -> DataFrame:
