@@ -33,6 +33,23 @@ def test_words_and_hashes_of_batches():
     assert len({(w, h) for _, w, h in found}) == len({w for _, w in words}) == len({h for *_, h in found})
 
 
+def test_hash_slots_against_a_dictionary():
+    rng = np.random.default_rng(2)
+    slots, plain = batches.HashSlots(10), {}
+    for _ in range(5):
+        keys = np.unique(rng.integers(0, 1 << 62, 100, dtype=np.uint64) << np.uint64(2))  # few low bits
+        new = np.array([k for k in [2, *keys.tolist()] if k not in plain], np.uint64)
+        numbers = np.arange(len(plain), len(plain) + len(new), dtype=np.int32)
+        slots.add(new, numbers)
+        plain |= dict(zip(new.tolist(), numbers.tolist()))
+        asked = np.concatenate((np.array(list(plain), np.uint64), rng.integers(0, 1 << 62, 50, dtype=np.uint64)))
+        assert slots.find(asked).tolist() == [plain.get(k, -1) for k in asked.tolist()]
+
+
+def test_no_column_is_taken_twice():
+    assert batches.free_name(["A", "a_", "b"], "a") == "a__" and batches.free_name([], "a") == "a"
+
+
 # --- personal data ---
 
 
