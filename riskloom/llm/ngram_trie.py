@@ -34,11 +34,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.batches import LOWER, NOT_SPACE, hash_slices, mixed, text_groups, words_of
+from riskloom.llm.batches import LOWER, NOT_SPACE, by_shard, hash_slices, mixed, text_groups, words_of
 from riskloom.llm.elias_fano import EliasFano
 from riskloom.session import fresh_folder
 
-BLOCK_TOKENS = 4_500_000
+BLOCK_TOKENS = 3_000_000
 SHARD_TOKENS = 1_500_000
 VOCABULARY_SHARD = 3_000_000
 PAIR_SEEN = 32
@@ -334,8 +334,7 @@ def _vocabulary(blocks: DataFrame, shards: int) -> DataFrame:
             )
 
     sent = blocks.select("block", "words").mapInArrow(send, "shard long, block long, data binary")
-    dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(answer, "block long, shard long, known long, data binary")
+    return by_shard(sent, shards).mapInArrow(answer, "block long, shard long, known long, data binary")
 
 
 def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int, shard_tokens: int) -> DataFrame:
@@ -354,9 +353,9 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
         lengths = batch.column(3)[k].values.to_numpy().astype(np.int64)
         answers = sorted((a["shard"], a["data"]) for a in batch.column(5)[k].as_py())
         counts, numbers = _answers(answers)
-        tokens = _unranked(*unpack(batch.column(4)[k].as_py()))
+        tokens = _unranked(*unpack(batch.column(4)[k].as_py())).astype(np.int32)
         log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
-        doc = np.repeat(np.arange(len(lengths)), lengths)
+        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         firsts = np.cumsum(lengths) - lengths
         base = np.bincount(doc, weights=log_p1[tokens], minlength=len(lengths))
         known = np.bincount(doc, weights=counts[tokens] > 0, minlength=len(lengths))
@@ -422,7 +421,7 @@ def _token_shards(
     if len(hot):
         before = np.where(w1[hot] < 0, np.uint64(0), numbers[np.maximum(w1[hot], 0)] + np.uint64(2))
         key[hot] += mixed(before) % parts[hot].astype(np.uint64) + np.uint64(1)
-        _, pair, seen = np.unique(w2[hot] * len(numbers) + w1[hot], return_inverse=True, return_counts=True)
+        _, pair, seen = np.unique(w2[hot].astype(np.int64) * len(numbers) + w1[hot], return_inverse=True, return_counts=True)
         share = seen[pair] * blocks
         salted = np.flatnonzero((seen[pair] >= PAIR_SEEN) & (share > shard_tokens))
         salts = -(-share[salted] // shard_tokens)
@@ -452,8 +451,7 @@ def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int) -> DataFram
         if held:
             yield _shard_scores(held, n, v)
 
-    dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, schema)
+    return by_shard(sent, shards).mapInArrow(run, schema)
 
 
 def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
