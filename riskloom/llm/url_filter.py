@@ -1,14 +1,16 @@
 """URL filtering by fixed host and path rules, and by association rules mined from labelled URLs.
 
 A URL's tokens are its host's labels by place, the words of its path and the keys of its query.
-FP-growth mines which combinations go with a label; rules are kept when support and confidence
-suffice and no more general rule is as confident. They are matched through an inverted index from
+FP-growth mines which combinations go with a label; rules are kept when they fit ``MIN_COUNT`` blocked
+URLs, whatever the number of labels, are confident, beat the part of all labelled URLs that is blocked,
+and no more general rule is as confident. They are matched through an inverted index from
 token to rule, once for each distinct set of tokens. A fixed rule, where one fits, decides before
 the mined ones; the mined rule with the highest confidence decides next; else a URL is allowed.
 
 Everything is DataFrame functions and the library's FP-growth. Defined results: a null URL, or one
 without ``://``, has an empty host and path, no token and no rule, and is allowed; repeated rows
-get the same result; no labels give no mined rules. Other columns are passed over.
+get the same result; no labels give no mined rules; a token that every labelled URL holds tells
+nothing and is in no rule, unless all are blocked. Other columns are passed over.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.session import fresh_folder
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-MIN_SUPPORT = 0.01
+#: Blocked URLs that a rule fits at least; a number, so that it does not grow with the table.
+MIN_COUNT = 5
 MIN_CONFIDENCE = 0.6
 BLOCK = "verdict:block"
 
@@ -76,11 +79,12 @@ def fixed_rule(rules: list[Rule], host: Column, path: Column) -> Column:
 
 
 def mine(
-    labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE
+    labelled: DataFrame, support: float | None = None, confidence: float = MIN_CONFIDENCE, count: int = MIN_COUNT
 ) -> DataFrame:
     """rule, tokens, confidence: what FP-growth finds in ``labelled`` (tokens, blocked).
 
-    A rule is dropped when one with fewer of its tokens is at least as confident.
+    A rule fits at least ``count`` blocked URLs, or the fraction ``support`` of all where that is given.
+    It is dropped when it is no more confident than the base rate or than one with fewer of its tokens.
     """
     spark = labelled.sparkSession
     marked = labelled.where("size(tokens) > 0").select(
@@ -90,10 +94,19 @@ def mine(
     marked.write.parquet(path)
     marked = spark.read.parquet(path)
     empty = "rule long, tokens array<string>, confidence double"
-    if marked.isEmpty():
+    total = marked.count()
+    if support is None and total < count or not total:
         return spark.createDataFrame([], empty)
+    if support is None:
+        support = (count - 0.5) / total  # FP-growth rounds up
+    # Tokens of every URL double the sets that FP-growth finds and change no confidence.
+    seen = marked.select(F.explode("items").alias("item")).groupBy("item").count().where(F.col("count") == total)
+    general = [r["item"] for r in seen.collect()]
+    if general and BLOCK not in general:
+        marked = marked.select(F.array_except("items", F.array(*map(F.lit, general))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(marked)
-    found = model.associationRules.where(F.array_contains("consequent", BLOCK)).select(
+    better = F.array_contains("consequent", BLOCK) & ((F.col("lift") > 1) | (F.col("confidence") == 1))
+    found = model.associationRules.where(better).select(
         F.sort_array("antecedent").alias("tokens"), "confidence"
     )
     path = fresh_folder(spark, "url-rules")
@@ -138,8 +151,9 @@ def judge(
     rules: list[Rule],
     page_id: str = "page_id",
     url: str = "url",
-    support: float = MIN_SUPPORT,
+    support: float | None = None,
     confidence: float = MIN_CONFIDENCE,
+    count: int = MIN_COUNT,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, and the confidence of the mined rule that fits.
 
@@ -152,6 +166,7 @@ def judge(
         parsed.select(tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"), "blocked"),
         support,
         confidence,
+        count,
     )
     host, path = host_and_path(F.col("url"))
     parsed = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")).select(

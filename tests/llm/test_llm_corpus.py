@@ -328,3 +328,21 @@ def test_mined_rules_are_the_confident_ones(spark):
     found = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean"), 0.1, 0.55).collect()
     # a alone blocks 8 of 14, b always; a and b together are no better than b.
     assert {tuple(r["tokens"]): round(r["confidence"], 3) for r in found} == {("a",): round(8 / 14, 3), ("b",): 1.0}
+
+
+def test_a_small_blocked_host_has_a_rule_at_any_size(spark):
+    bad = [(f"http://rare-spam.net/x/{k}", True) for k in range(6)] + [("http://once.net/y/1", True)]
+    for n in (60, 6000):  # 10 % and 0.1 % of the labels
+        good = [(f"http://site{k % 7}.net/x/{k}", k % 3 == 0) for k in range(n)]
+        labelled = spark.createDataFrame(good + bad, "url string, blocked boolean")
+        pages = spark.createDataFrame(
+            [(1, "http://rare-spam.net/z/9"), (2, "http://site1.net/x/1"), (3, "http://once.net/y/2")], "page_id long, url string"
+        )
+        found = url_filter.judge(pages, labelled, []).collect()
+        assert {r["page_id"]: r["verdict"] for r in found} == {1: "block", 2: "allow", 3: "allow"}, n
+
+
+def test_mined_rules_beat_the_base_rate(spark):
+    rows = [(["all", "a"], True)] * 70 + [(["all", "a"], False)] * 30 + [(["all", "b"], True)] * 90 + [(["all", "b"], False)] * 10
+    found = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
+    assert [(r["tokens"], r["confidence"]) for r in found] == [(["b"], 0.9)]
