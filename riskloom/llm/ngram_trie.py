@@ -45,7 +45,6 @@ PAIR_SEEN = 32
 CODES = 256
 #: Hash of the end token, which no word's hash is made to equal.
 END_HASH = np.uint64(0xE4D0F7EA7E4D0001)
-_BITS = 21  # of a word's place in a shard's vocabulary
 _NONE = 0  # the place of "no word" there
 
 
@@ -454,6 +453,18 @@ def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int) -> DataFram
     return by_shard(sent, shards).mapInArrow(run, schema)
 
 
+def _distinct(w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The distinct trigrams of places below ``size``, sorted by (w2, w1, w3), and which one each is."""
+    if size**3 < 1 << 63:
+        keys, inverse = np.unique((w2 * size + w1) * size + w3, return_inverse=True)
+        contexts, w3 = np.divmod(keys, size)
+        return *np.divmod(contexts, size), w3, inverse
+    contexts, of = np.unique(w2 * size + w1, return_inverse=True)
+    keys, inverse = np.unique(of * size + w3, return_inverse=True)
+    of, w3 = np.divmod(keys, size)
+    return *np.divmod(contexts[of], size), w3, inverse
+
+
 def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
     """The sum of log10 probabilities for each document of each block of a shard."""
     parts = [unpack(r.column(2)[0].as_py()) for r in rows]
@@ -461,23 +472,16 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
     every, place = np.unique(np.concatenate(numbers), return_inverse=True)
     counts = np.zeros(len(every) + 1, np.int64)
     counts[place + 1] = np.concatenate([p[1] for p in parts]).astype(np.int64)
-    if len(counts) >= 1 << _BITS:
-        raise ValueError("a shard has too many words; lower shard_tokens")
     cuts = np.cumsum([0, *map(len, numbers)])
-    keys, trains, docs = [], [], []
+    triples, trains, docs = [], [], []
     for k, p in enumerate(parts):
-        to = np.concatenate(([_NONE], place[cuts[k] : cuts[k + 1]] + 1)).astype(np.uint64)
-        w2, w1, w3 = (to[_unranked(p[2], x)] for x in p[3:6])
-        keys.append(w2 << np.uint64(2 * _BITS) | w1 << np.uint64(_BITS) | w3)
+        to = np.concatenate(([_NONE], place[cuts[k] : cuts[k + 1]] + 1))
+        triples.append(np.stack([to[_unranked(p[2], x)] for x in p[3:6]]))
         per_doc = p[6].astype(np.int64)
         docs.append(np.repeat(np.arange(len(per_doc)), per_doc))
         trains.append(np.repeat(p[7].astype(bool), per_doc))
-    every_key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    seen = np.bincount(inverse[np.concatenate(trains)], minlength=len(every_key))
-    mask = np.uint64((1 << _BITS) - 1)
-    w2, w1, w3 = (
-        ((every_key >> np.uint64(s)) & mask).astype(np.int64) for s in (2 * _BITS, _BITS, 0)
-    )
+    w2, w1, w3, inverse = _distinct(*np.concatenate(triples, axis=1), len(counts))
+    seen = np.bincount(inverse[np.concatenate(trains)], minlength=len(w2))
     log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
     some = seen > 0
     with tempfile.TemporaryDirectory() as folder:

@@ -99,6 +99,29 @@ def test_held_out_text_is_likelier_than_by_words(spark, tables):
     assert held[0] > held[1]
 
 
+def test_distinct_trigrams_of_any_number_of_words():
+    rng = np.random.default_rng(1)
+    w2, w1, w3 = rng.integers(0, 9, (3, 2000))
+    for size in (9, 1 << 21, 1 << 30):
+        step = (size - 1) // 8
+        *found, inverse = ngram_trie._distinct(w2 * step, w1 * step, w3 * step, size)
+        assert np.stack(found).T.tolist() == sorted([a * step, b * step, c * step] for a, b, c in {*zip(w2.tolist(), w1.tolist(), w3.tolist())})
+        assert (np.stack(found)[:, inverse] == np.stack([w2, w1, w3]) * step).all()
+
+
+def test_shards_of_distinct_words(spark):
+    words = F.transform(F.sequence(F.col("id") * 2000, F.col("id") * 2000 + 1999), F.hex)
+    docs = spark.range(0, 1245, numPartitions=8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text"))
+    whole, parts = (
+        {r["doc_id"]: r for r in scored(docs, **options).collect()} for options in ({}, {"shard_tokens": 200_000})
+    )  # 2.5 million words over 2 and 15 shards
+    assert len(whole) == len(parts) == 1245 and {r["n_tokens"] for r in whole.values()} == {2001}
+    for k, r in whole.items():
+        assert r["n_known"] == (2001 if r["trained"] else 1)
+        assert r["score"] == pytest.approx(parts[k]["score"], rel=1e-3)
+        assert (r["score"] > r["base_score"]) == r["trained"] or not r["trained"]
+
+
 def test_scoring_an_empty_table(no_docs):
     assert scored(no_docs).count() == 0
 
