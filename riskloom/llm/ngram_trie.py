@@ -6,7 +6,7 @@ half a count added. The trie of a shard holds the words w2 that precede a token,
 successors w3 and the words w1 before it, and under (w1, w2) its successors again, numbered by
 their place among the successors of w2, so that they are searched in a small range. All levels are
 Elias-Fano sequences with monotone pointers, probabilities and back-off weights are quantised to
-256 values, and the arrays are memory-mapped.
+steps of 1/2048 of their log10, alike in all shards, and the arrays are memory-mapped.
 
 The job: (1) texts become blocks of up to ``BLOCK_TOKENS`` tokens, written once; (2) the blocks'
 distinct words meet in vocabulary shards, which give back each word's training count and number;
@@ -14,8 +14,13 @@ distinct words meet in vocabulary shards, which give back each word's training c
 builds its trie, scores all its tokens and gives back one sum for each document. No model is
 broadcast or collected, and all that moves grows with the input.
 
-A word with more than ``SHARD_TOKENS`` training tokens is split by the word before it, and a pair
-that fills a shard by itself is split by block; such a part has counts of its own, which are many.
+A word with more than ``SHARD_TOKENS`` training tokens is split by the word before it. The blocks'
+distinct bigrams after such words are counted over all blocks before, and each part gets the counts
+of those it asks for. The distinct trigrams after a pair that fills a shard by itself are counted so
+as well, and the blocks score its tokens themselves. The words and pairs so frequent, less than one
+for each ``SHARD_TOKENS`` tokens, are collected. The two discounts come from the distinct bigrams and
+trigrams drawn by hash among all, all of them up to ``DISCOUNT_SAMPLE`` tokens. So scores depend
+neither on shards nor on blocks.
 
 Defined results: a null or empty text is the end token alone; repeated rows are scored each on
 their own; a row without ID trains or not as its hash says; without training text every token has
@@ -27,7 +32,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +47,15 @@ from riskloom.session import fresh_folder
 BLOCK_TOKENS = 3_000_000
 SHARD_TOKENS = 1_500_000
 VOCABULARY_SHARD = 3_000_000
-PAIR_SEEN = 32
-CODES = 256
+DISCOUNT_SAMPLE = 1_000_000
+#: Quantised values to a power of ten.
+STEPS = 2048
 #: Hash of the end token, which no word's hash is made to equal.
 END_HASH = np.uint64(0xE4D0F7EA7E4D0001)
+#: Stands before a text's first token.
+_BEFORE = np.uint64(0xB3F04E5C1D2A0003)
+_SLICE = 1 << 18
+_K = np.uint64(0x9E3779B97F4A7C15)
 _NONE = 0  # the place of "no word" there
 
 
@@ -98,26 +109,40 @@ def _sums(steps: np.ndarray) -> np.ndarray:
 # --- the trie ----------------------------------------------------------------------------------
 
 
-class Quantiser:
-    """Up to 256 mean values of equally filled ranges."""
+def quantised(values: np.ndarray) -> np.ndarray:
+    """Codes of numbers up to 1 by their log10."""
+    return np.clip(np.rint(-STEPS * np.log10(np.maximum(values, 1e-30))), 0, 65535).astype(np.uint16)
 
-    @staticmethod
-    def fit(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(codes, means)"""
-        if not len(values):
-            return np.zeros(0, np.uint8), np.zeros(1, np.float32)
-        edges = np.unique(np.quantile(values, np.linspace(0, 1, CODES + 1)[1:-1]))
-        codes = np.searchsorted(edges, values, "right")
-        counts = np.bincount(codes, minlength=len(edges) + 1)
-        means = np.bincount(codes, weights=values, minlength=len(edges) + 1) / np.maximum(counts, 1)
-        return codes.astype(np.uint8), means.astype(np.float32)
+
+def log_of(codes: np.ndarray) -> np.ndarray:
+    return codes / -STEPS
 
 
 def _discount(counts: np.ndarray) -> float:
-    ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
+    return _discount_of(int((counts == 1).sum()), int((counts == 2).sum()))
+
+
+def _discount_of(ones: int, twos: int) -> float:
     return min(0.99, max(0.1, ones / (ones + 2 * twos))) if ones and twos else 0.75
 
 
+@dataclass(frozen=True)
+class Split:
+    """The words that several shards share, with the kinds and the total of their successors in all
+    training texts; and the bigrams (w2, w3) with their counts there."""
+
+    words: np.ndarray
+    kinds: np.ndarray
+    totals: np.ndarray
+    w2: np.ndarray
+    w3: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def none(cls) -> Split:
+        return cls(*np.zeros((6, 0), np.int64))
+
+
 class NGramTrie:
     """Levels as arrays by name; ``build`` makes them, ``save`` and ``open`` map them from a folder."""
 
@@ -127,31 +152,42 @@ class NGramTrie:
         self.size, self.sequences, self.tables = size, sequences, tables
 
     @classmethod
-    def build(cls, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, counts: np.ndarray, log_p1: np.ndarray) -> NGramTrie:
+    def build(
+        cls, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, counts: np.ndarray, log_p1: np.ndarray,
+        discounts: tuple[float, float] | None = None, split: Split | None = None,
+    ) -> NGramTrie:
         """From distinct trigrams sorted by (w2, w1, w3) with their counts; words are places in a
-        vocabulary of which ``log_p1`` has the unigram log10 probabilities."""
+        vocabulary of which ``log_p1`` has the unigram log10 probabilities. ``split`` has the bigrams
+        of words whose trigrams are not all here."""
         size = len(log_p1)
         p1 = 10.0**log_p1
-        words, of_word = np.unique(w2, return_inverse=True)
+        split = split or Split.none()
+        words = np.union1d(w2, split.w2)
+        of_word = np.searchsorted(words, w2)
         # Level two: successors of w2.
-        pair_keys, pair_of = np.unique(of_word * size + w3, return_inverse=True)
-        pair_counts = np.bincount(pair_of, weights=counts)
+        given = np.searchsorted(words, split.w2) * size + split.w3
+        pair_keys = np.union1d(of_word * size + w3, given)
+        pair_of = np.searchsorted(pair_keys, of_word * size + w3)
+        pair_counts = np.bincount(pair_of, weights=counts, minlength=len(pair_keys))
+        pair_counts[np.searchsorted(pair_keys, given)] = split.counts
         pair_word, pair_w3 = pair_keys // size, pair_keys % size
         totals = np.bincount(pair_word, weights=pair_counts, minlength=len(words))
-        kinds = np.bincount(pair_word, minlength=len(words))
-        d2 = _discount(pair_counts)
+        held = np.bincount(pair_word, minlength=len(words))
+        kinds = held.copy()
+        at = np.searchsorted(words, split.words)
+        kinds[at], totals[at] = split.kinds, split.totals
+        d2, d3 = discounts or (_discount(pair_counts), _discount(counts))
         weight2 = d2 * kinds / np.maximum(totals, 1)
         p2 = (pair_counts - d2) / totals[pair_word] + weight2[pair_word] * p1[pair_w3]
-        starts = np.concatenate(([0], np.cumsum(kinds)))
+        starts = np.concatenate(([0], np.cumsum(held)))
         # Contexts (w2, w1), and under each its successors by their place under w2.
         context_keys, context_of = np.unique(of_word * size + w1, return_inverse=True)
         context_totals = np.bincount(context_of, weights=counts)
         context_kinds = np.bincount(context_of)
-        d3 = _discount(counts)
         weight3 = d3 * context_kinds / np.maximum(context_totals, 1)
         p3 = (counts - d3) / context_totals[context_of] + weight3[context_of] * p2[pair_of]
         place = pair_of - starts[of_word]
-        ranges = kinds[context_keys // size] if len(context_keys) else np.zeros(0, np.int64)
+        ranges = held[context_keys // size] if len(context_keys) else np.zeros(0, np.int64)
         bases = np.concatenate(([0], np.cumsum(ranges)))
         sequences = {
             "words": EliasFano.of(words, size),
@@ -161,9 +197,8 @@ class NGramTrie:
             "thirds": EliasFano.of(bases[context_of] + place, int(bases[-1]) + 1),
             "third_bases": EliasFano.of(bases, int(bases[-1]) + 1),
         }
-        tables = {}
-        for name, value in (("p2", p2), ("p3", p3), ("weight2", weight2), ("weight3", weight3)):
-            tables[name], tables[f"{name}_means"] = Quantiser.fit(np.log10(np.maximum(value, 1e-30)))
+        values = {"p2": p2, "p3": p3, "weight2": weight2, "weight3": weight3}
+        tables = {name: quantised(value) for name, value in values.items()}
         return cls(size, sequences, tables)
 
     def _named(self) -> dict[str, np.ndarray]:
@@ -190,7 +225,7 @@ class NGramTrie:
         return cls(int(get["size"][0]), sequences, tables)
 
     def _value(self, name: str, at: np.ndarray) -> np.ndarray:
-        return self.tables[f"{name}_means"][self.tables[name][at]].astype(float)
+        return log_of(self.tables[name][at])
 
     def score(self, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, log_p1: np.ndarray) -> np.ndarray:
         """log10 probability of each w3 after w1 w2, given its unigram's."""
@@ -294,9 +329,10 @@ def _shard_of_word(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _vocabulary(blocks: DataFrame, shards: int) -> DataFrame:
+def _vocabulary(blocks: DataFrame, shards: int, frequent: int) -> DataFrame:
     """block, shard, data (training count and number of each of the block's words in the shard), and
-    on one row of each shard the number of its words with a training count."""
+    on one row of each shard the number of its words with a training count and the hashes of those
+    with more than ``frequent``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,19 +360,168 @@ def _vocabulary(blocks: DataFrame, shards: int) -> DataFrame:
                 own = places[cuts[k] : cuts[k + 1]].astype(np.uint64)
                 data.append(pack(counts[own], _steps(own)))
             known = [int((counts > 0).sum())] + [0] * (len(rows) - 1)
+            often = [every[counts > frequent].tobytes()] + [b""] * (len(rows) - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[1] for r in rows], pa.int64()), pa.array([shard] * len(rows), pa.int64()),
-                    pa.array(known, pa.int64()), pa.array(data, pa.binary()),
+                    pa.array(known, pa.int64()), pa.array(data, pa.binary()), pa.array(often, pa.binary()),
                 ],
-                ["block", "shard", "known", "data"],
+                ["block", "shard", "known", "data", "often"],
             )
 
     sent = blocks.select("block", "words").mapInArrow(send, "shard long, block long, data binary")
-    return by_shard(sent, shards).mapInArrow(answer, "block long, shard long, known long, data binary")
+    return by_shard(sent, shards).mapInArrow(answer, "block long, shard long, known long, data binary, often binary")
+
+
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of a word or pair with the word after it."""
+    return mixed(mixed(a) * _K + b)
+
+
+def _place(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The place of each key among sorted ones, -1 where it is not there."""
+    if not len(among):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return np.where(among[at] == keys, at, -1)
+
+
+@dataclass(frozen=True)
+class Frequent:
+    """Sorted hashes of the words, and of the pairs, that do not fit a shard, with the kinds of their
+    successors in the training texts; and how often such pairs occur there."""
+
+    words: np.ndarray
+    word_kinds: np.ndarray
+    pairs: np.ndarray
+    pair_kinds: np.ndarray
+    pair_counts: np.ndarray
+
+    def bigrams(self, words: np.ndarray, tokens: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the tokens after such words, keys of the bigrams there, which words)"""
+        which = np.empty(len(tokens), np.int32)
+        which[1:] = _place(words, self.words).astype(np.int32)[tokens[:-1]]
+        which[firsts] = _place(np.array([_BEFORE]), self.words)[0]
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
+        return at, _joint(self.words[which], words[tokens[at]]), which
+
+    def trigrams(self, words: np.ndarray, tokens: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the tokens after such pairs, keys of the trigrams there, which pairs)"""
+        at, keys, _ = self.bigrams(words, tokens, firsts)
+        which = _place(keys, self.pairs)
+        first = np.zeros(len(tokens) + 1, bool)
+        first[firsts] = first[-1] = True
+        some = np.flatnonzero((which >= 0) & ~first[at + 1])
+        at, which = at[some] + 1, which[some]
+        return at, _joint(self.pairs[which], words[tokens[at]]), which
+
+
+def _block_tokens(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
+    """(hashes of the words, tokens as places there, places of the texts' first ones, whether in a
+    training text) of a row of words, tokens, lengths and trains."""
+    words = _sums(unpack(batch.column("words")[k].as_py())[0])
+    tokens = _unranked(*unpack(batch.column("tokens")[k].as_py())).astype(np.int32)
+    lengths = batch.column("lengths")[k].values.to_numpy().astype(np.int64)
+    trains = batch.column("trains")[k].values.to_numpy(zero_copy_only=False)
+    return words, tokens, np.cumsum(lengths) - lengths, np.repeat(trains, lengths)
+
+
+def _discounts(blocks: DataFrame, n: int, sample: int = DISCOUNT_SAMPLE) -> tuple[float, float]:
+    """Of bigrams and trigrams, by the counts of those drawn by hash."""
+    limit = np.uint64(min((1 << 64) - 1, (1 << 64) * sample // max(n, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, tokens, firsts, train = _block_tokens(batch, k)
+                train[firsts] = False
+                first = np.zeros(len(tokens), bool)
+                first[firsts] = True
+                at = np.flatnonzero(train)
+                drawn: dict[int, list[np.ndarray]] = {2: [], 3: []}
+                for part in np.array_split(at, len(at) // _SLICE + 1):
+                    w2 = words[tokens[part - 1]]
+                    w1 = np.where(first[part - 1], _BEFORE, words[tokens[part - 2]])
+                    for order, before in ((2, w2), (3, _joint(w1, w2))):
+                        keys = _joint(before, words[tokens[part]])
+                        drawn[order].append(keys[keys <= limit])
+                for order, parts in drawn.items():
+                    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(keys), order, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)],
+                        ["n", "key", "count"],
+                    )
+
+    drawn = blocks.select("words", "tokens", "lengths", "trains").mapInArrow(run, "n int, key long, count long")
+    counts = drawn.groupBy("n", "key").agg(F.sum("count").alias("count")).where("count <= 2").groupBy("n", "count").agg(F.count("*").alias("kinds"))
+    found = {(r["n"], r["count"]): r["kinds"] for r in counts.collect()}
+    return tuple(_discount_of(found.get((k, 1), 0), found.get((k, 2), 0)) for k in (2, 3))
+
+
+def _counted(
+    blocks: DataFrame, grams: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], shards: int, frequent: int
+) -> DataFrame:
+    """block, shard, data (training counts of the block's distinct keys in the shard), and on one row of
+    each shard ``often``: the keys with more than ``frequent``, their counts, and the kinds of each
+    word or pair."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, tokens, firsts, train = _block_tokens(batch, k)
+                at, keys, which = grams(words, tokens, firsts)
+                keys, first, of = np.unique(keys, return_index=True, return_inverse=True)
+                counts = np.bincount(of[train[at]], minlength=len(keys))
+                which = which[first]
+                cuts = np.searchsorted(_shard_of_word(keys, shards), np.arange(shards + 1))
+                some = np.flatnonzero(np.diff(cuts)).tolist()
+                parts = [slice(cuts[s], cuts[s + 1]) for s in some]
+                data = [pack(_steps(keys[x]), counts[x], which[x]) for x in parts]
+                block = batch.column("block")[k].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array([block] * len(some), pa.int64()), pa.array(data, pa.binary())],
+                    ["shard", "block", "data"],
+                )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, rows in _runs(batches):
+            parts = [unpack(r[2]) for r in rows]
+            keys = [_sums(p[0]) for p in parts]
+            every, first, places = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            counts = np.bincount(places, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+            kinds = np.bincount(np.concatenate([p[2] for p in parts])[first[counts > 0]].astype(np.int64))
+            big = np.flatnonzero(counts > frequent)
+            cuts = np.cumsum([0, *map(len, keys)])
+            data = [pack(counts[places[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+            often = [pack(every[big], counts[big], kinds)] + [b""] * (len(rows) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[1] for r in rows], pa.int64()), pa.array([shard] * len(rows), pa.int64()),
+                    pa.array(data, pa.binary()), pa.array(often, pa.binary()),
+                ],
+                ["block", "shard", "data", "often"],
+            )
+
+    sent = blocks.select("block", "words", "tokens", "lengths", "trains").mapInArrow(send, "shard long, block long, data binary")
+    return by_shard(sent, shards).mapInArrow(answer, "block long, shard long, data binary, often binary")
+
 
+def _often(answers: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted keys, their counts, kinds of n words or pairs) that the shards noted."""
+    parts = [unpack(r[0]) for r in answers.where("length(often) > 0").select("often").collect()]
+    kinds = np.zeros(n, np.int64)
+    for p in parts:
+        kinds[: len(p[2])] += p[2].astype(np.int64)
+    none = np.zeros(0, np.uint64)
+    keys = np.concatenate([none, *(p[0] for p in parts)])
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([none, *(p[1] for p in parts)])[order].astype(np.int64), kinds
 
-def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int, shard_tokens: int) -> DataFrame:
+
+def _sent(
+    joined: DataFrame, kind: str, n: int, v: int, shards: int, shard_tokens: int, frequent: Frequent, discounts: tuple[float, float]
+) -> DataFrame:
     """shard, block, data: each block's tokens by the shard of the word before, and under a shard of
     its own, below 0, what the block knows by itself."""
     schema = f"shard long, block long, data binary, ids array<{kind}>, trains array<boolean>"
@@ -350,31 +535,57 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
         block = batch.column(0)[k].as_py()
         ids, trains = batch.column(1).slice(k, 1), batch.column(2).slice(k, 1)
         lengths = batch.column(3)[k].values.to_numpy().astype(np.int64)
-        answers = sorted((a["shard"], a["data"]) for a in batch.column(5)[k].as_py())
-        counts, numbers = _answers(answers)
+        answers = sorted((a["level"], a["shard"], a["data"]) for a in batch.column(5)[k].as_py())
+        counts, numbers = _answers([a[1:] for a in answers if a[0] == 1])
         tokens = _unranked(*unpack(batch.column(4)[k].as_py())).astype(np.int32)
         log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         firsts = np.cumsum(lengths) - lengths
         base = np.bincount(doc, weights=log_p1[tokens], minlength=len(lengths))
         known = np.bincount(doc, weights=counts[tokens] > 0, minlength=len(lengths))
-        head = np.stack([base, known, lengths, log_p1[tokens[firsts]]]).astype("<f8").tobytes()
+        start = log_p1[tokens[firsts]]
+        at = np.ones(len(tokens), bool)
+        at[firsts] = False
+        kinds, count2 = np.zeros(len(counts), np.int64), np.zeros(len(tokens), np.int64)
+        if len(frequent.words):
+            words = _sums(unpack(batch.column(6)[k].as_py())[0])
+            which = _place(words, frequent.words)
+            kinds[which >= 0] = frequent.word_kinds[which[which >= 0]]
+            near, keys, _ = frequent.bigrams(words, tokens, firsts)
+            _, of = np.unique(keys, return_inverse=True)
+            count2[near] = _counts_of(answers, 2)[of]
+            if len(frequent.pairs):
+                own, keys, which = frequent.trigrams(words, tokens, firsts)
+                _, of = np.unique(keys, return_inverse=True)
+                values = _frequent_scores(
+                    _counts_of(answers, 3)[of], frequent.pair_counts[which], frequent.pair_kinds[which], count2[own],
+                    counts[tokens[own - 1]], kinds[tokens[own - 1]], log_p1[tokens[own]], discounts,
+                )
+                start = start + np.bincount(doc[own], weights=values, minlength=len(lengths))
+                at[own] = False
+            del near, keys, of
+        head = np.stack([base, known, lengths, start]).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1 - block], pa.int64()), pa.array([block], pa.int64()), pa.array([head], pa.binary()), ids, trains],
             ["shard", "block", "data", "ids", "trains"],
         )
-        at = np.ones(len(tokens), bool)
-        at[firsts] = False
         at = np.flatnonzero(at)
         if not len(at):
             return
         w3, w2 = tokens[at], tokens[at - 1]
         w1 = np.where(at - 1 == firsts[doc[at]], -1, tokens[np.maximum(at - 2, 0)])
-        of = _token_shards(w2, w1, numbers, counts, block, blocks, shards, shard_tokens)
+        of = _token_shards(w2, w1, numbers, counts, shards, shard_tokens)
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(shards + 1))
         some = np.flatnonzero(np.diff(cuts)).tolist()
         train = batch.column(2)[k].values.to_numpy(zero_copy_only=False)
+
+        def split(used: np.ndarray, place: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if not kinds[used].any():
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            _, first, _ = _split_pairs(kinds[used], place[0], place[2])
+            return kinds[used], pairs[first]
+
         data = []
         for s in some:
             own = order[cuts[s] : cuts[s + 1]]
@@ -385,7 +596,7 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
             place = (place + 1 - none).reshape(3, -1)  # 0 is no word
             per_doc = np.bincount(doc[at[own]], minlength=len(lengths))
             often, ranks = _ranked(place, len(used) + 1)
-            data.append(pack(_steps(numbers[used]), counts[used], often, *ranks, per_doc, train))
+            data.append(pack(_steps(numbers[used]), counts[used], often, *ranks, per_doc, train, *split(used, place, count2[at[own]])))
         m = len(some)
         yield pa.RecordBatch.from_arrays(
             [
@@ -395,7 +606,32 @@ def _sent(joined: DataFrame, kind: str, n: int, v: int, blocks: int, shards: int
             ["shard", "block", "data", "ids", "trains"],
         )
 
-    return joined.select("block", "ids", "trains", "lengths", "tokens", "answers").mapInArrow(run, schema)
+    return joined.select("block", "ids", "trains", "lengths", "tokens", "answers", "words").mapInArrow(run, schema)
+
+
+def _counts_of(answers: list[tuple[int, int, bytes]], level: int) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(a[2])[0].astype(np.int64) for a in answers if a[0] == level)])
+
+
+def _split_pairs(kinds: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, a place of each, w2 and w3 of each) of the bigrams of words with kinds, by
+    places from 1."""
+    at = np.flatnonzero(kinds[w2 - 1])
+    keys, first = np.unique(w2[at] * (len(kinds) + 1) + w3[at], return_index=True)
+    return keys, at[first], np.stack(np.divmod(keys, len(kinds) + 1))
+
+
+def _frequent_scores(
+    count3: np.ndarray, total3: np.ndarray, kinds3: np.ndarray, count2: np.ndarray, total2: np.ndarray, kinds2: np.ndarray,
+    log_p1: np.ndarray, discounts: tuple[float, float],
+) -> np.ndarray:
+    """What a trie gives, from the counts."""
+    d2, d3 = discounts
+    weight2, weight3 = d2 * kinds2 / np.maximum(total2, 1), d3 * kinds3 / total3
+    p2 = (count2 - d2) / np.maximum(total2, 1) + weight2 * 10.0**log_p1
+    p3 = (count3 - d3) / total3 + weight3 * p2
+    lower = np.where(count2 > 0, log_of(quantised(p2)), log_of(quantised(weight2)) + log_p1)
+    return np.where(count3 > 0, log_of(quantised(p3)), log_of(quantised(weight3)) + lower)
 
 
 def _answers(answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -409,27 +645,19 @@ def _answers(answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _token_shards(
-    w2: np.ndarray, w1: np.ndarray, numbers: np.ndarray, counts: np.ndarray,
-    block: int, blocks: int, shards: int, shard_tokens: int,
-) -> np.ndarray:
-    """The shard of each token: by w2, by w1 as well where w2 is too frequent for one shard, and by
-    block as well where the pair is."""
+    w2: np.ndarray, w1: np.ndarray, numbers: np.ndarray, counts: np.ndarray, shards: int, shard_tokens: int
+) -> np.ndarray:
+    """The shard of each token: by w2, and by w1 as well where w2 is too frequent for one shard."""
     key = mixed(numbers[w2] + np.uint64(1))
     parts = -(-counts[w2] // shard_tokens)
     hot = np.flatnonzero(parts > 1)
     if len(hot):
         before = np.where(w1[hot] < 0, np.uint64(0), numbers[np.maximum(w1[hot], 0)] + np.uint64(2))
         key[hot] += mixed(before) % parts[hot].astype(np.uint64) + np.uint64(1)
-        _, pair, seen = np.unique(w2[hot].astype(np.int64) * len(numbers) + w1[hot], return_inverse=True, return_counts=True)
-        share = seen[pair] * blocks
-        salted = np.flatnonzero((seen[pair] >= PAIR_SEEN) & (share > shard_tokens))
-        salts = -(-share[salted] // shard_tokens)
-        salt = mixed(np.full(len(salted), block, np.uint64)) % salts.astype(np.uint64)
-        key[hot[salted]] += (salt + np.uint64(1)) << np.uint64(20)
     return (mixed(key) % np.uint64(shards)).astype(np.int64)
 
 
-def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int) -> DataFrame:
+def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int, discounts: tuple[float, float]) -> DataFrame:
     schema = f"block long, data binary, ids array<{kind}>, trains array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,49 +671,71 @@ def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int) -> DataFram
                     yield row.select(["block", "data", "ids", "trains"])
                     continue
                 if now != shard and held:
-                    yield _shard_scores(held, n, v)
+                    yield _shard_scores(held, n, v, discounts)
                     held = []
                 shard = now
                 held.append(row)
         if held:
-            yield _shard_scores(held, n, v)
+            yield _shard_scores(held, n, v, discounts)
 
     return by_shard(sent, shards).mapInArrow(run, schema)
 
 
 def _distinct(w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """The distinct trigrams of places below ``size``, sorted by (w2, w1, w3), and which one each is."""
+    keys = w2.astype(np.int64) * size + w1
     if size**3 < 1 << 63:
-        keys, inverse = np.unique((w2 * size + w1) * size + w3, return_inverse=True)
+        keys, inverse = np.unique(keys * size + w3, return_inverse=True)
         contexts, w3 = np.divmod(keys, size)
         return *np.divmod(contexts, size), w3, inverse
-    contexts, of = np.unique(w2 * size + w1, return_inverse=True)
+    contexts, of = np.unique(keys, return_inverse=True)
     keys, inverse = np.unique(of * size + w3, return_inverse=True)
     of, w3 = np.divmod(keys, size)
     return *np.divmod(contexts[of], size), w3, inverse
 
 
-def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int) -> pa.RecordBatch:
+def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[float, float]) -> pa.RecordBatch:
     """The sum of log10 probabilities for each document of each block of a shard."""
-    parts = [unpack(r.column(2)[0].as_py()) for r in rows]
+    parts = []
+    for r in rows:
+        p = unpack(r.column(2)[0].as_py())
+        p[3:6] = [x.astype(np.int32) for x in p[3:6]]
+        parts.append(p)
     numbers = [_sums(p[0]) for p in parts]
     every, place = np.unique(np.concatenate(numbers), return_inverse=True)
     counts = np.zeros(len(every) + 1, np.int64)
     counts[place + 1] = np.concatenate([p[1] for p in parts]).astype(np.int64)
     cuts = np.cumsum([0, *map(len, numbers)])
     triples, trains, docs = [], [], []
+    kinds, pairs = np.zeros(len(counts), np.int64), [np.zeros((3, 0), np.int64)]
     for k, p in enumerate(parts):
-        to = np.concatenate(([_NONE], place[cuts[k] : cuts[k + 1]] + 1))
-        triples.append(np.stack([to[_unranked(p[2], x)] for x in p[3:6]]))
+        to = np.concatenate(([_NONE], place[cuts[k] : cuts[k + 1]] + 1)).astype(np.int32)
+        triple = [_unranked(p[2], x) for x in p[3:6]]
+        triples.append(to[np.stack(triple)])
+        if len(p[8]):
+            own = p[8].astype(np.int64)
+            kinds[to[1:]] = np.maximum(kinds[to[1:]], own)
+            _, _, pair = _split_pairs(own, triple[0], triple[2])
+            pairs.append(np.concatenate((to[pair], p[9].astype(np.int64)[None])))
+        p[3:6] = [None] * 3
         per_doc = p[6].astype(np.int64)
-        docs.append(np.repeat(np.arange(len(per_doc)), per_doc))
+        docs.append(np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc))
         trains.append(np.repeat(p[7].astype(bool), per_doc))
-    w2, w1, w3, inverse = _distinct(*np.concatenate(triples, axis=1), len(counts))
+    triples = np.concatenate(triples, axis=1)
+    w2, w1, w3, inverse = _distinct(*triples, len(counts))
+    del triples
     seen = np.bincount(inverse[np.concatenate(trains)], minlength=len(w2))
+    del trains
     log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
     some = seen > 0
+    pair_w2, pair_w3, pair_counts = np.concatenate(pairs, axis=1)
+    _, first = np.unique(pair_w2 * len(counts) + pair_w3, return_index=True)
+    first = first[pair_counts[first] > 0]
+    pair_w2 = pair_w2[first]
+    words = np.unique(pair_w2)
+    split = Split(words, kinds[words], counts[words], pair_w2, pair_w3[first], pair_counts[first])
     with tempfile.TemporaryDirectory() as folder:
-        NGramTrie.build(w2[some], w1[some], w3[some], seen[some], log_p1).save(folder)
+        NGramTrie.build(w2[some], w1[some], w3[some], seen[some], log_p1, discounts, split).save(folder)
         scores = NGramTrie.open(folder).score(w2, w1, w3, log_p1[w3])
     out, at = [], 0
     for p, own in zip(parts, docs):
@@ -555,14 +805,36 @@ def score(
     path = fresh_folder(spark, "lm-blocks")
     _blocks(given, kind, block_tokens).write.option("compression", "uncompressed").parquet(path)
     blocks = spark.read.parquet(path)
-    sums = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum("n_train"), F.count("*")).head()
-    n_words, n_tokens, n, n_blocks = (int(x or 0) for x in sums)
-    path = fresh_folder(spark, "lm-vocabulary")
-    _vocabulary(blocks, max(1, -(-n_words // vocabulary_shard))).write.option("compression", "uncompressed").parquet(path)
-    answers = spark.read.parquet(path)
+    sums = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum("n_train"), F.sum(F.size("ids"))).head()
+    n_words, n_tokens, n, n_texts = (int(x or 0) for x in sums)
+    answers = _kept(_vocabulary(blocks, max(1, -(-n_words // vocabulary_shard)), shard_tokens), "lm-vocabulary")
     v = int(answers.agg(F.sum("known")).head()[0] or 0)
-    grouped = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias("answers"))
+    discounts = _discounts(blocks, n)
+    columns = ["block", "shard", "data"]
+    level = lambda rows, k: rows.select(F.lit(k).alias("level"), *columns)
+    every = level(answers, 1)
+    none = np.zeros(0, np.uint64)
+    words = [np.frombuffer(r[0], np.uint64) for r in answers.where("length(often) > 0").select("often").collect()]
+    words = np.sort(np.concatenate([none, *words, np.array([_BEFORE] if n_texts > shard_tokens else none, np.uint64)]))
+    frequent = Frequent(words, none, none, none, none)
+    if len(words):
+        counted = max(1, -(-n_tokens // vocabulary_shard))
+        found = _kept(_counted(blocks, frequent.bigrams, counted, shard_tokens), "lm-bigrams")
+        pairs, pair_counts, word_kinds = _often(found, len(words))
+        every = every.union(level(found, 2))
+        frequent = Frequent(words, word_kinds, pairs, none, pair_counts)
+        if len(pairs):
+            found = _kept(_counted(blocks, frequent.trigrams, counted, shard_tokens), "lm-trigrams")
+            every = every.union(level(found, 3))
+            frequent = Frequent(words, word_kinds, pairs, _often(found, len(pairs))[2], pair_counts)
+    grouped = every.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "data")).alias("answers"))
     shards = max(1, -(-6 * n_tokens // (5 * shard_tokens)))
-    joined = blocks.drop("words").join(grouped, "block")
-    sent = _sent(joined, kind, n, v, n_blocks, shards, shard_tokens)
-    return _documents(_scored(sent, kind, n, v, shards), kind, n)
+    kept = blocks if len(words) else blocks.withColumn("words", F.lit(b""))
+    sent = _sent(kept.join(grouped, "block"), kind, n, v, shards, shard_tokens, frequent, discounts)
+    return _documents(_scored(sent, kind, n, v, shards, discounts), kind, n)
+
+
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    path = fresh_folder(rows.sparkSession, name)
+    rows.write.option("compression", "uncompressed").parquet(path)
+    return rows.sparkSession.read.parquet(path)

@@ -122,6 +122,21 @@ def test_shards_of_distinct_words(spark):
         assert (r["score"] > r["base_score"]) == r["trained"] or not r["trained"]
 
 
+def test_scores_do_not_depend_on_shards_and_blocks(spark, edge):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 60) % 50) for _ in range(60)] + ["w1 w1 w1 w1 " * 30] * 4 + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(edge[1].select("doc_id", "text"))
+    found = []
+    for parts, options in (
+        (1, {}), (5, {"block_tokens": 300}), (3, {"shard_tokens": 2000}), (7, {"block_tokens": 500, "shard_tokens": 40, "vocabulary_shard": 300}),
+    ):
+        rows = scored(docs.repartition(parts), **options).collect()
+        found.append(sorted((str(r["doc_id"]), r["n_tokens"], round(r["base_score"], 6), r["score"]) for r in rows))
+    for other in found[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in found[0]]
+        assert [r[3] for r in other] == pytest.approx([r[3] for r in found[0]], abs=0.002, rel=1e-5)
+
+
 def test_scoring_an_empty_table(no_docs):
     assert scored(no_docs).count() == 0
 
