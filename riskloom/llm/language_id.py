@@ -8,8 +8,9 @@ seen: the temperature that turns the differences into a probability, the usual c
 language's texts, that of the same letters in random order, and how it varies with the length. A
 text nearer to random letters than to its language is rejected; one of several languages is not.
 
-The models learn from a bounded sample: whole labelled texts, drawn by hash, of about
-``SAMPLE_CHARS`` characters over all languages. Each distinct word of a batch is scored once.
+The models learn from a bounded sample of distinct labelled texts: of each language the first ones
+by hash, up to its share of ``SAMPLE_CHARS`` characters, but ``LEAST_TEXTS`` at least, cut to that
+share together. Copies of a text count once. Each distinct word of a batch is scored once.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and rejected; a row
 without language is not learned from but predicted; repeated rows get the same result; without
@@ -26,14 +27,16 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm.batches import free_name, hash_slices, mixed, ragged
+from riskloom.session import fresh_folder
 
 UNKNOWN = "und"
 ORDER = 5
 SAMPLE_CHARS = 8_000_000
 MAX_LANGUAGES = 1000
+LEAST_TEXTS = 5
 GROUP_CHARS = 1 << 20
 KNOWN_WORDS = 1 << 20
 #: Bound on the characters that any language's model keeps some probability for.
@@ -42,6 +45,7 @@ ALPHABET = 1 << 12
 #: one to that of its letters in random order, and beyond so many standard errors for its length.
 REJECT_AT = 0.65
 ERRORS = 4.0
+_BUCKET_BITS = 12
 _BEGIN, _END = 2, 3
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -244,22 +248,62 @@ def _posterior(log_p: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarr
 
 
 def _sample(docs: DataFrame, learn: Column, text: str, lang: str, chars: int) -> list[tuple[str, str, bool]]:
-    """(language, text, for calibration) of a sample of about ``chars`` characters in all."""
+    """(language, text, for calibration) of a sample of at most ``chars`` characters in all."""
     usable = learn & F.col(lang).isNotNull() & (F.length(text) > 0)
-    labelled = docs.where(usable).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sizes = labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    labelled = docs.where(usable).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.length(text).alias("size"), F.xxhash64(text).alias("hash")
+    )
+    # Only lengths are grouped; a bucket of hashes holds about as many distinct texts as the others.
+    distinct = labelled.groupBy("lang", "hash").agg(F.max("size").alias("size"))
+    bucket = F.shiftrightunsigned(F.col("hash"), 64 - _BUCKET_BITS).alias("bucket")
+    path = fresh_folder(docs.sparkSession, "language-hashes")
+    distinct.select("*", bucket).write.parquet(path)
+    distinct = docs.sparkSession.read.parquet(path)
+    sizes = distinct.groupBy("lang", "bucket").agg(F.count("*").alias("texts"), F.sum("size").alias("n"))
+    names = [r["lang"] for r in sizes.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
-    if not sizes:
+    if not names:
         return []
-    share = chars / len(sizes)
-    fraction = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, share / r["n"]))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
+    share = max(LEAST_TEXTS, chars // len(names))
+    before = Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select(
+        "lang", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("texts").over(before), F.lit(0)).alias("texts_before"),
+    )
+    start = start.where((F.col("n_before") < share) | (F.col("texts_before") < LEAST_TEXTS))
+    inside = distinct.join(F.broadcast(start), ["lang", "bucket"])
+    order = Window.partitionBy("lang").orderBy("hash_order")
+    inside = inside.withColumn("hash_order", F.struct("bucket", "hash"))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.withColumn("n_before", F.coalesce(F.sum("size").over(earlier), F.lit(0))).withColumn("k", F.row_number().over(order))
+    chosen = placed.where((F.col("n_before") < share) | (F.col("k") <= LEAST_TEXTS)).select("lang", "hash", "size", "k")
+    picked = {(r["lang"], r["hash"]): r for r in chosen.collect()}
+    room: dict[str, list[tuple[int, int, int]]] = {}
+    for (name, key), r in picked.items():
+        room.setdefault(name, []).append((r["k"], r["size"], key))
+    limits = [(name, key, n) for name, own in room.items() for key, n in _shares(sorted(own), share)]
+    wanted = docs.sparkSession.createDataFrame(limits, "lang string, hash long, take int")
+    found = labelled.join(F.broadcast(wanted), ["lang", "hash"])
     held = F.pmod(F.xxhash64("text", F.lit("calibrate")), F.lit(5)) == 0
-    rows = labelled.where(drawn < fraction[F.col("lang")]).select("lang", "text", held).collect()
+    # Copies are cut alike, so that one of them is kept on each side before the shuffle.
+    cut = found.select("lang", "hash", F.substring("text", F.lit(1), F.col("take")).alias("text"), held.alias("held"))
+    rows = cut.groupBy("lang", "hash").agg(F.min(F.struct("text", "held")).alias("one")).select("lang", "one.*").collect()
     return sorted((r[0], r[1], r[2]) for r in rows)
 
 
+def _shares(own: list[tuple[int, int, int]], share: int) -> list[tuple[int, int]]:
+    """(hash, characters) of a language's texts, given their place, size and hash: whole in their order
+    while the rest of the first ``LEAST_TEXTS`` still have an equal part each."""
+    out, left = [], share
+    for k, size, key in own:
+        take = min(size, left // max(1, min(LEAST_TEXTS, len(own)) - k + 1))
+        if take:
+            out.append((key, take))
+            left -= take
+    return out
+
+
 def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", chars: int = SAMPLE_CHARS) -> Identifier:
     """Models and calibration from labelled documents for which ``learn`` is true."""
     sample = _sample(docs, learn, text, lang, chars)

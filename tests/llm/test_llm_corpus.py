@@ -215,6 +215,20 @@ def test_language_without_labels(spark, no_docs, edge):
     assert language_id.predict(no_docs, language_id.fit(no_docs, F.lit(True))).count() == 0
 
 
+def test_copies_of_a_text_do_not_crowd_out_a_language(spark):
+    en = [("en", brute.prose(k, 60)) for k in range(40)]
+    hot = [("xx", "lorem ipsum " * 400)] * 400 + [("xx", f"żółw {k} gęś jaźń łódź " * 12) for k in range(40)]
+    docs = spark.createDataFrame(en + hot, "lang string, text string").repartition(5)
+    for chars in (6000, 20_000):
+        sample = language_id._sample(docs, F.lit(True), "text", "lang", chars)
+        assert sum(len(t) for _, t, _ in sample) <= chars
+        own = [t for name, t, _ in sample if name == "xx"]
+        assert len(own) == len(set(own)) >= language_id.LEAST_TEXTS and any("gęś" in t for t in own)
+    models = language_id.fit(docs, F.lit(True), chars=6000)
+    asked = spark.createDataFrame([("żółw gęś jaźń łódź",)], "text string")
+    assert language_id.predict(asked, models).head()["language"]["name"] == "xx"
+
+
 # --- suffix arrays ---
 
 
