@@ -253,6 +253,9 @@ class OpenBins:
 
     def put(self, length: int) -> tuple[int, int]:
         """(bin, offset) for a piece of at most the capacity."""
+        if length == self.capacity:  # needs no open bin
+            self.made += 1
+            return self.made - 1, 0
         wide = self.free >> length
         if wide:
             space = length + ((wide & -wide).bit_length() - 1)  # the fullest bin that takes it

@@ -242,6 +242,12 @@ def test_bins_close_the_fullest_first():
     assert packing.cut(2048) == [(0, 1024), (1024, 1024)] and packing.cut(1030) == [(0, 6), (6, 1024)]
 
 
+def test_a_full_piece_closes_no_bin():
+    bins = packing.OpenBins(10, 2)
+    assert [bins.put(n) for n in (6, 7, 10, 10)] == [(0, 0), (1, 0), (2, 0), (3, 0)]
+    assert [bins.put(n) for n in (3, 4)] == [(1, 7), (0, 6)]  # both are still open
+
+
 def test_sequences_hold_the_tokens(spark):
     docs = spark.createDataFrame([(k, brute.prose(k, 300 + k)) for k in range(12)], "doc_id long, text string")
     packed = packing.pack_documents(docs, tokenizer_path())
