@@ -32,11 +32,11 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _MASKS = np.array([0] + [(1 << (8 * n)) - 1 for n in range(1, 9)], dtype=np.uint64)
 
 
-def by_shard(rows: DataFrame, shards: int) -> DataFrame:
-    """Rows dealt by the number in ``shard``, one shard to a partition, and sorted by it; numbers below
-    0 are dealt among the partitions."""
+def by_shard(rows: DataFrame, shards: int, *order: str) -> DataFrame:
+    """Rows dealt by the number in ``shard``, one shard to a partition, and sorted by it, or by the
+    columns given; numbers below 0 are dealt among the partitions."""
     place = F.pmod(F.col("shard"), F.lit(shards)).cast("int")
-    return rows.repartitionById(shards, place).sortWithinPartitions("shard")
+    return rows.repartitionById(shards, place).sortWithinPartitions(*(order or ("shard",)))
 
 
 def free_name(columns: list[str], name: str) -> str:
@@ -92,6 +92,31 @@ def words_of(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tupl
     return rows, starts, ends
 
 
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin: at texts, and at single blanks between characters that are no white
+    space. Next to a character that may be longer white space there is no cut."""
+    size = int(offsets[-1])
+    if not size:
+        return np.zeros(0, np.int64)
+    at = np.flatnonzero(data[:size] == 0x20)
+    at = at[(at > 0) & (at < size - 1)]
+    before, after = data[at - 1], data[at + 1]
+    at = at[(before > 0x20) & (after > 0x20) & (before != 0x7F)]
+    before, after = data[at - 1], data[at + 1]
+    two = data[np.maximum(at - 2, 0)]
+    three = data[np.maximum(at - 3, 0)]
+    next_two = data[at + 2]
+    wide = (before >= 0x80) & (
+        ((two == 0xC2) & ((before == 0x85) | (before == 0xA0))) | ((three >= 0xE1) & (three <= 0xE3))
+    )
+    wide |= (after == 0xC2) & ((next_two == 0x85) | (next_two == 0xA0))
+    wide |= (after >= 0xE1) & (after <= 0xE3)
+    cuts = np.zeros(size, bool)
+    cuts[at[~wide]] = True
+    cuts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(cuts)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit hashes."""
     h = (h ^ (h >> np.uint64(32))) * _K2

@@ -12,7 +12,40 @@ def _words(text: str) -> str:
     return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+#: Rows that take part, with their components as whole numbers.
+_VECTORS = """
+        v AS (SELECT *, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+              FROM embeddings
+              WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+_SCORE = "CAST(list_inner_product(a.parts, c.parts) AS BIGINT)"
+
 ORACLES: dict[str, str] = {
+    "op12_pivot_topk": f"""
+        WITH {_VECTORS},
+        scored AS (
+            SELECT a.vec_id AS query_id, c.vec_id, {_SCORE} AS score
+            FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5""",
+    "op13_hard_negatives": f"""
+        WITH {_VECTORS},
+        l AS (SELECT vec_id, parts, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS class
+              FROM v WHERE label IS NOT NULL),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.class = c.class AS same, {_SCORE} AS score
+            FROM l AS a JOIN l AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        ranked AS (
+            SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE place <= 3""",
     "op3_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents),
         b AS (SELECT item_id, w, least(10, len(w)) AS n

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.batches import HashSlots, hash_slices, ragged, text_groups
+from riskloom.llm.batches import HashSlots, chunk_starts, hash_slices, ragged, text_groups
 from riskloom.session import fresh_folder
 
 CAPACITY = 1024
@@ -101,7 +101,7 @@ class ChunkTokenizer:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(IDs of all texts, number of IDs of each text)."""
         texts = len(offsets) - 1
-        starts = _chunk_starts(data, offsets)
+        starts = chunk_starts(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(texts, np.int64)
         ends = np.concatenate((starts[1:], offsets[-1:]))
@@ -136,31 +136,6 @@ def _distinct_places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return at[np.unique(keys[at], return_index=True)[1]]
 
 
-def _chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where chunks begin: at texts, and at single blanks between characters that are no white
-    space. Next to a character that may be longer white space there is no cut."""
-    size = int(offsets[-1])
-    if not size:
-        return np.zeros(0, np.int64)
-    at = np.flatnonzero(data[:size] == 0x20)
-    at = at[(at > 0) & (at < size - 1)]
-    before, after = data[at - 1], data[at + 1]
-    at = at[(before > 0x20) & (after > 0x20) & (before != 0x7F)]
-    before, after = data[at - 1], data[at + 1]
-    two = data[np.maximum(at - 2, 0)]
-    three = data[np.maximum(at - 3, 0)]
-    next_two = data[at + 2]
-    wide = (before >= 0x80) & (
-        ((two == 0xC2) & ((before == 0x85) | (before == 0xA0))) | ((three >= 0xE1) & (three <= 0xE3))
-    )
-    wide |= (after == 0xC2) & ((next_two == 0x85) | (next_two == 0xA0))
-    wide |= (after >= 0xE1) & (after <= 0xE3)
-    cuts = np.zeros(size, bool)
-    cuts[at[~wide]] = True
-    cuts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    return np.flatnonzero(cuts)
-
-
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document."""
     if length <= capacity:

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import riskloom
 from riskloom.llm import (
     decontaminate,
+    hard_negatives,
     language_id,
     ngram_trie,
     packing,
     pii_crf,
+    pivot_index,
     quality_rules,
     simhash,
     suffix_dedup,
+    token_alignment,
     url_filter,
     warc,
 )
@@ -34,10 +37,10 @@ URL_RULES = [
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -133,6 +136,22 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, labelled.where("blocked is not null"), URL_RULES)
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return token_alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_pivot_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.top_k(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The label of every seventh row is first moved to the next class."""
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label").cast("long") + 1) % 10)
+    label = F.when(F.col("label").isNotNull(), F.coalesce(moved, F.col("label").cast("long")))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_pii_crf": op2_pii_crf,
@@ -144,4 +163,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_pivot_topk": op12_pivot_topk,
+    "op13_hard_negatives": op13_hard_negatives,
 }
