@@ -154,7 +154,7 @@ def _index(rows: DataFrame, pivots: np.ndarray, vec_id: str, vector: str, querie
     made = vectors.blocks(ordered, F.col("v"), F.col("x"), F.col("w"), keys=keys)
     # Blocks carry their partition's number: the shard.
     made.withColumn("shard", F.shiftright("block", 20)).write.parquet(f"{path}/shards")
-    return shards
+    return spark.read.parquet(f"{path}/shards").agg(F.max("shard")).first()[0] + 1
 
 
 def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[vectors.Shard]:
