@@ -83,25 +83,37 @@ def none() -> Tokens:
     return Tokens.of([[]] * 4)
 
 
+def _meeting(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """(number of tokens of B that end before each token of A does, whether one ends with it)."""
+    at = np.searchsorted(t.b_end, t.a_end)
+    ends = np.zeros(len(at), bool)
+    inside = at < len(t.b_end)
+    ends[inside] = t.b_end[at[inside]] == t.a_end[inside]
+    return at, ends
+
+
 class Aligned:
-    """Groups and links of tokens that begin at ``start`` and end with a common end."""
+    """Groups and links of tokens that begin and end with a common end."""
 
-    def __init__(self, tokens: Tokens, start: int) -> None:
+    def __init__(self, tokens: Tokens) -> None:
         t = tokens
         self.tokens = t
-        self.cuts = np.intersect1d(t.a_end, t.b_end)
-        a_start = np.concatenate(([start], t.a_end[:-1])) if len(t.a) else t.a
-        b_start = np.concatenate(([start], t.b_end[:-1])) if len(t.b) else t.b
-        first = np.searchsorted(t.b_end, a_start, "right")
-        counts = np.searchsorted(b_start, t.a_end, "left") - first
-        at_a, at_b = np.repeat(np.arange(len(t.a)), counts), ragged(first, counts)
-        self.pairs = t.a[at_a] << 32 | t.b[at_b]
-        self.pair_end = t.a_end[at_a]
+        # For each token of A: the token of B that holds its last byte, and whether both end there.
+        at, ends = _meeting(t)
+        self.cuts = t.a_end[ends]
+        of_b = np.zeros(len(t.b), bool)
+        of_b[at[ends]] = True
+        self.group = [np.cumsum(x) - x for x in (ends, of_b)]
+        first = np.concatenate(([0], at[:-1] + ends[:-1])) if len(at) else at
+        counts = at + 1 - first
+        of_a = np.repeat(np.arange(len(t.a)), counts)
+        self.pairs = t.a[of_a] << 32 | t.b[ragged(first, counts)]
+        self.pair_end = t.a_end[of_a]
 
     def text(self) -> tuple[str, np.ndarray]:
         """(the groups as text, each closed by ``;``, end of each group in it)."""
         t = self.tokens
-        group = np.concatenate((np.searchsorted(self.cuts, t.a_end), np.searchsorted(self.cuts, t.b_end)))
+        group = np.concatenate(self.group)
         if not len(group):
             return "", np.zeros(0, np.int64)
         of_b = np.repeat([0, 1], [len(t.a), len(t.b)])
@@ -242,20 +254,27 @@ class Batch:
         wrong = self.row[~right[self.chunk]]
         self.right = offsets[:-1] < offsets[1:]
         self.right[wrong] = False
+        self.held = None
 
     def slices(self, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first, count) in a sorted array of ends for each distinct chunk."""
         low = np.searchsorted(ends, self.chunk_start, "right")
         return low, np.searchsorted(ends, self.chunk_start + self.chunk_size, "right") - low
 
+    def _bounds(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        if self.held is None:
+            self.held = [self.slices(e) for e in (self.stream.a_end, self.stream.b_end)]
+        return self.held
+
     def tokens_of(self, row: int) -> Tokens:
         """The tokens of one text, by the bytes of the text."""
-        at = np.flatnonzero(self.row == row)
+        at = np.arange(*np.searchsorted(self.row, [row, row + 1]))
         chunk = self.chunk[at]
         shift = self.starts[at] - self.offsets[row] - self.chunk_start[chunk]
         lists = []
-        for ids, ends in ((self.stream.a, self.stream.a_end), (self.stream.b, self.stream.b_end)):
-            low, count = self.slices(ends)
+        for ids, ends, (low, count) in zip(
+            (self.stream.a, self.stream.b), (self.stream.a_end, self.stream.b_end), self._bounds()
+        ):
             taken = ragged(low[chunk], count[chunk])
             lists += [ids[taken], ends[taken] + np.repeat(shift, count[chunk])]
         return Tokens(*lists)
@@ -272,7 +291,7 @@ BLOCK = (
 def _block(pair: TokenizerPair, number: int, ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
     batch = Batch(pair, data, offsets)
     rows = len(offsets) - 1
-    aligned = Aligned(batch.stream, 0)
+    aligned = Aligned(batch.stream)
     text, text_ends = aligned.text()
     stream = batch.stream
     slices = [batch.slices(e) for e in (stream.a_end, stream.b_end, aligned.cuts, aligned.pair_end)]
@@ -379,7 +398,7 @@ class Fragment:
     @staticmethod
     def cut(tokens: Tokens) -> tuple[Fragment, Tokens, int]:
         """(the fragment of a range, tokens of its closed groups, where those start)."""
-        cuts = np.intersect1d(tokens.a_end, tokens.b_end)
+        cuts = tokens.a_end[_meeting(tokens)[1]]
         if not len(cuts):
             return Fragment(tokens, none(), -1, []), none(), -1
         a0, a1 = np.searchsorted(tokens.a_end, [cuts[0], cuts[-1]], "right").tolist()
@@ -425,7 +444,7 @@ def _open_of(row: dict) -> Fragment:
 
 
 def _closed_values(tokens: Tokens, start: int) -> list:
-    aligned = Aligned(tokens, start)
+    aligned = Aligned(tokens)
     pairs, times = np.unique(aligned.pairs, return_counts=True)
     text, _ = aligned.text()
     return [start, len(tokens.a), len(tokens.b), len(aligned.cuts), len(aligned.pairs), pairs.tolist(), times.tolist(), text]

@@ -143,9 +143,9 @@ def test_fragments_compose_in_any_tree():
         assert not len(whole.suffix.a) and not len(whole.suffix.b)
         pieces = whole.groups() + [(start, closed) for _, closed, start in cut if len(closed.a)]
         pieces.sort(key=lambda p: p[0])
-        text = "".join(ta.Aligned(t, start).text()[0] for start, t in pieces)
-        links = np.sort(np.concatenate([ta.Aligned(t, start).pairs for start, t in pieces]))
-        straight = ta.Aligned(tokens, 0)
+        text = "".join(ta.Aligned(t).text()[0] for _, t in pieces)
+        links = np.sort(np.concatenate([ta.Aligned(t).pairs for _, t in pieces]))
+        straight = ta.Aligned(tokens)
         assert text == straight.text()[0]
         assert (links == np.sort(straight.pairs)).all()
 
