@@ -6,6 +6,8 @@ longer text makes a group of its own.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,13 @@ def by_shard(rows: DataFrame, shards: int, *order: str) -> DataFrame:
     return rows.repartitionById(shards, place).sortWithinPartitions(*(order or ("shard",)))
 
 
+def free_memory() -> None:
+    """Gives what a task has freed back to the system, since Spark keeps its worker for others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not in every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def free_name(columns: list[str], name: str) -> str:
     """The name, with underscores after it until no column has it."""
     taken = {c.lower() for c in columns}

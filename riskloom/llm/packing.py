@@ -19,46 +19,55 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.batches import HashSlots, chunk_starts, hash_slices, ragged, text_groups
+from riskloom.llm.batches import HashSlots, chunk_starts, free_memory, hash_slices, ragged, text_groups
 from riskloom.session import fresh_folder
 
 CAPACITY = 1024
 END_ID = 2
 OPEN_BINS = 512
 PIECES_PER_TASK = 200_000
-KNOWN_CHUNKS = 1 << 21
+#: Distinct chunks that a task keeps the IDs of.
+KNOWN_CHUNKS = 1 << 18
 GROUP_BYTES = 2 << 20
 JOINED = 512
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The tokenizer and the number of bytes of each token, once for each Python process; nothing of the
+    texts stays in it."""
+    # Its own threads would add to those of the executor.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    # A token of the byte-level vocabulary has a character for each byte.
+    special = {k: t.content for k, t in tokenizer.get_added_tokens_decoder().items()}
+    names = tokenizer.get_vocab(with_added_tokens=True)
+    bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+    for name, k in names.items():
+        bytes_of[k] = len(special[k].encode()) if k in special else len(name)
+    return tokenizer, bytes_of
+
+
 class ChunkTokenizer:
     """Token IDs of whole texts, tokenising each distinct chunk once.
 
     A text is cut before every single blank between two characters that are no white space. The
     tokenizer's own splitting starts anew at such a blank, so the IDs of the chunks, one after the
-    other, are those of the text. What was seen is kept up to a fixed number of chunks.
+    other, are those of the text. What was seen is kept up to a fixed number of chunks, for one task.
     """
 
     def __init__(self, path: str) -> None:
-        # Its own threads would add to those of the executor.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        # A token of the byte-level vocabulary has a character for each byte.
-        special = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
-        names = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
-        for name, k in names.items():
-            self.bytes_of[k] = len(special[k].encode()) if k in special else len(name)
+        self.tokenizer, self.bytes_of = _tokenizer(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -124,12 +133,6 @@ class ChunkTokenizer:
         return self.ids[ragged(self.starts[slot], lengths)], np.diff(total[firsts])
 
 
-@cache
-def _tokenizer(path: str) -> ChunkTokenizer:
-    """One for each Python process, so that tasks share what it has seen."""
-    return ChunkTokenizer(path)
-
-
 def _distinct_places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The first place of each distinct key among those wanted."""
     at = np.flatnonzero(wanted)
@@ -152,7 +155,7 @@ def tokenized(
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = _tokenizer(tokenizer)
+        chunks = ChunkTokenizer(tokenizer)
         for batch in batches:
             for first, last, ids, bounds in _documents(chunks, batch.column(1), end_id):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
@@ -188,7 +191,7 @@ def pieces(
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = _tokenizer(tokenizer)
+        chunks = ChunkTokenizer(tokenizer)
         for batch in batches:
             for first, last, ids, bounds in _documents(chunks, batch.column(1), end_id):
                 raw = memoryview(ids.astype("<u4").tobytes())
@@ -212,6 +215,8 @@ def pieces(
                     ],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        del chunks
+        free_memory()
 
     return docs.select(doc_id, text).mapInArrow(run, PIECES.format(id=kind))
 

@@ -32,7 +32,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match can only begin where a run of digits does, and takes runs whole.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -121,7 +122,8 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]  # int() refuses very many digits
+        if all(len(p) < 4 and int(p or 0) <= 255 for p in parts):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

@@ -259,3 +259,36 @@ def test_sequences_hold_the_tokens(spark):
 
 def test_packing_of_an_empty_table(no_docs):
     assert packing.pack_documents(no_docs, tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("digits", [5_000, 300_000])
+def test_addresses_with_very_many_digits(digits):
+    for place in range(4):
+        for long, found in (("0" * digits + "1", True), ("9" * digits, False), ("0" * digits, True)):
+            parts = ["1", "2", "3", "4"]
+            parts[place] = long
+            text = "from " + ".".join(parts) + " on"
+            spans = [s for s in pii_crf.base_spans(text) if s[0] == "ip"]
+            assert spans == ([("ip", 5, len(text) - 3)] if found else [])
+
+
+def test_a_very_long_run_of_digits_in_a_column(spark):
+    texts = ["0" * 5000 + "1.1.1.1", "1." + "7" * 6000 + ".1.1", "write to a@b.cd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_ip"], r["n_email"]) for r in pii_crf.find(df, pii_crf.fitted()).collect()}
+    assert found == {0: (1, 0), 1: (0, 0), 2: (0, 1)}
+
+
+def test_chunks_are_kept_for_one_task(monkeypatch):
+    """Nothing of the texts stays in the process once the task's tokenizer goes."""
+    import gc
+    import weakref
+
+    made = packing.ChunkTokenizer(tokenizer_path())
+    data = np.frombuffer(b"one two three one two" + bytes(8), np.uint8)
+    ids, _ = made.encode(data, np.array([0, 21]))
+    assert ids.tolist() == made.tokenizer.encode("one two three one two", add_special_tokens=False).ids
+    gone = weakref.ref(made.slots)
+    del made
+    gc.collect()
+    assert gone() is None
