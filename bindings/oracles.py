@@ -163,6 +163,10 @@ ORACLES = {
         + _UNIT_COLUMNS,
     ),
     "clean_csv_files": _CLEANED,
+    "csv_inferred": _some(
+        ACCIDENTS,
+        "ID, Severity, Distance_mi, Description, Start_Lat, Precipitation_in, Junction, Start_Time",
+    ),
     "clean_other_columns": _CLEANED,
     "clean_parquet_files": _CLEANED,
     "drop_nulls": _some(

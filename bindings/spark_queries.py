@@ -32,6 +32,8 @@ TUMBLING = EventWindow("1 hour")
 SLIDING = EventWindow("1 hour", "30 minutes")
 UNEVEN = EventWindow("50 minutes", "20 minutes")
 LONG_SLIDING = EventWindow("6 hours", "1 hour")
+#: So that files of the driver's tables have several splits.
+SMALL_SPLIT = "1m"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,12 +273,25 @@ def rename_coerce(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_csv_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw CSV files to cleaned CSV files to the typed table."""
+    """Raw CSV files to cleaned CSV files to the typed table, with line breaks inside quotes. Each file is
+    read by several tasks."""
     raw, cleaned = fresh_folder(spark, "raw"), fresh_folder(spark, "cleaned")
     tables.write_csv(_raw_accidents(spark, folder), raw)
-    read = tables.read_raw_accidents(utc_session(spark), raw)
+    session = utc_session(spark)
+    session.conf.set("spark.sql.files.maxPartitionBytes", SMALL_SPLIT)
+    read = tables.read_raw_accidents(session, raw)
     tables.write_csv(cleaning.clean_accidents(read), cleaned)
-    return _plain_times(tables.read_accidents(utc_session(spark), cleaned))
+    return _plain_times(tables.read_accidents(session, cleaned))
+
+
+def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files under the types that are found in them."""
+    path = fresh_folder(spark, "untyped")
+    accident = accidents(spark, folder).select(
+        "ID", "Severity", "Distance_mi", "Description", "Start_Lat", "Precipitation_in", "Junction", "Start_Time"
+    )
+    tables.write_csv(accident, path)
+    return _plain_times(tables.read_csv_inferred(utc_session(spark), path))
 
 
 def clean_other_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -584,6 +599,7 @@ QUERIES: dict[str, Query] = {
     "blank_messages": blank_messages,
     "rename_coerce": rename_coerce,
     "clean_csv_files": clean_csv_files,
+    "csv_inferred": csv_inferred,
     "clean_other_columns": clean_other_columns,
     "clean_parquet_files": clean_parquet_files,
     "drop_nulls": drop_nulls,

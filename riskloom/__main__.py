@@ -57,7 +57,12 @@ def arguments() -> argparse.ArgumentParser:
         reader.add_argument(
             "--one-line-records",
             action="store_true",
-            help="no record of the CSV has line breaks, so large files may be read in pieces",
+            help="no record of the CSV has line breaks, so lines need not be put together",
+        )
+        reader.add_argument(
+            "--whole-files",
+            action="store_true",
+            help="read each CSV file by one task, as stray quotes in it need",
         )
 
     score = commands.add_parser("score", help="score a message stream per window")
@@ -92,17 +97,17 @@ def arguments() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "clean":
         clean_file(
-            spark, args.source, args.target, args.drop_nulls, not args.one_line_records
+            spark, args.source, args.target, args.drop_nulls, not args.one_line_records, args.whole_files
         )
     elif args.command == "replay":
-        table = read_accidents(spark, args.source, not args.one_line_records)
+        table = read_accidents(spark, args.source, not args.one_line_records, args.whole_files)
         if args.files:
             order = ["Start_Time", "ID"]
             replay_to_files(table, args.files, order, args.slices, rows_per_file=args.rows_per_file)
         else:
             replay_to_topic(table, args.servers, args.topic, **dict(args.option))
     elif args.command == "train":
-        table = read_accidents(spark, args.source, not args.one_line_records)
+        table = read_accidents(spark, args.source, not args.one_line_records, args.whole_files)
         trained = train_severity(table, args.key, predictions_path=args.predictions)
         save_model(trained.model, args.model)
         for row in trained.preview:

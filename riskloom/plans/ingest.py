@@ -16,10 +16,11 @@ def clean_file(
     target: str,
     drop_nulls: bool = False,
     multi_line: bool = True,
+    whole_files: bool = False,
     mode: str = "overwrite",
 ) -> None:
     """Read the raw accident file and write the cleaned table, as CSV or Parquet."""
-    raw = read_raw_accidents(spark, source, multi_line)
+    raw = read_raw_accidents(spark, source, multi_line, whole_files)
     cleaned = clean_accidents(raw, drop_nulls)
     if target.rstrip("/").endswith(".parquet"):
         cleaned = typed(cleaned)

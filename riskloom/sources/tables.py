@@ -6,19 +6,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom import schema
 from riskloom.operators.parsing import QUOTING, TIME_FORMATS, parsed_as
+from riskloom.sources import quoted
 
-
-# Rows in a file of a CSV table. One with line breaks inside texts is read by one task a file.
+# Rows in a file of a CSV table.
 ROWS_PER_FILE = 1_000_000
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
-    """A CSV table with a header, read in one pass under a given schema.
+def read_csv(
+    spark: SparkSession, path: str, ddl: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
+    """A CSV table with a header under a given schema.
 
     The header is held against the schema, since everything after this reads by position.
-    ``multi_line`` allows line breaks inside quoted texts, at the price that one file is read by
-    one task; turn it off for large files known to hold one record per line.
+    ``multi_line`` allows line breaks inside quoted texts, for which the records are put together
+    first; files known to hold one record per line need no such step. ``whole_files`` reads each
+    file by one task instead, which files with stray quotes need.
     """
+    if multi_line and not whole_files:
+        names = spark.createDataFrame([], ddl).columns
+        return quoted.parsed_records(quoted.data_records(spark, path, names), ddl)
     return spark.read.csv(
         path,
         schema=ddl,
@@ -29,25 +35,39 @@ def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True)
     )
 
 
-def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
     """A CSV table with a header and the types Spark infers, which takes a second pass."""
+    if multi_line and not whole_files:
+        names = quoted.header_names(spark, path)
+        records = quoted.data_records(spark, path, names)
+        return quoted.parsed_records(records, quoted.inferred_ddl(records, names))
     return spark.read.csv(path, header=True, inferSchema=True, multiLine=multi_line, **QUOTING)
 
 
-def read_text_fields(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_text_fields(
+    spark: SparkSession, path: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
     """A CSV table with all fields as text under the header's own names.
 
     Without ``multi_line`` a record with another number of fields than the header is an error: it
     is a piece of one with a line break, whose fields would be out of place.
     """
+    if multi_line and not whole_files:
+        names = quoted.header_names(spark, path)
+        ddl = ", ".join(f"`{name}` STRING" for name in names)
+        return quoted.parsed_records(quoted.data_records(spark, path, names), ddl)
     strict = {} if multi_line else {"mode": "FAILFAST", "columnPruning": "false"}
     return spark.read.options(**strict).csv(path, header=True, multiLine=multi_line, **QUOTING)
 
 
-def read_raw_accidents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_raw_accidents(
+    spark: SparkSession, path: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
     """The raw accident fields as text under their unit-suffixed names, found by name; other
     columns, and the order of the columns, do not matter."""
-    raw = read_text_fields(spark, path, multi_line)
+    raw = read_text_fields(spark, path, multi_line, whole_files)
     suffixed = {clean: name for name, clean in schema.UNIT_COLUMNS.items()}
     wanted = {name: [suffixed.get(name, name), name] for name in schema.ACCIDENT_COLUMNS}
     found = {name: next((x for x in names if x in raw.columns), None) for name, names in wanted.items()}
@@ -57,12 +77,14 @@ def read_raw_accidents(spark: SparkSession, path: str, multi_line: bool = True)
     return raw.select(*[F.col(f"`{held}`").alias(wanted[name][0]) for name, held in found.items()])
 
 
-def read_accidents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_accidents(
+    spark: SparkSession, path: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
     """The cleaned accident table, from Parquet if the path says so, else from CSV."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema.ACCIDENT_DDL).parquet(path)
     if multi_line:
-        return read_csv(spark, path, schema.ACCIDENT_DDL)
+        return read_csv(spark, path, schema.ACCIDENT_DDL, whole_files=whole_files)
     # As text first, so that a field that does not parse is told from a field out of place.
     fields = read_text_fields(spark, path, multi_line=False)
     return fields.select(
