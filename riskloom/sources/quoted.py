@@ -5,7 +5,7 @@ split opened. Whether it does is the parity of the quotes before it: doubled quo
 only opening and closing ones matter. Each split counts its own quotes, a running sum over the splits
 of a file tells with what parity each begins, and that settles every line. Lines that are whole records
 go on as they are; the others are joined by the record that they belong to, which may have begun some
-splits before.
+splits before. Files are told apart by a 64-bit hash of their paths.
 
 A quote stands for itself only inside a quoted field, doubled. A file with other stray quotes, or with
 single carriage returns as line ends, has to be read whole.
@@ -23,62 +23,56 @@ RECORD = {**QUOTING, "multiLine": "true"}
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line with its file, its split and its number there, and for each of the two parities that
-    the split may begin with, the last line up to it that would begin a record."""
+    """Every line with its file's hash, its split, a number that rises within the split, and its quotes."""
     scan = spark.read.option("lineSep", "\n").text(path)
     line = F.col("value")
-    lines = scan.select(
-        F.col("_metadata.file_path").alias("file"),
+    return scan.select(
+        # Sorting and joining go by numbers; paths are long and share their beginnings.
+        F.xxhash64(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
         line.alias("line"),
         (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))).alias("quotes"),
     )
-    order = Window.partitionBy("file", "block").orderBy("id")
-    up_to = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = lines.select(
-        "file", "block", "line", "quotes", "id",
-        F.row_number().over(order).alias("n"),
-        (F.sum("quotes").over(up_to) - F.col("quotes")).bitwiseAND(1).alias("odd"),
-    )
-    begins = [F.max(F.when(F.col("odd") == odd, F.col("n"))).over(up_to).alias(f"begun_{odd}") for odd in (0, 1)]
-    return numbered.select("file", "block", "n", "line", "quotes", "odd", *begins)
-
-
-def _splits(lines: DataFrame) -> DataFrame:
-    """With what parity each split begins, and where the record began that is open there."""
-    sums = lines.groupBy("file", "block").agg(
-        F.sum("quotes").bitwiseAND(1).alias("parity"), F.max("begun_0").alias("last_0"), F.max("begun_1").alias("last_1")
-    )
+
+
+def _starts(lines: DataFrame) -> DataFrame:
+    """Whether each split begins inside a quoted field, and the number of its first line."""
+    sums = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), F.min("id").alias("first_id"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("parity").over(before), F.lit(0)).bitwiseAND(1)
-    begun = sums.withColumn("start", start)
-    last = F.when(F.col("start") == 0, F.col("last_0")).otherwise(F.col("last_1"))
-    place = F.when(last.isNotNull(), F.struct(F.col("block").alias("block"), last.alias("n")))
-    return begun.withColumn("place", place).select(
-        "file", "block", "start", F.last("place", ignorenulls=True).over(before).alias("open")
-    )
+    start = F.coalesce(F.sum("quotes").over(before), F.lit(0)).bitwiseAND(1)
+    return sums.select("file", "block", "first_id", start.alias("start"))
 
 
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
-    """file, first (whether it is the file's first record) and record, the text of each record that is
-    not blank, in no order."""
+    """first (whether it is its file's first record) and record, the text of each record that is not
+    blank, in no order."""
     lines = _lines(spark, path)
-    placed = lines.join(_splits(lines), ["file", "block"])
-    own = F.when(F.col("start") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
-    of = F.coalesce(F.when(own.isNotNull(), F.struct(F.col("block").alias("block"), own.alias("n"))), F.col("open"))
-    inside = (F.col("odd") + F.col("start")).bitwiseAND(1)
-    whole = (inside == 0) & (F.col("quotes").bitwiseAND(1) == 0)
-    parts = placed.select("file", "block", "n", "line", of.alias("of"), whole.alias("whole"))
-    single = parts.where("whole").select("file", "of", F.col("line").alias("record"))
-    pieces = F.sort_array(F.collect_list(F.struct("block", "n", "line")))
-    joined = parts.where("NOT whole").groupBy("file", "of").agg(pieces.alias("pieces"))
-    text = F.array_join(F.col("pieces.line"), "\n").alias("record")
-    records = single.unionByName(joined.select("file", "of", text))
-    first = (F.col("of.block") == 0) & (F.col("of.n") == 1)
+    up_to = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = (F.sum("quotes").over(up_to) + F.col("start")).bitwiseAND(1)
+    known = lines.join(_starts(lines), ["file", "block"]).withColumn("after", after)
+    begins = F.when((F.col("after") + F.col("quotes")).bitwiseAND(1) == 0, F.col("id"))
+    # Empty where the record has begun in a split before.
+    parts = known.withColumn("begin", F.max(begins).over(up_to))
+    listed = F.array_sort(F.collect_list(F.struct("id", "line")))
+    pieces = parts.groupBy("file", "block", "begin").agg(
+        listed.alias("listed"), F.max_by("after", "id").alias("after"), F.first("first_id").alias("first_id")
+    )
+    first = (F.col("block") == 0) & F.col("begin").eqNullSafe(F.col("first_id"))
+    text = F.array_join(F.col("listed.line"), "\n")
+    pieces = pieces.select("file", "block", "begin", "after", first.alias("first"), text.alias("record"))
+    closed = F.col("begin").isNotNull() & (F.col("after") == 0)
+    # A piece without a beginning goes on the last record that was open before it.
+    in_order = Window.partitionBy("file").orderBy("block", "begin")
+    chained = pieces.where(~closed).withColumn("chain", F.count("begin").over(in_order))
+    joined = chained.groupBy("file", "chain").agg(
+        F.max("first").alias("first"), F.array_sort(F.collect_list(F.struct("block", "record"))).alias("pieces")
+    )
+    joined = joined.select("first", F.array_join(F.col("pieces.record"), "\n").alias("record"))
+    records = pieces.where(closed).select("first", "record").unionByName(joined)
     record = F.rtrim("record", F.lit("\r"))
-    unmarked = F.when(first, F.ltrim(record, F.lit(BYTE_ORDER_MARK))).otherwise(record)
-    return records.select("file", first.alias("first"), unmarked.alias("record")).where("record <> ''")
+    unmarked = F.when(F.col("first"), F.ltrim(record, F.lit(BYTE_ORDER_MARK))).otherwise(record)
+    return records.select("first", unmarked.alias("record")).where("record <> ''")
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:
@@ -97,7 +91,7 @@ def _is_data(names: list[str]) -> Column:
     same = held[f"_{len(names)}"].isNull()
     for k, name in enumerate(names):
         same = same & F.lower(held[f"_{k}"]).eqNullSafe(name.lower())
-    message = F.concat(F.lit("another header: "), F.col("file"), F.lit(": "), F.col("record"))
+    message = F.concat(F.lit("another header: "), F.col("record"))
     wrong = F.raise_error(message).cast("boolean")
     return F.when(~F.col("first"), True).when(same, False).otherwise(wrong)
 
