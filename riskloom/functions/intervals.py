@@ -22,9 +22,3 @@ def micros(interval: str) -> int | None:
     if not re.fullmatch(rf"(?:{_PART.pattern}\s*)+", text, flags=re.IGNORECASE):
         return None
     return sum(int(count) * _MICROS[unit.lower()] for count, unit in _PART.findall(text))
-
-
-def divides(slide: str, duration: str) -> bool:
-    """Whether the slide goes into the duration; not for a text in another form."""
-    lengths = [micros(slide), micros(duration)]
-    return bool(all(lengths)) and lengths[1] % lengths[0] == 0

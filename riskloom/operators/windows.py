@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import schema
-from riskloom.functions.intervals import divides
+from riskloom.functions.intervals import micros
 
 
 # With this setting false, Spark lets the second of two aggregates take all rows for late.
@@ -41,10 +41,21 @@ class EventWindow:
     def over(self, time: str | Column) -> Column:
         return F.window(time, self.duration, self.slide)
 
-    def pane(self) -> str | None:
-        """Length of the pieces that every window consists of: the slide, where it divides the
-        duration. Shorter pieces may be as many as rows, so other windows have none."""
-        return self.slide if self.slide and divides(self.slide, self.duration) else None
+    def rest(self) -> int | None:
+        """What the slide leaves over of the duration, in microseconds; None for a window that does
+        not slide and for lengths that Spark has to judge."""
+        slide, duration = (micros(x) if x else None for x in (self.slide, self.duration))
+        return duration % slide if slide and duration else None
+
+    def pane(self, slide_start: Column, time: Column) -> Column:
+        """Start of the pane that holds a time of the slide that begins at ``slide_start``.
+
+        Windows begin with slides and end where a slide begins or, if the slide does not divide the
+        duration, the rest of the division later. So each slide is one pane, or two that meet there,
+        and every window is a whole number of panes.
+        """
+        second = slide_start + F.expr(f"INTERVAL {self.rest()} MICROSECONDS")
+        return F.when(time >= second, second).otherwise(slide_start) if self.rest() else slide_start
 
 
 @dataclass(frozen=True)
@@ -89,10 +100,7 @@ def window_features(
         if measures.modes and df.sparkSession.conf.get(CHAINED, "true").lower() == "false":
             raise ValueError(f"categories over a stream need {CHAINED} to be true")
         rows = rows.withWatermark(time, delay or window.duration)
-        pane = None
-    else:
-        pane = window.pane()
-    windows = _aggregate(rows, window, measures, time, pane)
+    windows = _aggregate(rows, window, measures, time)
     return windows.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -102,9 +110,7 @@ def window_features(
     )
 
 
-def _aggregate(
-    rows: DataFrame, window: EventWindow, measures: Measures, time: str, pane: str | None
-) -> DataFrame:
+def _aggregate(rows: DataFrame, window: EventWindow, measures: Measures, time: str) -> DataFrame:
     """Count the values of each category per window, then reduce each window to one row.
 
     Every row is repeated once per category, and its measures count in the first copy only
@@ -113,9 +119,11 @@ def _aggregate(
     over as many groups as it has values, after partial aggregation on the map side. In a stream
     both steps are stateful, and a closed window passes through them in one micro-batch.
 
-    With a ``pane`` the first step is by pane and its results are rolled up to windows.
+    A table's sliding windows overlap. There the first step is by pane, so that a row is aggregated
+    once, and its results are rolled up to windows.
     """
     names = measures.averaged
+    panes = window.rest() is not None and not rows.isStreaming
     keys = []
     if measures.modes:
         slots = [
@@ -126,20 +134,22 @@ def _aggregate(
         keys = ["_slot", "_value"]
 
     first = "FILTER (WHERE _slot = 0)" if keys else ""
-    grouping = F.window(time, pane) if pane else window.over(time)
-    parts = rows.groupBy(grouping.alias("window"), *keys).agg(
+    if panes:
+        rows = rows.withColumn("_slide", F.window(time, window.slide))
+        grouping = window.pane(F.col("_slide.start"), F.col(time)).alias("_pane")
+    else:
+        grouping = window.over(time).alias("window")
+    parts = rows.groupBy(grouping, *keys).agg(
         F.expr("count(*) AS _rows"),
         *[F.expr(f"sum(`{name}`) {first} AS `_sum_{name}`") for name in names],
         *[F.expr(f"count(`{name}`) {first} AS `_count_{name}`") for name in names],
     )
-    if pane:
+    if panes:
         # All boundaries of the windows are pane boundaries, so a pane lies in the windows of its
         # start. Panes are few next to rows: the copies per window are made after the scan.
         totals = ["_rows", *[f"_{part}_{name}" for name in names for part in ("sum", "count")]]
-        parts = (
-            parts.select(F.col("window.start").alias("_pane"), *keys, *totals)
-            .groupBy(window.over("_pane").alias("window"), *keys)
-            .agg(*[F.expr(f"sum(`{name}`) AS `{name}`") for name in totals])
+        parts = parts.groupBy(window.over("_pane").alias("window"), *keys).agg(
+            *[F.expr(f"sum(`{name}`) AS `{name}`") for name in totals]
         )
     if not keys:
         return parts.select(

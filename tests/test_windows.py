@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from riskloom.functions.intervals import divides, micros
+from riskloom.functions.intervals import micros
 from riskloom.operators.windows import (
     EventWindow,
     Measures,
@@ -82,7 +82,7 @@ def test_panes_and_one_step_agree(spark, window):
 
 def test_window_in_a_form_only_spark_reads(spark):
     window = EventWindow("1 hour", "interval '0:30' hour to minute")
-    assert window.pane() is None
+    assert window.rest() is None
     df = random_table(spark, 200)
     assert rows(window_features(df, window, MEASURES, "ts")) == rows(
         window_features(df, EventWindow("1 hour", "30 minutes"), MEASURES, "ts")
@@ -167,11 +167,31 @@ def test_intervals():
     assert micros("1 day 12 hours") == 36 * 3_600_000_000
     assert micros("interval 90 seconds") == 90_000_000
     assert micros("1 month") is None and micros("soon") is None
-    assert divides("15 minutes", "1 hour") and not divides("20 minutes", "50 minutes")
-    assert not divides("1 day", "1 month")
-    assert EventWindow("1 hour", "15 minutes").pane() == "15 minutes"
-    assert EventWindow("1 hour", "59 minutes 59 seconds").pane() is None
-    assert EventWindow("1 hour").pane() is None
+    assert EventWindow("1 hour", "15 minutes").rest() == 0
+    assert EventWindow("1 hour", "59 minutes 59 seconds").rest() == 1_000_000
+    assert EventWindow("1 hour").rest() is None
+    assert EventWindow("1 month", "1 day").rest() is None
+
+
+def test_panes_of_an_uneven_slide(spark):
+    """Two panes a slide, which meet where windows end; times on an edge belong to the later one."""
+    times = ["00:00", "00:09:59.999999", "00:10", "00:19:59", "00:20", "00:30", "23:59:59"]
+    df = spark.createDataFrame([(at(f"1969-12-31 {t}"),) for t in times], "t TIMESTAMP_NTZ")
+    window = EventWindow("50 minutes", "20 minutes")
+    starts = df.select("t", F.window("t", window.slide).alias("s")).select(
+        "t", window.pane(F.col("s.start"), F.col("t")).alias("p")
+    )
+    found = [(str(r.t.time()), str(r.p.time())) for r in starts.collect()]
+    assert [p for _, p in found] == ["00:00:00", "00:00:00", "00:10:00", "00:10:00", "00:20:00", "00:30:00", "23:50:00"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_uneven_window(spark, seed):
+    rng = random.Random(seed)
+    slide = rng.randint(60, 4000)
+    window = EventWindow(f"{slide * rng.randint(1, 5) + rng.randint(1, slide - 1)} seconds", f"{slide} seconds")
+    df = random_table(spark, 300)
+    assert rows(window_features(df, window, MEASURES, "ts")) == rows(directly(df, window))
 
 
 def test_incomplete_windows(spark):
@@ -197,11 +217,12 @@ def test_closed_windows(spark):
     assert sorted(row.window_end.hour for row in closed.collect()) == [1, 2]
 
 
-def test_plan_is_one_scan_without_python_or_cross_join(spark, tables):
+@pytest.mark.parametrize("window", [EventWindow("6 hours", "1 hour"), EventWindow("50 minutes", "20 minutes")], ids=str)
+def test_plan_is_one_scan_without_python_or_cross_join(spark, tables, window):
     from bindings.spark_queries import accidents
 
     df = accidents(spark, tables)
-    plan = final_plan(window_features(df, EventWindow("6 hours", "1 hour")))
+    plan = final_plan(window_features(df, window))
     assert plan.count("FileScan") == 1
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     # Rows are multiplied into windows only above the first, partial and final, aggregate.
