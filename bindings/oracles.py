@@ -141,7 +141,20 @@ ORACLES = {
     "stream_tumbling": _event_windows(60, 60, delay=60),
     "stream_sliding": _event_windows(60, 30, delay=60),
     "stream_restart": _event_windows(60, 60, delay=60),
+    "stream_open_windows": f"""
+        SELECT window_start, window_end, n, cents, paid_cents, is_error FROM ({_event_windows(60, 60)})
+        WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY FROM events)""",
     "late_rows": _event_windows(60, 60, _IN_TIME, delay=13 * 24 * 60),
+    "late_row_counts": f"""
+        SELECT * EXCLUDE (in_time), CAST(in_time - emitted_rows AS BIGINT) AS open_rows, read_rows - in_time AS late_rows
+        FROM (SELECT (SELECT count(*) FROM events) AS read_rows, (SELECT count(*) FROM ({_IN_TIME})) AS in_time,
+                     (SELECT CAST(coalesce(sum(n), 0) AS BIGINT)
+                      FROM ({_event_windows(60, 60, _IN_TIME, delay=13 * 24 * 60)})) AS emitted_rows)""",
+    "unscored_windows": f"""
+        SELECT (SELECT count(*) FROM events) AS rows, CAST(0 AS BIGINT) AS timeless_rows, count(*) AS windows,
+               count(*) FILTER (WHERE {
+            " OR ".join(f"{c} IS NULL" for c in schema.MEAN_COLUMNS + schema.RATE_COLUMNS)
+        }) AS unscored_windows FROM ({_accident_windows(10, 10, delay=10)})""",
     "message_windows": _accident_windows(360, 60, delay=60),
     "csv_parse": "SELECT * FROM events",
     "csv_shapes": """
@@ -153,6 +166,7 @@ ORACLES = {
         FROM events""",
     "accident_messages": _ACCIDENT_TEXT,
     "replay_roundtrip": "SELECT * FROM events",
+    "replay_in_order": _event_windows(60, 60, delay=1),
     "blank_messages": """
         SELECT event_type || ' ' AS first, concat('  ', event_id, ' ') AS middle,
                ' ' || event_type AS last, way

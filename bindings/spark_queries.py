@@ -17,9 +17,11 @@ from riskloom.plans import training
 from riskloom.plans.ingest import typed
 from riskloom.session import fresh_folder, stream_session, utc_session
 from riskloom.sources import messages, models, predictions as stored, tables
+from riskloom.streaming.counts import StreamCounts, counting_rows
 from riskloom.streaming.replay import replay_to_files
 from riskloom.streaming.scoring import message_features, score_messages
 from riskloom.streaming.sinks import append_files
+from riskloom.streaming.state import open_windows
 
 EVENTS_DDL = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
@@ -155,23 +157,37 @@ def message_windows(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(utc_session(spark).read.schema(schema.WINDOW_FEATURES_DDL).json(path))
 
 
-def _stream_in_parts(spark: SparkSession, parts: list[DataFrame], delay: str) -> DataFrame:
-    """Send one part of the events after the other; every part is a run of its own, begun anew
-    from the checkpoint of the last."""
-    source, target = fresh_folder(spark, "parts"), fresh_folder(spark, "part-windows")
-    checkpoint = fresh_folder(spark, "part-checkpoint")
-    for part in parts:
-        replay_to_files(part, source, ["ts", "event_id"], mode="append")
-        lines = messages.file_messages(stream_session(spark), source)
-        ddl = EVENTS_DDL.replace("TIMESTAMP_NTZ", "TIMESTAMP")
-        rows = parsing.parse_csv(parsing.message_text(lines), ddl).selectExpr(
-            *stand_ins.expressions(stand_ins.MEASURED_EVENTS)
-        )
-        features = windows.window_features(rows, TUMBLING, EVENT_MEASURES, "ts", delay)
-        append_files(
-            _plain_times(features), target, checkpoint, "parquet", available_now=True
-        ).awaitTermination()
-    return spark.read.parquet(target)
+def _event_messages(lines: DataFrame) -> DataFrame:
+    """The measured events in messages."""
+    ddl = EVENTS_DDL.replace("TIMESTAMP_NTZ", "TIMESTAMP")
+    rows = parsing.parse_csv(parsing.message_text(lines), ddl)
+    return rows.selectExpr(*stand_ins.expressions(stand_ins.MEASURED_EVENTS))
+
+
+class _Parts:
+    """Events sent one part after the other; every part is a run of its own, begun anew from the
+    checkpoint of the last."""
+
+    def __init__(self, spark: SparkSession, parts: list[DataFrame], delay: str) -> None:
+        self.spark, self.counts = spark, StreamCounts()
+        source, self.target = fresh_folder(spark, "parts"), fresh_folder(spark, "part-windows")
+        self.checkpoint = fresh_folder(spark, "part-checkpoint")
+        for part in parts:
+            replay_to_files(part, source, ["ts", "event_id"], mode="append")
+            lines = messages.file_messages(stream_session(spark), source)
+            rows = counting_rows(_event_messages(lines), TUMBLING, "ts")
+            features = windows.window_features(rows, TUMBLING, EVENT_MEASURES, "ts", delay)
+            query = append_files(
+                _plain_times(features), self.target, self.checkpoint, "parquet", available_now=True
+            )
+            query.awaitTermination()
+            self.counts.take(query)
+
+    def emitted(self) -> DataFrame:
+        return self.spark.read.parquet(self.target)
+
+    def open(self) -> DataFrame:
+        return _plain_times(open_windows(self.spark, self.checkpoint, EVENT_MEASURES))
 
 
 def _thirds(events: DataFrame) -> list[DataFrame]:
@@ -189,13 +205,51 @@ def _thirds(events: DataFrame) -> list[DataFrame]:
 
 def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     """Three runs in the order of time: nothing is lost or repeated at a restart."""
-    return _stream_in_parts(spark, _thirds(_table(spark, folder, "events")), "1 hour")
+    return _Parts(spark, _thirds(_table(spark, folder, "events")), "1 hour").emitted()
+
+
+def stream_open_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the checkpoint of three runs holds: the windows that have not come out."""
+    return _Parts(spark, _thirds(_table(spark, folder, "events")), "2 days").open()
+
+
+def _out_of_order(spark: SparkSession, folder: str) -> _Parts:
+    early, middle, last = _thirds(_table(spark, folder, "events"))
+    return _Parts(spark, [middle, early, last], "13 days")
 
 
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The second third comes first; of the first third only what the delay still allows counts."""
-    early, middle, last = _thirds(_table(spark, folder, "events"))
-    return _stream_in_parts(spark, [middle, early, last], "13 days")
+    return _out_of_order(spark, folder).emitted()
+
+
+def late_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows such a stream has read, put out, holds still and dropped as late."""
+    sent = _out_of_order(spark, folder)
+    emitted, held = (df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for df in (sent.emitted(), sent.open()))
+    late = sent.counts.late_rows(emitted, held)
+    fields = "read_rows BIGINT, emitted_rows BIGINT, open_rows BIGINT, late_rows BIGINT"
+    return spark.createDataFrame([(sent.counts.rows, emitted, held, late)], fields)
+
+
+def unscored_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """How many windows a stream puts out and how many of them no model scores. What a model does is no
+    matter here, so it only gathers its inputs."""
+    source = _accident_messages(spark, folder)
+    inputs = schema.MEAN_COLUMNS + schema.RATE_COLUMNS
+    model = PipelineModel([training.feature_assembler(inputs)])
+    query = score_messages(
+        messages.file_messages(stream_session(spark), source),
+        model,
+        EventWindow("10 minutes"),
+        fresh_folder(spark, "predictions"),
+        fresh_folder(spark, "checkpoint"),
+        available_now=True,
+    )
+    query.awaitTermination()
+    counts = StreamCounts().take(query)
+    row = (counts.rows, counts.timeless_rows, counts.windows, counts.unscored_windows)
+    return spark.createDataFrame([row], "rows BIGINT, timeless_rows BIGINT, windows BIGINT, unscored_windows BIGINT")
 
 
 # --- Parsing, cleaning, replay --------------------------------------------------------------
@@ -231,12 +285,21 @@ def replay_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Message files read as a stream of several micro-batches."""
     source = fresh_folder(spark, "replay")
     events = _table(spark, folder, "events")
-    replay_to_files(events, source, ["ts", "event_id"], rows_per_file=1000)
+    replay_to_files(events, source, ["ts", "event_id"], files=8)
     lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=3)
     rows = parsing.parse_csv(parsing.message_text(lines), EVENTS_DDL)
     return spark.read.parquet(_run_to_files(spark, rows, "replayed", "parquet"))
 
 
+def replay_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Message files streamed one by one with a delay far shorter than a file: no row is late."""
+    source = fresh_folder(spark, "replay")
+    replay_to_files(_table(spark, folder, "events"), source, ["ts", "event_id"], files=6)
+    lines = messages.file_messages(stream_session(spark), source, max_files_per_trigger=1)
+    features = windows.window_features(_event_messages(lines), TUMBLING, EVENT_MEASURES, "ts", "1 minute")
+    return spark.read.parquet(_run_to_files(spark, _plain_times(features), "in-order", "parquet"))
+
+
 def blank_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Texts that begin and end with blanks: white space inside a message stays, that around it
     goes, whether it is sent to files or to a topic."""
@@ -590,12 +653,16 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling": _stream_windows(TUMBLING),
     "stream_sliding": _stream_windows(SLIDING),
     "stream_restart": stream_restart,
+    "stream_open_windows": stream_open_windows,
     "late_rows": late_rows,
+    "late_row_counts": late_row_counts,
+    "unscored_windows": unscored_windows,
     "message_windows": message_windows,
     "csv_parse": csv_parse,
     "csv_shapes": csv_shapes,
     "accident_messages": accident_messages,
     "replay_roundtrip": replay_roundtrip,
+    "replay_in_order": replay_in_order,
     "blank_messages": blank_messages,
     "rename_coerce": rename_coerce,
     "clean_csv_files": clean_csv_files,

@@ -14,6 +14,7 @@ from riskloom.session import get_spark, stream_session
 from riskloom.sources.messages import file_messages, kafka_messages
 from riskloom.sources.models import load_model, save_model
 from riskloom.sources.tables import read_accidents
+from riskloom.streaming.counts import StreamCounts
 from riskloom.streaming.replay import ROWS_PER_FILE, replay_to_files, replay_to_topic
 from riskloom.streaming.scoring import score_messages
 
@@ -44,6 +45,7 @@ def arguments() -> argparse.ArgumentParser:
     replay.add_argument("--files", help="write text files to this folder instead of a topic")
     replay.add_argument("--slices", type=int, help="number of stretches of time")
     replay.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
+    replay.add_argument("--run", help="name under which a replay cut short can be repeated")
 
     train = commands.add_parser("train", help="train the severity classifier")
     train.add_argument("--source", default=CLEANED_FILE)
@@ -103,7 +105,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         table = read_accidents(spark, args.source, not args.one_line_records, args.whole_files)
         if args.files:
             order = ["Start_Time", "ID"]
-            replay_to_files(table, args.files, order, args.slices, rows_per_file=args.rows_per_file)
+            replay_to_files(
+                table, args.files, order, args.slices, rows_per_file=args.rows_per_file, run=args.run
+            )
         else:
             replay_to_topic(table, args.servers, args.topic, **dict(args.option))
     elif args.command == "train":
@@ -123,7 +127,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             if args.max_per_trigger:
                 options["maxOffsetsPerTrigger"] = str(args.max_per_trigger)
             messages = kafka_messages(session, args.servers, args.topic, **options)
-        score_messages(
+        query = score_messages(
             messages,
             load_model(args.model),
             window,
@@ -132,7 +136,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.delay,
             available_now=args.available_now,
             processing_time=args.trigger,
-        ).awaitTermination()
+        )
+        counts = StreamCounts()
+        while not query.awaitTermination(60):
+            counts.take(query)
+        counts.take(query)
+        print(f"{counts.rows} rows read, {counts.timeless_rows} without a time")
+        print(f"{counts.windows} windows, {counts.unscored_windows} unscored")
     elif args.command == "report":
         write_reports(spark, args.source, args.target)
 

@@ -58,6 +58,15 @@ class EventWindow:
         return F.when(time >= second, second).otherwise(slide_start) if self.rest() else slide_start
 
 
+    def windows_of(self, time: Column) -> Column:
+        """In how many windows a time is."""
+        duration, slide = micros(self.duration), micros(self.slide or self.duration)
+        if not duration or not slide:
+            raise ValueError(f"lengths of {self} are not known in microseconds")
+        within = F.pmod(F.unix_micros(time), F.lit(slide)) < duration % slide
+        return F.lit(duration // slide) + F.when(within, 1).otherwise(0)
+
+
 @dataclass(frozen=True)
 class Measures:
     """What to compute per window; names are input columns and output columns alike."""
@@ -187,11 +196,16 @@ def closed_windows(windows: DataFrame, rows: DataFrame, time: str, delay: str) -
     return windows.where(F.col("window_end") <= bound)
 
 
-def incomplete_windows(windows: DataFrame, inputs: Sequence[str]) -> DataFrame:
-    """How many windows a model skips because a measure is missing, next to all windows."""
+def missing_input(inputs: Sequence[str]) -> Column:
+    """Whether a row lacks an input of a model."""
     missing = F.lit(False)
     for name in inputs:
         missing = missing | F.col(name).isNull() | F.isnan(name)
+    return missing
+
+
+def incomplete_windows(windows: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    """How many windows a model skips because a measure is missing, next to all windows."""
     return windows.agg(
-        F.count("*").alias("windows"), F.count_if(missing).alias("skipped_windows")
+        F.count("*").alias("windows"), F.count_if(missing_input(inputs)).alias("skipped_windows")
     )

@@ -14,6 +14,7 @@ from riskloom.operators.windows import (
     Measures,
     window_features,
 )
+from riskloom.streaming.counts import counting_rows, counting_windows
 from riskloom.streaming.sinks import append_files
 
 
@@ -27,6 +28,8 @@ def message_features(
 ) -> DataFrame:
     """Window features of CSV messages, from a stream or from a table of messages."""
     rows = parse_csv(message_text(messages), ddl)
+    if messages.isStreaming:
+        rows = counting_rows(rows, window, time)
     return window_features(rows, window, measures, time, delay)
 
 
@@ -39,6 +42,10 @@ def score_messages(
     delay: str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Start the scoring stream: parse, window, apply the model, append JSON lines."""
-    features = message_features(messages, window, delay=delay)
+    """Start the scoring stream: parse, window, apply the model, append JSON lines.
+
+    ``StreamCounts`` takes from the query what it has read and left unscored.
+    """
+    inputs = ACCIDENT_MEASURES.averaged
+    features = counting_windows(message_features(messages, window, delay=delay), inputs)
     return append_files(model.transform(features), path, checkpoint, **trigger)
