@@ -219,6 +219,14 @@ ORACLES = {
         i AS (SELECT part, row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS place
               FROM a GROUP BY part)
         SELECT a.*, CAST(place AS DOUBLE) AS partIndexed FROM a JOIN i USING (part)""",
+    "category_index_hot": """
+        WITH a AS (SELECT l_orderkey, l_linenumber,
+                          CASE WHEN l_orderkey % 3 = 0 THEN 'hot' WHEN l_orderkey % 10 = 1 THEN NULL
+                               ELSE CAST(l_partkey AS VARCHAR) END AS part FROM lineitem),
+        i AS (SELECT part, row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS place
+              FROM a WHERE part IS NOT NULL GROUP BY part)
+        SELECT a.*, CAST(coalesce(place, (SELECT count(*) FROM i)) AS DOUBLE) AS partIndexed
+        FROM a LEFT JOIN i USING (part)""",
     "gbt_score": f"""
         SELECT ID, {_LABEL} AS label, true AS prediction_is_likelier
         FROM ({ACCIDENTS}) WHERE {_COMPLETE}""",
@@ -260,6 +268,12 @@ ORACLES = {
         "date_trunc('millisecond', window_start) AS window_start, accident_count, "
         "Weather_Condition, prediction, high_severity_prob",
     ),
+    "predictions_of_days": _some(
+        SCORED,
+        "date_trunc('millisecond', window_start) AS window_start, accident_count, "
+        "Weather_Condition, prediction, high_severity_prob",
+        "window_start >= '2024-01-10' AND window_start < '2024-01-13'",
+    ),
     "prediction_preview": f"""
         SELECT CAST(prediction AS INT) AS label, prediction, high_severity_prob AS probability
         FROM ({SCORED}) ORDER BY event_id LIMIT 5""",

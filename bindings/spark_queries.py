@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -14,7 +15,7 @@ from riskloom.functions import columns as fn
 from riskloom.operators import cleaning, parsing, reports, sampling, windows
 from riskloom.operators.windows import EventWindow, Measures
 from riskloom.plans import training
-from riskloom.plans.ingest import typed
+from riskloom.plans.ingest import CLUSTER_COLUMNS, typed
 from riskloom.session import fresh_folder, stream_session, utc_session
 from riskloom.sources import messages, models, predictions as stored, tables
 from riskloom.streaming.counts import StreamCounts, counting_rows
@@ -373,7 +374,7 @@ def clean_parquet_files(spark: SparkSession, folder: str) -> DataFrame:
     raw, cleaned = fresh_folder(spark, "raw"), f"{fresh_folder(spark, 'cleaned')}.parquet"
     tables.write_csv(_raw_accidents(spark, folder), raw)
     read = tables.read_raw_accidents(utc_session(spark), raw)
-    tables.write_table(typed(cleaning.clean_accidents(read)), cleaned)
+    tables.write_table(typed(cleaning.clean_accidents(read)), cleaned, cluster_by=CLUSTER_COLUMNS)
     return _plain_times(tables.read_accidents(utc_session(spark), cleaned))
 
 
@@ -472,6 +473,17 @@ def category_index_wide(spark: SparkSession, folder: str) -> DataFrame:
     return training.with_category_index(rows, ["part"])
 
 
+def category_index_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Very many values, of which one has a third of the rows, and a tenth without a value."""
+    lines = _table(spark, folder, "lineitem")
+    part = (
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot"))
+        .when(F.col("l_orderkey") % 10 == 1, F.lit(None))
+        .otherwise(F.col("l_partkey").cast("string"))
+    )
+    return training.with_category_index(lines.select("l_orderkey", "l_linenumber", part.alias("part")), ["part"])
+
+
 def assembled_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows with a missing measure have no feature vector."""
     inputs = ["Wind_Chill_F", "Precipitation_in", "Junction", "Distance_mi"]
@@ -602,6 +614,25 @@ def prediction_readback(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def predictions_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of scored windows that keeps a folder for each day, and three days of it."""
+    rows = messages.table_stream(stream_session(spark), f"{folder.rstrip('/')}/events.parquet*", EVENTS_DDL)
+    second = F.col("high_severity_prob")
+    windows_scored = rows.selectExpr(*stand_ins.expressions(stand_ins.PREDICTION_FIELDS)).withColumn(
+        "probability", array_to_vector(F.array(1 - second, second))
+    )
+    path, checkpoint = fresh_folder(spark, "by-day"), fresh_folder(spark, "by-day-checkpoint")
+    append_files(
+        stored.with_day(windows_scored.drop("high_severity_prob")), path, checkpoint,
+        available_now=True, partition_by=[schema.DAY_COLUMN],
+    ).awaitTermination()
+    ddl = schema.PREDICTION_DDL.replace("window_start TIMESTAMP", "window_start TIMESTAMP_NTZ")
+    days = {"first_day": dt.date(2024, 1, 10), "last_day": dt.date(2024, 1, 12)}
+    return stored.read_predictions(spark, path, ddl, by_day=True, **days).select(
+        "window_start", "accident_count", "Weather_Condition", "prediction", "high_severity_prob"
+    )
+
+
 def prediction_preview(spark: SparkSession, folder: str) -> DataFrame:
     rows = scored(spark, folder).select(
         "event_id",
@@ -677,6 +708,7 @@ QUERIES: dict[str, Query] = {
     "random_split": random_split,
     "category_index": category_index,
     "category_index_wide": category_index_wide,
+    "category_index_hot": category_index_hot,
     "assembled_rows": assembled_rows,
     "gbt_score": gbt_score,
     "gbt_score_rows": gbt_score_rows,
@@ -685,6 +717,7 @@ QUERIES: dict[str, Query] = {
     "scored_windows": scored_windows,
     "auc": auc,
     "prediction_readback": prediction_readback,
+    "predictions_of_days": predictions_of_days,
     "prediction_preview": prediction_preview,
     "category_report": category_report,
     "category_risk_top": category_risk_top,

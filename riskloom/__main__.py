@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +94,10 @@ def arguments() -> argparse.ArgumentParser:
     report = commands.add_parser("report", help="write the report tables")
     report.add_argument("--source", default=PREDICTIONS)
     report.add_argument("--target", default=REPORTS)
+    report.add_argument("--first-day", type=dt.date.fromisoformat, help="day of the first windows reported")
+    report.add_argument("--last-day", type=dt.date.fromisoformat)
+    for days in (score, report):
+        days.add_argument("--by-day", action="store_true", help="predictions lie in a folder for each day")
     return parser
 
 
@@ -134,6 +139,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.target,
             args.checkpoint,
             args.delay,
+            args.by_day,
             available_now=args.available_now,
             processing_time=args.trigger,
         )
@@ -144,7 +150,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{counts.rows} rows read, {counts.timeless_rows} without a time")
         print(f"{counts.windows} windows, {counts.unscored_windows} unscored")
     elif args.command == "report":
-        write_reports(spark, args.source, args.target)
+        write_reports(
+            spark, args.source, args.target,
+            by_day=args.by_day, first_day=args.first_day, last_day=args.last_day,
+        )
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -9,6 +9,9 @@ from riskloom.operators.cleaning import clean_accidents
 from riskloom.operators.parsing import parsed_as
 from riskloom.sources.tables import read_raw_accidents, write_table
 
+#: Windows and replays over a stretch of time read the part of the cleaned table that holds it.
+CLUSTER_COLUMNS = [schema.EVENT_TIME, "ID"]
+
 
 def clean_file(
     spark: SparkSession,
@@ -23,8 +26,9 @@ def clean_file(
     raw = read_raw_accidents(spark, source, multi_line, whole_files)
     cleaned = clean_accidents(raw, drop_nulls)
     if target.rstrip("/").endswith(".parquet"):
-        cleaned = typed(cleaned)
-    write_table(cleaned, target, mode)
+        write_table(typed(cleaned), target, mode, cluster_by=CLUSTER_COLUMNS)
+    else:
+        write_table(cleaned, target, mode)
 
 
 def typed(cleaned: DataFrame) -> DataFrame:

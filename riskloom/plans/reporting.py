@@ -29,10 +29,11 @@ def report_tables(predictions: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_reports(spark: SparkSession, source: str, target: str) -> None:
-    """Read the predictions of a folder and write each report beside the others."""
+def write_reports(spark: SparkSession, source: str, target: str, **days) -> None:
+    """Read the predictions of a folder and write each report beside the others. ``days`` are those of
+    ``read_predictions``."""
     # The reports read five of the columns four times; the JSON text is parsed once.
-    predictions = read_predictions(spark, source).select(*REPORT_COLUMNS).persist()
+    predictions = read_predictions(spark, source, **days).select(*REPORT_COLUMNS).persist()
     try:
         for name, table in report_tables(predictions).items():
             # A report has as many rows as it has bins, places or hours.

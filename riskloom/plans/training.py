@@ -23,6 +23,10 @@ DEPTH = 5
 BINS = 150
 MODEL_SEED = 36
 
+#: A category is heavy with one row in this many, so there are at most as many of them.
+HEAVY = 1000
+HEAVY_BYTES = 1024
+
 
 @dataclass(frozen=True)
 class Trained:
@@ -84,47 +88,90 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return values.groupBy("slot", "value").agg(F.count("*").alias("rows"))
 
 
-def category_index(
-    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS
-) -> tuple[DataFrame, list[int]]:
-    """(slot, value and place of every category, number of categories of each column).
+@dataclass
+class _Column:
+    """What is known of a column's categories: how many, the rows that hold one, the longest in bytes."""
+
+    values: int = 0
+    rows: int = 0
+    longest: int = 0
+
+    @property
+    def few(self) -> bool:
+        return self.values <= HEAVY and self.longest <= HEAVY_BYTES
+
+
+def _placed_categories(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[_Column]]:
+    """slot, value, rows and place of every category.
 
     Places go by falling frequency and then by name, for any number of values: the counts are sorted
     by range and written, and a row's place is its place in its partition after the rows of the
-    partitions before. Only the rows of each partition, one number for each column, come together.
+    partitions before. Only the rows of each partition, a few numbers for each column, come together.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, "categories")
     order = [F.col("slot"), F.col("rows").desc(), F.col("value")]
     placed = category_counts(df, columns).repartitionByRange(*order).sortWithinPartitions(*order)
-    placed.select("slot", "value", F.monotonically_increasing_id().alias("id")).write.parquet(path)
+    placed.select("slot", "value", "rows", F.monotonically_increasing_id().alias("id")).write.parquet(path)
     placed = spark.read.parquet(path)
     part = F.shiftright("id", 33)
-    sizes = placed.groupBy(part.alias("part"), "slot").agg(F.count("*").alias("n"), F.min("id").alias("low"))
-    totals, starts = [0] * len(columns), {}
+    sizes = placed.groupBy(part.alias("part"), "slot").agg(
+        F.count("*").alias("n"),
+        F.min("id").alias("low"),
+        F.sum("rows").alias("rows"),
+        F.max(F.octet_length("value")).alias("longest"),
+    )
+    known, starts = [_Column() for _ in columns], {}
     for row in sorted(sizes.collect()):
-        starts[row["part"], row["slot"]] = totals[row["slot"]] - row["low"]
-        totals[row["slot"]] += row["n"]
+        of = known[row["slot"]]
+        starts[row["part"], row["slot"]] = of.values - row["low"]
+        of.values += row["n"]
+        of.rows += row["rows"]
+        of.longest = max(of.longest, row["longest"])
     shifts = spark.createDataFrame(
         [(part, slot, shift) for (part, slot), shift in starts.items()], "part BIGINT, slot INT, shift BIGINT"
     )
     found = placed.withColumn("part", part).join(shifts, ["part", "slot"])
-    return found.select("slot", "value", (F.col("id") + F.col("shift")).alias("place")), totals
+    return found.select("slot", "value", "rows", (F.col("id") + F.col("shift")).alias("place")), known
+
+
+def category_index(
+    df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS
+) -> tuple[DataFrame, list[int]]:
+    """(slot, value and place of every category, number of categories of each column)."""
+    placed, known = _placed_categories(df, columns)
+    return placed.select("slot", "value", "place"), [of.values for of in known]
 
 
 def with_category_index(
     df: DataFrame, columns: Sequence[str] = schema.CATEGORY_COLUMNS
 ) -> DataFrame:
-    """Each column with its index beside it; missing values share one place after the last."""
-    index, totals = category_index(df, columns)
-    for slot, name in enumerate(columns):
-        own = index.where(F.col("slot") == slot).select(
-            F.col("value").alias("_value"), F.col("place").cast("double").alias(f"{name}Indexed")
-        )
-        joined = df.join(own, F.col(name).cast("string") == F.col("_value"), "left").drop("_value")
-        df = joined.withColumn(
-            f"{name}Indexed", F.coalesce(f"{name}Indexed", F.lit(float(totals[slot])))
-        )
+    """Each column with its index beside it; missing values share one place after the last.
+
+    Values that hold a thousandth of the rows or more are at most a thousand, and those of them up to
+    a kilobyte long are sent to all tasks: the rows that hold one never meet in one task. Where there
+    are others, their rows are joined by value; heavy and missing values are spread over the tasks of
+    that join by a number that says nothing.
+    """
+    placed, known = _placed_categories(df, columns)
+    for slot, (name, of) in enumerate(zip(columns, known)):
+        value = F.col(name).cast("string")
+        own = placed.where(F.col("slot") == slot).withColumn("place", F.col("place").cast("double"))
+        heavy = F.col("rows") * HEAVY >= of.rows
+        sent = own if of.few else own.where(heavy & (F.octet_length("value") <= HEAVY_BYTES))
+        sent = sent.select(F.col("value").alias("_heavy"), F.col("place").alias("_heavy_place"))
+        df = df.join(F.broadcast(sent), value == F.col("_heavy"), "left").drop("_heavy")
+        place = F.col("_heavy_place")
+        if not of.few:
+            # A letter before the key tells values from numbers that only spread rows.
+            light = F.col("_heavy_place").isNull() & value.isNotNull()
+            alone = F.concat(F.lit("n"), F.monotonically_increasing_id().cast("string"))
+            df = df.withColumn("_key", F.when(light, F.concat(F.lit("v"), value)).otherwise(alone))
+            rest = own.select(F.concat(F.lit("v"), F.col("value")).alias("_value"), F.col("place").alias("_place"))
+            df = df.join(rest, F.col("_key") == F.col("_value"), "left").drop("_key", "_value")
+            place = F.coalesce(place, F.col("_place"))
+        indexed = F.coalesce(place, F.lit(float(of.values)))
+        df = df.withColumn(f"{name}Indexed", indexed).drop("_heavy_place", "_place")
     return df
 
 

@@ -40,6 +40,7 @@ MEAN_COLUMNS = [
 RATE_COLUMNS = ["Junction", "Traffic_Signal", "Crossing"]
 CATEGORY_COLUMNS = ["Weather_Condition", "Wind_Direction", "Sunrise_Sunset"]
 COUNT_COLUMN = "accident_count"
+DAY_COLUMN = "window_day"
 
 # --- Fixed values: texts a pandas CSV reader takes as missing by default. ---
 MISSING_TEXTS = [

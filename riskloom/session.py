@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,13 +37,27 @@ def utc_session(spark: SparkSession) -> SparkSession:
     """A session with the caller's settings in UTC: windows align to the epoch in UTC, so hours and
     days are read in UTC as well. The caller's own session stays as it is."""
     session = spark.newSession()
+    held = session.conf.getAll  # asked for at once: each setting alone is a call to the JVM
     for key, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(key) and session.conf.get(key, None) != value:
+        if held.get(key) != value and session.conf.isModifiable(key):
             session.conf.set(key, value)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     return session
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """The session with other values of some settings, which it gets back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def partitions_of(spark: SparkSession) -> int:
     """The configured number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

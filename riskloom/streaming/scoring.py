@@ -14,6 +14,7 @@ from riskloom.operators.windows import (
     Measures,
     window_features,
 )
+from riskloom.sources.predictions import with_day
 from riskloom.streaming.counts import counting_rows, counting_windows
 from riskloom.streaming.sinks import append_files
 
@@ -40,12 +41,17 @@ def score_messages(
     path: str,
     checkpoint: str,
     delay: str | None = None,
+    by_day: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Start the scoring stream: parse, window, apply the model, append JSON lines.
 
-    ``StreamCounts`` takes from the query what it has read and left unscored.
+    ``StreamCounts`` takes from the query what it has read and left unscored. ``by_day`` writes a
+    folder for each day of the windows' starts.
     """
     inputs = ACCIDENT_MEASURES.averaged
     features = counting_windows(message_features(messages, window, delay=delay), inputs)
-    return append_files(model.transform(features), path, checkpoint, **trigger)
+    scored = model.transform(features)
+    if by_day:
+        return append_files(with_day(scored), path, checkpoint, partition_by=[schema.DAY_COLUMN], **trigger)
+    return append_files(scored, path, checkpoint, **trigger)
