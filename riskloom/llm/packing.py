@@ -33,7 +33,7 @@ END_ID = 2
 OPEN_BINS = 512
 PIECES_PER_TASK = 200_000
 #: Distinct chunks that a task keeps the IDs of.
-KNOWN_CHUNKS = 1 << 18
+KNOWN_CHUNKS = 1 << 20
 GROUP_BYTES = 2 << 20
 JOINED = 512
 
@@ -71,7 +71,7 @@ class ChunkTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots = HashSlots(KNOWN_CHUNKS.bit_length() + 1)
+        self.slots = HashSlots(KNOWN_CHUNKS.bit_length())
         self.n = self.used = 0
         self.starts = np.zeros(KNOWN_CHUNKS, np.int32)
         self.lengths = np.zeros(KNOWN_CHUNKS, np.int32)
