@@ -87,12 +87,20 @@ def mine(
     It is dropped when it is no more confident than the base rate or than one with fewer of its tokens.
     """
     spark = labelled.sparkSession
-    marked = labelled.where("size(tokens) > 0").select(
+    path = fresh_folder(spark, "url-transactions")
+    given = labelled.where("size(tokens) > 0").select("tokens", "blocked")
+    given.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    given = spark.read.parquet(path)
+    alike = _alike(given)
+    alike.write.parquet(f"{path}-alike")
+    alike = spark.read.parquet(f"{path}-alike")
+    leading = given.select("row", F.explode("tokens").alias("token")).join(alike.select(F.explode("members").alias("token"), "leader"), "token")
+    leaders = leading.groupBy("row").agg(F.collect_set("leader").alias("tokens"))
+    marked = leaders.join(given.select("row", "blocked"), "row").select(
         F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")
     )
-    path = fresh_folder(spark, "url-transactions")
-    marked.write.parquet(path)
-    marked = spark.read.parquet(path)
+    marked.write.parquet(f"{path}-leaders")
+    marked = spark.read.parquet(f"{path}-leaders")
     empty = "rule long, tokens array<string>, confidence double"
     total = marked.count()
     if support is None and total < count or not total:
@@ -124,7 +132,40 @@ def mine(
         .select(F.col("of").alias("rule"))
         .distinct()
     )
-    return rules.join(inside, "rule", "left_anti").select("rule", "tokens", "confidence")
+    return _spelled(rules.join(inside, "rule", "left_anti"), alike)
+
+
+def _alike(given: DataFrame) -> DataFrame:
+    """leader and members: tokens that the same labelled URLs hold, under the first of them.
+
+    FP-growth finds every set of tokens that go together, two to the power of their number; tokens that
+    always go together tell as much as one of them. They are known by two hashes over the rows that hold
+    them, and by their count. There are at most as many in a group as tokens in a URL.
+    """
+    held = given.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("count"), *[F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"rows_{k}") for k in (0, 1)]
+    )
+    groups = held.groupBy("count", "rows_0", "rows_1").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return groups.select(F.col("members")[0].alias("leader"), "members")
+
+
+def _spelled(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """Each rule over leaders once for every choice of members in their place."""
+    members = (
+        rules.select("rule", "confidence", F.explode("tokens").alias("leader"))
+        .join(alike, "leader")
+        .groupBy("rule", "confidence")
+        .agg(F.collect_list("members").alias("choices"))
+    )
+    nothing = F.array(F.array().cast("array<string>"))
+    each = F.reduce(
+        "choices",
+        nothing,
+        lambda made, choice: F.flatten(F.transform(made, lambda x: F.transform(choice, lambda y: F.array_append(x, y)))),
+    )
+    made = members.select(F.explode(each).alias("tokens"), "confidence")
+    made = made.select(F.sort_array("tokens").alias("tokens"), "confidence")
+    return made.select(F.xxhash64("tokens").alias("rule"), "tokens", "confidence")
 
 
 def _index(rules: DataFrame) -> DataFrame:

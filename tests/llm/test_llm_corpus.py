@@ -398,3 +398,47 @@ def test_mined_rules_beat_the_base_rate(spark):
     rows = [(["all", "a"], True)] * 70 + [(["all", "a"], False)] * 30 + [(["all", "b"], True)] * 90 + [(["all", "b"], False)] * 10
     found = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
     assert [(r["tokens"], r["confidence"]) for r in found] == [(["b"], 0.9)]
+
+
+def test_copies_of_a_long_url_end_in_time(spark):
+    """Every word of six copies goes with the label; the sets of words are two to the power of forty."""
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    rows = [(f"http://x.org/{'/'.join(words)}", True)] * 6 + [(f"http://y.org/{w}x", False) for w in words]
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    pages = spark.createDataFrame([(1, f"http://z.com/{words[7]}/a"), (2, "http://z.com/other")], "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, labelled, []).collect()}
+    assert found == {1: "block", 2: "allow"}
+
+
+def plain_rules(rows, confidence=0.6, count=5):
+    """All sets of tokens, one by one."""
+    import itertools
+
+    base = sum(b for _, b in rows) / len(rows)
+    general = set.intersection(*[set(t) for t, _ in rows]) if not all(b for _, b in rows) else set()
+    rules = {}
+    for tokens, blocked in rows:
+        own = sorted(set(tokens) - general)
+        for n in range(1, len(own) + 1) if blocked else ():
+            for part in itertools.combinations(own, n):
+                fits = [b for t, b in rows if set(part) <= set(t)]
+                share = sum(fits) / len(fits)
+                if sum(fits) >= count and share >= confidence and (share / base > 1 or share == 1):
+                    rules[part] = share
+    return {p: c for p, c in rules.items() if not any(set(q) < set(p) and rules[q] >= c for q in rules)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mining_against_all_sets(spark, seed):
+    rng = np.random.default_rng(seed)
+    names = "abcdefg"
+    rows = []
+    for _ in range(60):
+        own = [t for t in names if rng.random() < 0.45]
+        own += ["twin " + t for t in own if t in "ab"]  # always go together
+        rows.append((["every", *own], bool(rng.random() < (0.85 if "a" in own or {"c", "d"} <= {*own} else 0.2))))
+    found = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
+    expected = plain_rules(rows)
+    assert {tuple(r["tokens"]) for r in found} == set(expected) and expected
+    assert all(abs(r["confidence"] - expected[tuple(r["tokens"])]) < 1e-12 for r in found)
+    assert len({r["rule"] for r in found}) == len(found)
