@@ -30,13 +30,17 @@ from pyspark.sql import DataFrame, functions as F
 
 VERSION = b"WARC/1.1"
 _SPACE_ID = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|template|noscript|head)\b[^>]*>.*?</\1\s*>|<!doctype[^>]*>", re.S | re.I)
+_UNSEEN = ("script", "style", "template", "noscript", "head")
+_OPENER = re.compile(rf"<(?:(!--)|(!doctype)|({'|'.join(_UNSEEN)})\b)", re.I)
+_CLOSER = {name: re.compile(rf"</{name}\s*>", re.I) for name in (*_UNSEEN, "title")}
 _BREAKS = re.compile(r"</?(?:p|br|div|li|ul|ol|h[1-6]|tr|table|article|section|header|footer|nav|main|blockquote|pre|hr|title)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[^>]+>")
 _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r"[^\S\n]*\n\s*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<(a|area|link|img|script|iframe)\b[^>]*?\s(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_LINKING = re.compile(r"<(a|area|link|img|script|iframe)\b", re.I)
+_ADDRESS = re.compile(r"\s(href|src)\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 
 
 @dataclass
@@ -127,30 +131,82 @@ def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0], headers, payload
 
 
+def _seen(page: str) -> str:
+    """The page with a blank in place of each comment, document type and element that shows no text. One
+    pass: an end that was once looked for in vain is not looked for again."""
+    out, done, at, missing = [], 0, 0, set()
+    while found := _OPENER.search(page, at):
+        name = (found[1] or found[2] or found[3]).lower()
+        end = -1
+        if name not in missing:
+            end = _end_of(page, name, found.end())
+            if end < 0:
+                missing.add(name)
+        if end < 0:
+            at = found.end()
+            continue
+        out += [page[done : found.start()], " "]
+        done = at = end
+    return "".join([*out, page[done:]])
+
+
+def _end_of(page: str, name: str, at: int) -> int:
+    """Where what begins there ends, -1 if it does not."""
+    if name == "!--":
+        end = page.find("-->", at)
+        return end + 3 if end >= 0 else -1
+    opened = page.find(">", at) + 1
+    if not opened or name == "!doctype":
+        return opened or -1
+    closed = _CLOSER[name].search(page, opened)
+    return closed.end() if closed else -1
+
+
 def plain_text(page: str) -> str:
     """The text of a page: blocks as lines, blanks joined, entities resolved."""
-    body = _DROPPED.sub(" ", page)
-    body = _TAG.sub("", _BREAKS.sub("\n", body.replace("\n", " ")))
+    body = _seen(page).replace("\n", " ")
+    last = body.rfind(">") + 1  # behind it no tag ends, so none is looked for
+    body = _TAG.sub("", _BREAKS.sub("\n", body[:last])) + body[last:]
     body = _BLANKS.sub(" ", html.unescape(body))
     return _LINES.sub("\n", body).strip()
 
 
 def links(page: str, base: str | None) -> list[dict[str, str]]:
-    out = []
-    for m in _LINK.finditer(page):
-        target = html.unescape(m[3] if m[3] is not None else m[4] if m[4] is not None else m[5])
+    out, at = [], 0
+    while tag := _LINKING.search(page, at):
+        found = _link_in(page, tag.end())
+        if not found:
+            # No other tag before this one's end has an address either.
+            at = page.find(">", tag.end()) + 1
+            if not at:
+                break
+            continue
+        kind, value, at = found
+        target = html.unescape(value)
         if base:
             try:
                 target = urljoin(base, target)
             except ValueError:
                 pass  # the link stays as written
-        out.append({"path": f"{m[1].lower()}@/{m[2].lower()}", "url": target})
+        out.append({"path": f"{tag[1].lower()}@/{kind}", "url": target})
     return out
 
 
+def _link_in(page: str, at: int) -> tuple[str, str, int] | None:
+    """(attribute, value, end) of the first address before the next ``>``."""
+    end = page.find(">", at)
+    end = len(page) if end < 0 else end
+    while named := _ADDRESS.search(page, at, end):
+        if value := _VALUE.match(page, named.end()):
+            return named[1].lower(), next(v for v in value.groups() if v is not None), value.end()
+        at = named.start() + 1
+    return None
+
+
 def title(page: str) -> str:
-    found = _TITLE.search(page)
-    return " ".join(html.unescape(found[1]).split()) if found else ""
+    opened = _TITLE.search(page[: page.rfind(">") + 1])
+    closed = opened and _CLOSER["title"].search(page, opened.end())
+    return " ".join(html.unescape(page[opened.end() : closed.start()]).split()) if closed else ""
 
 
 def derive(source: Record) -> tuple[Record, Record]:

@@ -442,3 +442,42 @@ def test_mining_against_all_sets(spark, seed):
     assert {tuple(r["tokens"]) for r in found} == set(expected) and expected
     assert all(abs(r["confidence"] - expected[tuple(r["tokens"])]) < 1e-12 for r in found)
     assert len({r["rule"] for r in found}) == len(found)
+
+
+def plain_page(page):
+    """(text, title, links) by patterns that may look to the end of the page from every tag."""
+    import html
+    import re
+
+    dropped = re.compile(r"<!--.*?-->|<(script|style|template|noscript|head)\b[^>]*>.*?</\1\s*>|<!doctype[^>]*>", re.S | re.I)
+    link = re.compile(r"<(a|area|link|img|script|iframe)\b[^>]*?\s(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+    body = re.sub("<[^>]+>", "", warc._BREAKS.sub("\n", dropped.sub(" ", page).replace("\n", " ")))
+    body = re.sub(r"[^\S\n]+", " ", html.unescape(body))
+    named = re.search(r"<title\b[^>]*>(.*?)</title\s*>", page, re.S | re.I)
+    found = [
+        {"path": f"{m[1].lower()}@/{m[2].lower()}", "url": html.unescape(next(x for x in m.groups()[2:] if x is not None))}
+        for m in link.finditer(page)
+    ]
+    return re.sub(r"[^\S\n]*\n\s*", "\n", body).strip(), " ".join(html.unescape(named[1]).split()) if named else "", found
+
+
+def test_pages_in_one_pass_equal_the_patterns():
+    rng = np.random.default_rng(11)
+    bits = (
+        "<|>|<a |<a href=x|<a href=\"b>c\" |<img src='d' x>|</a>|<!--|-->|<script>|<script src=e>|</script >|</SCRIPT>|<style|</style>|"
+        "<head>|</head>|<title>|</title>|<TITLE x>|<!doctype html>|<!DOCTYPE|<p>|</div>|<br/>| href=|\"|'| src = f|text|&amp;|\n| |head"
+    ).split("|")
+    for _ in range(6000):
+        page = "".join(rng.choice(bits, rng.integers(1, 25)))
+        assert (warc.plain_text(page), warc.title(page), warc.links(page, None)) == plain_page(page), page
+
+
+@pytest.mark.parametrize("bit", ["<a ", "<", "<script>", "<!--", "<title>", "<a href=", "<style x", "<!doctype ", "<p ", "</script ", "&", "<a href='"])
+def test_a_megabyte_of_one_opening_ends_in_time(bit):
+    import time
+
+    begun = time.process_time()
+    page = bit * ((1 << 20) // len(bit))
+    for whole in (page, page + ">"):
+        warc.plain_text(whole), warc.title(whole), warc.links(whole, "http://x.org/")
+    assert time.process_time() - begun < 20
