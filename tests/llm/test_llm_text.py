@@ -144,6 +144,38 @@ def test_decontamination_of_awkward_texts(spark, edge, block_bytes):
     assert sum(n for n, *_ in again) == sum(e[1] - e[2] for e in expected)
 
 
+def test_a_benchmark_of_many_blocks_holds_one_at_a_time(spark, monkeypatch):
+    """Items of all sizes, one of them long, copies of an item, and a word that half of all words are."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 3000, 40)) for _ in range(300)]
+    long = " ".join(f"v{k}" for k in range(4000))
+    items = [*enumerate(texts[:100]), *[(7, texts[7])] * 50, (500, long), (501, "the"), (502, "the"), (503, "long " * 3)]
+    docs = [*enumerate(texts), (900, "the x " * 3000), (901, " ".join(f"v{k}" for k in range(700, 730))), (902, "v1 v0 long long")]
+    docs = [(i, t + (" " + " ".join(texts[3].split()[5:16]) if i == 200 else "")) for i, t in docs]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    sizes, made = [], decontaminate.window_set
+    monkeypatch.setattr(decontaminate, "window_set", lambda *a: sizes.append((w := made(*a)).nbytes()) or w)
+    found = decontaminate.report(table, benchmark, block_bytes=10_000).collect()
+    assert len(sizes) > 4 and max(sizes) < (1 << decontaminate._TABLE_BITS) * 2 + 60 * 20_000
+    expected = brute.contamination(docs, items)
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"]
+    assert by_id(found, names) == sorted(
+        ((i, n, hit, len(ids), brute.sha(",".join(ids))) for (i, _), (n, hit, ids) in zip(docs, expected)), key=repr
+    )
+    hit = {r["doc_id"]: r["n_hit"] for r in found if r["n_hit"]}
+    assert hit[900] == 3000 and hit[901] == 30 and hit[200] == 11 and 902 not in hit
+
+
+def test_windows_that_share_a_hash_are_kept_apart(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_windows", lambda h, n: np.full(len(h) - n + 1, 7, np.uint64))
+    windows = decontaminate.window_set([(1, "a b c"), (2, "a b d"), (3, "A b c"), (None, "d d"), (4, "x y")], 2)
+    data = np.frombuffer(b"q a b d d" + bytes(8), np.uint8)
+    n_words, _, hit, items = decontaminate._hits(data, np.array([0, 9]), windows)
+    assert n_words.tolist() == [5] and hit.tolist() == [False, True, True, True, True]
+    assert items == {0: {"1", "2", "3"}}
+
+
 def test_decontamination_of_empty_tables(spark, edge, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(no_docs, none).count() == 0
