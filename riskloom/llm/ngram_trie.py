@@ -40,7 +40,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.batches import LOWER, NOT_SPACE, by_shard, hash_slices, mixed, text_groups, words_of
+from riskloom.llm.batches import LOWER, NOT_SPACE, by_shard, hash_slices, mixed, run_starts, text_groups, words_of
 from riskloom.llm.elias_fano import EliasFano
 from riskloom.session import fresh_folder
 
@@ -594,9 +594,18 @@ def _sent(
             none = int(used[0] == -1)
             used = used[none:]
             place = (place + 1 - none).reshape(3, -1)  # 0 is no word
-            per_doc = np.bincount(doc[at[own]], minlength=len(lengths))
+            # Of the block's documents only those with a token here, so that all messages grow with tokens.
+            of_doc = doc[at[own]]
+            begins = run_starts(of_doc)
+            docs = of_doc[begins]
+            per_doc = np.diff(np.append(begins, len(own)))
             often, ranks = _ranked(place, len(used) + 1)
-            data.append(pack(_steps(numbers[used]), counts[used], often, *ranks, per_doc, train, *split(used, place, count2[at[own]])))
+            data.append(
+                pack(
+                    _steps(numbers[used]), counts[used], often, *ranks, per_doc, train[docs],
+                    *split(used, place, count2[at[own]]), _steps(docs.astype(np.uint64)),
+                )
+            )
         m = len(some)
         yield pa.RecordBatch.from_arrays(
             [
@@ -695,7 +704,8 @@ def _distinct(w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, size: int) -> tupl
 
 
 def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[float, float]) -> pa.RecordBatch:
-    """The sum of log10 probabilities for each document of each block of a shard."""
+    """The sum of log10 probabilities for each document with tokens in the shard, by its steps among
+    those of its block."""
     parts = []
     for r in rows:
         p = unpack(r.column(2)[0].as_py())
@@ -741,7 +751,7 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
     for p, own in zip(parts, docs):
         values = scores[inverse[at : at + len(own)]]
         at += len(own)
-        out.append(np.bincount(own, weights=values, minlength=len(p[6])).astype("<f8").tobytes())
+        out.append(_sums_message(p[10], np.bincount(own, weights=values, minlength=len(p[6]))))
     nothing = [pa.nulls(len(rows), rows[0].column(c).type) for c in (3, 4)]
     block = pa.concat_arrays([r.column(1) for r in rows])
     return pa.RecordBatch.from_arrays(
@@ -749,6 +759,17 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
     )
 
 
+def _sums_message(steps: np.ndarray, sums: np.ndarray) -> bytes:
+    """Steps between documents, in four bytes each, and a sum for each."""
+    return steps.astype("<u4").tobytes() + sums.astype("<f8").tobytes()
+
+
+def _sums_read(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, their sums) of a message."""
+    n = len(data) // 12
+    return np.cumsum(np.frombuffer(data, "<u4", n).astype(np.int64)), np.frombuffer(data, "<f8", n, 4 * n)
+
+
 def _documents(scored: DataFrame, kind: str, n: int) -> DataFrame:
     """One row for each document, from its block's row and the shards' sums."""
     schema = (
@@ -757,20 +778,18 @@ def _documents(scored: DataFrame, kind: str, n: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, head, total = None, None, None
+        head, total = None, np.zeros(0)  # a block's own row comes first
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                now = row.column(0)[0].as_py()
-                if now != block and head is not None:
-                    yield rows(head, total)
-                    head, total = None, None
-                block = now
-                data = np.frombuffer(row.column(1)[0].as_py(), "<f8")
+                data = row.column(1)[0].as_py()
                 if row.column(2)[0].is_valid:
-                    head = row
-                    data = data.reshape(4, -1)[3]
-                total = data.copy() if total is None else total + data
+                    if head is not None:
+                        yield rows(head, total)
+                    head, total = row, np.frombuffer(data, "<f8").reshape(4, -1)[3].copy()
+                else:
+                    docs, sums = _sums_read(data)
+                    total[docs] += sums
         if head is not None:
             yield rows(head, total)
 

@@ -137,6 +137,68 @@ def test_scores_do_not_depend_on_shards_and_blocks(spark, edge):
         assert [r[3] for r in other] == pytest.approx([r[3] for r in found[0]], abs=0.002, rel=1e-5)
 
 
+def plain_scores(rows):
+    """log10 probability of each text by interpolated absolute discounting with plain dictionaries."""
+    tokens = [brute.WORD.findall(brute.low(t)) + [None] for _, t in rows]
+    train = [ws for (i, _), ws in zip(rows, tokens) if brute.remainder(i) != 1]
+    one = collections.Counter(w for ws in train for w in ws)
+    two = collections.Counter(p for ws in train for p in zip(ws, ws[1:]))
+    three = collections.Counter(p for ws in train for p in zip(["before", *ws], ws, ws[1:]))
+    n, v = sum(one.values()), len(one)
+    levels = []
+    for grams in (two, three):
+        kinds = collections.Counter(grams.values())
+        total, distinct = collections.Counter(), collections.Counter()
+        for gram, count in grams.items():
+            total[gram[:-1]] += count
+            distinct[gram[:-1]] += 1
+        levels.append((grams, total, distinct, ngram_trie._discount_of(kinds[1], kinds[2])))
+    out = []
+    for ws in tokens:
+        score = 0.0
+        for k, w in enumerate(ws):
+            p = (one[w] + 0.5) / (n + 0.5 * (v + 1))
+            gram = tuple(["before", *ws][max(0, k - 1) : k + 2])
+            for order, (grams, total, distinct, d) in enumerate(levels, 2) if k else ():
+                before = gram[-order:-1]
+                if total[before]:
+                    p = (max(grams[gram[-order:]] - d, 0) + d * distinct[before] * p) / total[before]
+            score += math.log10(p)
+        out.append((score, len(ws)))
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"block_tokens": 500, "shard_tokens": 40, "vocabulary_shard": 300}])
+def test_scores_against_dictionaries(spark, edge, options):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"W{k}" for k in rng.zipf(1.2, rng.integers(0, 80)) % 90) for _ in range(150)] + ["a b a b c"] * 5 + ["", None]
+    rows = [*enumerate(texts), *((i, t) for i, t in edge[0] if i is not None and i >= len(texts))]
+    found = scored(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()
+    got = {r["doc_id"]: r["score"] for r in found}
+    assert len(found) == len(rows)
+    for (i, _), (expected, tokens) in zip(rows, plain_scores(rows)):
+        assert got[i] == pytest.approx(expected, abs=0.002 + tokens * 0.001)
+
+
+def test_messages_are_bounded_by_tokens(spark, monkeypatch):
+    kept = {}
+    for name in ("_scored", "_documents"):
+        made = getattr(ngram_trie, name)
+        monkeypatch.setattr(ngram_trie, name, lambda rows, *a, name=name, made=made: kept.setdefault(name, rows) and made(rows, *a))
+    found = []
+    for n in (2_000, 8_000):
+        kept.clear()
+        text = F.concat_ws(" ", *(F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(5000))) for k in range(19)))
+        docs = spark.range(0, n, numPartitions=n // 500).select(F.col("id").alias("doc_id"), text.alias("text"))
+        assert scored(docs, block_tokens=20_000, shard_tokens=20_000, vocabulary_shard=20_000).count() == n
+        own = [kept[name].where("ids is null").agg(F.count("*"), F.sum(F.length("data"))).head() for name in ("_scored", "_documents")]
+        found.append(own)
+        assert own[1][1] <= 12 * 20 * n  # a document and a sum for each token at most
+    (sent, answered), (more, more_answered) = found
+    assert more[0] > 10 * sent[0]  # blocks times shards
+    assert more_answered[1] < 5 * answered[1]  # four times the tokens
+
+
 def test_scoring_an_empty_table(no_docs):
     assert scored(no_docs).count() == 0
 
