@@ -190,13 +190,13 @@ def test_messages_are_bounded_by_tokens(spark, monkeypatch):
         kept.clear()
         text = F.concat_ws(" ", *(F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(5000))) for k in range(19)))
         docs = spark.range(0, n, numPartitions=n // 500).select(F.col("id").alias("doc_id"), text.alias("text"))
-        assert scored(docs, block_tokens=20_000, shard_tokens=20_000, vocabulary_shard=20_000).count() == n
+        assert scored(docs, block_tokens=20_000, shard_tokens=4_000, vocabulary_shard=20_000).count() == n
         own = [kept[name].where("ids is null").agg(F.count("*"), F.sum(F.length("data"))).head() for name in ("_scored", "_documents")]
         found.append(own)
         assert own[1][1] <= 12 * 20 * n  # a document and a sum for each token at most
     (sent, answered), (more, more_answered) = found
-    assert more[0] > 10 * sent[0]  # blocks times shards
-    assert more_answered[1] < 5 * answered[1]  # four times the tokens
+    assert more[0] > 8 * sent[0]  # blocks times shards
+    assert more_answered[1] < 7 * answered[1]  # four times the tokens, less often two of a document together
 
 
 def test_scoring_an_empty_table(no_docs):
