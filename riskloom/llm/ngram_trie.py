@@ -50,6 +50,8 @@ VOCABULARY_SHARD = 3_000_000
 DISCOUNT_SAMPLE = 1_000_000
 #: Quantised values to a power of ten.
 STEPS = 2048
+#: A document's sum in one shard is told in steps of this part of log10, far below those.
+SUM_STEPS = 1 << 16
 #: Hash of the end token, which no word's hash is made to equal.
 END_HASH = np.uint64(0xE4D0F7EA7E4D0001)
 #: Stands before a text's first token.
@@ -600,9 +602,11 @@ def _sent(
             docs = of_doc[begins]
             per_doc = np.diff(np.append(begins, len(own)))
             often, ranks = _ranked(place, len(used) + 1)
+            asked = kinds[used] > 0  # only predicted words and split ones need their counts
+            asked[place[2] - 1] = True
             data.append(
                 pack(
-                    _steps(numbers[used]), counts[used], often, *ranks, per_doc, train[docs],
+                    _steps(numbers[used]), np.where(asked, counts[used], 0), often, *ranks, per_doc, train[docs],
                     *split(used, place, count2[at[own]]), _steps(docs.astype(np.uint64)),
                 )
             )
@@ -714,7 +718,8 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
     numbers = [_sums(p[0]) for p in parts]
     every, place = np.unique(np.concatenate(numbers), return_inverse=True)
     counts = np.zeros(len(every) + 1, np.int64)
-    counts[place + 1] = np.concatenate([p[1] for p in parts]).astype(np.int64)
+    told = np.concatenate([p[1] for p in parts]).astype(np.int64)
+    counts[place[told > 0] + 1] = told[told > 0]
     cuts = np.cumsum([0, *map(len, numbers)])
     triples, trains, docs = [], [], []
     kinds, pairs = np.zeros(len(counts), np.int64), [np.zeros((3, 0), np.int64)]
@@ -760,14 +765,14 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
 
 
 def _sums_message(steps: np.ndarray, sums: np.ndarray) -> bytes:
-    """Steps between documents, in four bytes each, and a sum for each."""
-    return steps.astype("<u4").tobytes() + sums.astype("<f8").tobytes()
+    """Steps between documents, and for each its sum, none above 0, to the next 1/65536."""
+    return pack(steps, np.rint(np.maximum(-sums, 0) * SUM_STEPS))
 
 
 def _sums_read(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(documents, their sums) of a message."""
-    n = len(data) // 12
-    return np.cumsum(np.frombuffer(data, "<u4", n).astype(np.int64)), np.frombuffer(data, "<f8", n, 4 * n)
+    steps, sums = unpack(data)
+    return _sums(steps).astype(np.int64), sums / -float(SUM_STEPS)
 
 
 def _documents(scored: DataFrame, kind: str, n: int) -> DataFrame:

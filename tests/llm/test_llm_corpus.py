@@ -193,10 +193,10 @@ def test_messages_are_bounded_by_tokens(spark, monkeypatch):
         assert scored(docs, block_tokens=20_000, shard_tokens=4_000, vocabulary_shard=20_000).count() == n
         own = [kept[name].where("ids is null").agg(F.count("*"), F.sum(F.length("data"))).head() for name in ("_scored", "_documents")]
         found.append(own)
-        assert own[1][1] <= 12 * 20 * n  # a document and a sum for each token at most
+        assert own[1][1] <= 12 * 20 * n + 40 * own[1][0]  # a document and a sum for each token at most
     (sent, answered), (more, more_answered) = found
     assert more[0] > 8 * sent[0]  # blocks times shards
-    assert more_answered[1] < 7 * answered[1]  # four times the tokens, less often two of a document together
+    assert more_answered[1] < 9 * answered[1]  # four times the tokens, less often two of a document together
 
 
 def test_scoring_an_empty_table(no_docs):
