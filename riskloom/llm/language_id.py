@@ -10,7 +10,10 @@ text nearer to random letters than to its language is rejected; one of several l
 
 The models learn from a bounded sample of distinct labelled texts: of each language the first ones
 by hash, up to its share of ``SAMPLE_CHARS`` characters, but ``LEAST_TEXTS`` at least, cut to that
-share together. Copies of a text count once. Each distinct word of a batch is scored once.
+share together. Copies of a text count once. Each distinct word of a batch is scored once. There may
+be any number of languages: words and texts are scored in groups, so that no more than
+``HELD_SCORES`` scores are held beside the models. A run of letters of any length is one word; one of
+more than ``PIECE_LETTERS`` is scored in pieces.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and rejected; a row
 without language is not learned from but predicted; repeated rows get the same result; without
@@ -23,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 from typing import Any
 
 import numpy as np
@@ -35,10 +39,13 @@ from riskloom.session import fresh_folder
 UNKNOWN = "und"
 ORDER = 5
 SAMPLE_CHARS = 8_000_000
-MAX_LANGUAGES = 1000
 LEAST_TEXTS = 5
 GROUP_CHARS = 1 << 20
 KNOWN_WORDS = 1 << 20
+#: Scores, of words or texts under each model, that are held at once.
+HELD_SCORES = 1 << 23
+#: A longer run of letters is scored in pieces of so many, each after the letters before it.
+PIECE_LETTERS = 1 << 17
 #: Bound on the characters that any language's model keeps some probability for.
 ALPHABET = 1 << 12
 #: A text is rejected when its cross-entropy lies beyond this part of the way from a language's usual
@@ -61,7 +68,8 @@ def words_of_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     points = np.frombuffer(joined.encode("utf-32-le") + bytes(8), "<u4")
     size = len(points) - 2
     flags = _letters()[points[:size]]
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
+    none = np.zeros(1, bool)
+    edges = np.flatnonzero(np.concatenate((flags, none)) != np.concatenate((none, flags)))
     starts, ends = edges[::2], edges[1::2]
     rows = np.searchsorted(np.flatnonzero(points[:size] == 0), starts)
     return points, rows, starts, ends
@@ -76,13 +84,17 @@ def _grams(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: int)
     flat[firsts] = _BEGIN
     flat[ragged(firsts + 1, sizes - 2)] = points[ragged(starts, ends - starts)]
     place = np.arange(len(flat)) - np.repeat(firsts, sizes)
+    return flat, place, firsts, sizes, _gram_hashes(flat, place, order)
+
+
+def _gram_hashes(flat: np.ndarray, place: np.ndarray, order: int) -> list[np.ndarray]:
     hashes = [mixed(flat * _K + np.uint64(1))]
     for n in range(2, order + 1):
         h = np.zeros(len(flat), np.uint64)
         valid = np.flatnonzero(place >= n - 1)
         h[valid] = mixed(hashes[-1][valid] * _K + flat[valid - n + 1] * np.uint64(n) + np.uint64(n))
         hashes.append(h)
-    return flat, place, firsts, sizes, hashes
+    return hashes
 
 
 @dataclass
@@ -143,10 +155,8 @@ def train(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.n
     return CharModel(keys, log_p.astype(np.float32), log_weight.astype(np.float32))
 
 
-def word_scores(models: list[CharModel], points: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Log probability of each word under each model: words x models."""
-    _, place, firsts, sizes, hashes = _grams(points, starts, ends, order)
-    at = np.flatnonzero(place >= 1)
+def _gram_scores(models: list[CharModel], hashes: list[np.ndarray], place: np.ndarray, at: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """Log probability of the character at each place ``at``, under one model after the other."""
     longest = np.minimum(place[at] + 1, order)
     window = np.zeros(len(at), np.uint64)
     for n in range(2, order + 1):
@@ -154,9 +164,7 @@ def word_scores(models: list[CharModel], points: np.ndarray, starts: np.ndarray,
         window[here] = hashes[n - 1][at[here]]
     _, first, inverse = np.unique(window, return_index=True, return_inverse=True)
     at, longest = at[first], longest[first]
-    out = np.empty((len(starts), len(models)))
-    cuts = np.concatenate(([0], np.cumsum(sizes - 1)[:-1]))
-    for m, model in enumerate(models):
+    for model in models:
         passed, value = np.zeros(len(at)), np.full(len(at), np.nan)
         for n in range(order, 0, -1):
             todo = np.flatnonzero((longest >= n) & np.isnan(value))
@@ -169,7 +177,36 @@ def word_scores(models: list[CharModel], points: np.ndarray, starts: np.ndarray,
             passed[rest[found]] += model.log_weight[slot[found]]
         unseen = np.isnan(value)
         value[unseen] = passed[unseen] - np.log(ALPHABET)
-        out[:, m] = np.add.reduceat(value[inverse], cuts)
+        yield value[inverse]
+
+
+def word_scores(models: list[CharModel], points: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Log probability of each word under each model: words x models."""
+    _, place, _, sizes, hashes = _grams(points, starts, ends, order)
+    out = np.empty((len(starts), len(models)), np.float32)
+    cuts = np.concatenate(([0], np.cumsum(sizes - 1)[:-1]))
+    for m, value in enumerate(_gram_scores(models, hashes, place, np.flatnonzero(place >= 1), order)):
+        out[:, m] = np.add.reduceat(value, cuts)
+    return out
+
+
+def long_word_scores(models: list[CharModel], points: np.ndarray, start: int, end: int, order: int = ORDER) -> np.ndarray:
+    """The same of one word of any length, in pieces."""
+    out = np.zeros(len(models))
+    size = end - start + 2
+    for low in range(1, size, PIECE_LETTERS):
+        high = min(size, low + PIECE_LETTERS)
+        begin = max(0, low - order + 1)
+        flat = np.full(high - begin, _END, np.uint64)
+        inner = points[start + max(begin, 1) - 1 : min(end, start + high - 1)]
+        first = int(begin == 0)
+        flat[first : first + len(inner)] = inner
+        if first:
+            flat[0] = _BEGIN
+        place = np.arange(len(flat))
+        hashes = _gram_hashes(flat, place, order)
+        for m, value in enumerate(_gram_scores(models, hashes, place, np.arange(low - begin, len(flat)), order)):
+            out[m] += value.sum()
     return out
 
 
@@ -189,23 +226,34 @@ class WordScorer:
         out, n = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64)
         if not len(starts):
             return out, n
+        n[:] = np.bincount(rows, weights=ends - starts + 1, minlength=len(texts))
+        long = ends - starts > PIECE_LETTERS
+        for k in np.flatnonzero(long).tolist():
+            out[rows[k]] += long_word_scores(self.models, points, int(starts[k]), int(ends[k]))
+        rows, starts, ends = rows[~long], starts[~long], ends[~long]
         hashes = hash_slices(points.view(np.uint8), 4 * starts, 4 * ends)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        step = max(1, HELD_SCORES // len(self.models))
+        for low in range(0, len(keys), step):
+            own = slice(low, low + step)
+            scores = self._scores(keys[own], points, starts[first[own]], ends[first[own]], min(step, KNOWN_WORDS))
+            here = slice(None) if step >= len(keys) else np.flatnonzero((inverse >= low) & (inverse < low + step))
+            for m in range(len(self.models)):
+                out[:, m] += np.bincount(rows[here], weights=scores[inverse[here] - low, m], minlength=len(texts))
+        return out, n
+
+    def _scores(self, keys: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int) -> np.ndarray:
+        """Of words with sorted hashes, keeping those of up to ``limit`` words, or of these alone."""
         known = np.isin(keys, self.keys, assume_unique=True)
-        if len(self.keys) + int((~known).sum()) > KNOWN_WORDS:
+        if len(self.keys) + int((~known).sum()) > limit:
             self._forget()
             known[:] = False
         if not known.all():
-            new = first[~known]
-            scores = word_scores(self.models, points, starts[new], ends[new]).astype(np.float32)
+            scores = word_scores(self.models, points, starts[~known], ends[~known])
             order = np.argsort(np.concatenate((self.keys, keys[~known])), kind="stable")
             self.keys = np.concatenate((self.keys, keys[~known]))[order]
             self.scores = np.concatenate((self.scores, scores))[order]
-        slot = np.searchsorted(self.keys, keys)[inverse]
-        for m in range(len(self.models)):
-            out[:, m] = np.bincount(rows, weights=self.scores[slot, m], minlength=len(texts))
-        n[:] = np.bincount(rows, weights=ends - starts + 1, minlength=len(texts))
-        return out, n
+        return self.scores[np.searchsorted(self.keys, keys)]
 
 
 @dataclass
@@ -260,12 +308,10 @@ def _sample(docs: DataFrame, learn: Column, text: str, lang: str, chars: int) ->
     distinct.select("*", bucket).write.parquet(path)
     distinct = docs.sparkSession.read.parquet(path)
     sizes = distinct.groupBy("lang", "bucket").agg(F.count("*").alias("texts"), F.sum("size").alias("n"))
-    names = [r["lang"] for r in sizes.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
-    if not names:
+    languages = sizes.select("lang").distinct().count()
+    if not languages:
         return []
-    share = max(LEAST_TEXTS, chars // len(names))
+    share = max(LEAST_TEXTS, chars // languages)
     before = Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     start = sizes.select(
         "lang", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
@@ -308,8 +354,9 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     """Models and calibration from labelled documents for which ``learn`` is true."""
     sample = _sample(docs, learn, text, lang, chars)
     models, languages = [], []
-    for name in sorted({x[0] for x in sample}):
-        own = [t for x, t, held in sample if x == name and not held] or [t for x, t, _ in sample if x == name]
+    for name, rows in groupby(sample, key=lambda x: x[0]):  # sorted by language
+        texts = [(t, held) for _, t, held in rows]
+        own = [t for t, held in texts if not held] or [t for t, _ in texts]
         points, _, starts, ends = words_of_texts(own)
         if not len(starts):
             continue
@@ -318,7 +365,8 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
         )
         models.append(train(points, starts[first], ends[first], counts))
         languages.append(name)
-    held = [(x, t) for x, t, is_held in sample if is_held and x in languages]
+    learned = set(languages)
+    held = [(x, t) for x, t, is_held in sample if is_held and x in learned]
     return _calibrated(languages, models, held)
 
 
@@ -327,19 +375,23 @@ def _calibrated(languages: list[str], models: list[CharModel], held: list[tuple[
     out = Identifier(languages, models, 1.0, np.zeros(k), np.full(k, np.inf), np.ones(k))
     if not models or not held:
         return out
-    scorer = WordScorer(models)
-    log_p, n = scorer([t for _, t in held])
-    truth = np.array([languages.index(x) for x, _ in held])
-    mixed_up, m = scorer([_shuffled(t, seed) for seed, (_, t) in enumerate(held)])
-    keep = n > 0
-    log_p, n, truth, mixed_up, m = log_p[keep], n[keep], truth[keep], mixed_up[keep], m[keep]
+    scorer, number = WordScorer(models), {x: k for k, x in enumerate(languages)}
+    grid = np.geomspace(0.01, 10, 61)
+    losses = np.zeros(len(grid))
+    parts = []
+    for low, high in _groups([t for _, t in held], len(models)):
+        log_p, n = scorer([t for _, t in held[low:high]])
+        mixed_up, m = scorer([_shuffled(t, low + k) for k, (_, t) in enumerate(held[low:high])])
+        keep = n > 0
+        truth = np.array([number[x] for x, _ in held[low:high]])[keep]
+        log_p, n, mixed_up, m = log_p[keep], n[keep], mixed_up[keep], m[keep]
+        row = np.arange(len(n))
+        losses += [-np.log(np.maximum(_posterior(log_p, n, t)[row, truth], 1e-12)).sum() for t in grid]
+        parts.append((truth, n, -log_p[row, truth] / n, -mixed_up[row, truth] / m))
+    truth, n, entropy, noise = (np.concatenate(x) for x in zip(*parts))
     if not len(n):
         return out
-    row = np.arange(len(n))
-    grid = np.geomspace(0.01, 10, 61)
-    losses = [-np.log(np.maximum(_posterior(log_p, n, t)[row, truth], 1e-12)).mean() for t in grid]
     out.temperature = float(grid[int(np.argmin(losses))])
-    entropy, noise = -log_p[row, truth] / n, -mixed_up[row, truth] / m
     for k in range(len(models)):
         own = truth == k if (truth == k).any() else np.ones(len(n), bool)
         out.usual[k], out.noise[k] = np.median(entropy[own]), np.median(noise[own])
@@ -369,7 +421,7 @@ def predict(docs: DataFrame, identifier: Identifier, text: str = "text", name: s
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             names: list[str] = []
             scores, rejected = [np.zeros(0)], [np.zeros(0, bool)]
-            for low, high in _groups(texts):
+            for low, high in _groups(texts, len(identifier.models)):
                 a, b, c = identifier.judge(scorer, texts[low:high])
                 names += a
                 scores.append(b)
@@ -383,11 +435,13 @@ def predict(docs: DataFrame, identifier: Identifier, text: str = "text", name: s
     return docs.mapInArrow(run, schema)
 
 
-def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _groups(texts: list[str | None], models: int) -> Iterator[tuple[int, int]]:
+    """Rows of about ``GROUP_CHARS`` characters and at most ``HELD_SCORES`` scores."""
+    most = max(1, HELD_SCORES // max(models, 1))
     low, size = 0, 0
     for k, t in enumerate(texts):
         size += len(t or "")
-        if size >= GROUP_CHARS:
+        if size >= GROUP_CHARS or k + 1 - low >= most:
             yield low, k + 1
             low, size = k + 1, 0
     if low < len(texts):

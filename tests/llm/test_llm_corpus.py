@@ -271,6 +271,64 @@ def test_held_out_accuracy_and_rejection(spark, tables, edge):
     assert language_id.accepted(strange, models).count() == 0
 
 
+def own_words(k, n):
+    """A text in the k-th of many languages, each with ten letters of its own."""
+    rng = np.random.default_rng([k, n])
+    letters = [chr(0x4E00 + 10 * k + j) for j in range(10)]
+    return " ".join("".join(rng.choice(letters, 4)) for _ in range(6)) + " the same words"
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    rows = [(1001 * n + k, own_words(k, n), f"l{k:04}") for n in range(3) for k in range(1001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    monkeypatch.setattr(language_id, "HELD_SCORES", 1 << 18)  # some groups of texts and words
+    identifier = language_id.fit(docs.where("doc_id < 2002"), F.lit(True))
+    assert len(identifier.models) == 1001
+    found = language_id.predict(docs, identifier).select("lang", "language.name").collect()
+    assert len(found) == 3003 and sum(r[0] == r[1] for r in found) > 2990
+
+
+def small_models():
+    models = []
+    for text in ("the then hen to été ten to the", "abba aba bab baa"):
+        points, _, starts, ends = language_id.words_of_texts([text])
+        models.append(language_id.train(points, starts, ends, np.ones(len(starts))))
+    return models
+
+
+@pytest.mark.parametrize("held", [1, 5, 1000])
+def test_scores_do_not_depend_on_groups(monkeypatch, held):
+    models, texts = small_models(), ["the hen", None, "", "ten abba été the hen xyz", "q", "Ababa " * 9]
+    expected, n = language_id.WordScorer(models)(texts)
+    monkeypatch.setattr(language_id, "HELD_SCORES", held)
+    groups = list(language_id._groups(texts, len(models)))
+    assert [k for low, high in groups for k in range(low, high)] == list(range(6))
+    scorer = language_id.WordScorer(models)
+    got = [scorer(texts[low:high]) for low, high in groups]
+    assert np.allclose(np.concatenate([x for x, _ in got]), expected) and np.concatenate([x for _, x in got]).tolist() == n.tolist()
+
+
+@pytest.mark.parametrize("piece", [1, 3, 4, 7, 29, 30, 31, 32])
+def test_long_words_in_pieces(monkeypatch, piece):
+    models, texts = small_models(), ["thenabbahentotheabatenxyzthehen the", "x", "abbaabbaabbaabbaabbaabbaabbaab hen"]
+    expected, n = language_id.WordScorer(models)(texts)
+    monkeypatch.setattr(language_id, "PIECE_LETTERS", piece)
+    got, m = language_id.WordScorer(models)(texts)
+    assert np.allclose(got, expected) and n.tolist() == m.tolist()
+
+
+def test_a_very_long_run_of_letters_stays_small():
+    import tracemalloc
+
+    text = "".join(np.random.default_rng(0).choice(list("abent"), 1000)) * 10_000
+    scorer = language_id.WordScorer(small_models())
+    tracemalloc.start()
+    _, n = scorer([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [10_000_001] and peak < 500 << 20
+
+
 def test_language_without_labels(spark, no_docs, edge):
     models = language_id.fit(edge[1], F.lit(False))
     assert {r["language"]["name"] for r in language_id.predict(edge[1].select("text"), models).collect()} == {"und"}
