@@ -4,8 +4,8 @@ The patterns give the base spans: e-mail addresses, IP addresses, payment cards
 The field, trained from a small labelled table, adds spans that the patterns do not cover, such as
 phone numbers without a country code and spelt-out e-mail addresses. It labels runs of letters,
 runs of digits and single other characters by their shapes and their neighbours' shapes. Only
-words with a digit or an at sign, and the words next to them, may carry a label, so a text falls
-into short segments that are decoded in numpy batches, and nothing is lost by leaving out the rest.
+words with a digit, an at sign or a spelt-out one, and the words next to them, may carry a label, so
+a text falls into short segments that are decoded in numpy batches.
 What the field finds must still hold as many digits, or a valid address, as its kind demands.
 
 Offsets count code points; an end is exclusive. Defined results: a null or empty text has no spans;
@@ -37,7 +37,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_CUE = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
+#: Spelt-out signs: in brackets, or "at" and "dot" as words about another one.
+_SPELT = r"[\[({](?:at|dot)[\])}]|\bat(?=\s+[a-z0-9-]+\s+dot\s)|\bdot\b"
+_CUE = re.compile(rf"[0-9@]|(?i:{_SPELT})", re.ASCII)
+_SPELT_BYTES = re.compile(_SPELT.encode(), re.IGNORECASE)
+_ENDINGS = {"com", "org", "net", "edu", "gov", "info"}
+#: Words before numbers that are no telephone numbers.
+_NUMBERED = {"page", "order", "ssn", "isbn", "serial", "lot", "invoice", "part", "item", "licence", "version"}
 _SPACE = re.compile(r"\s")
 _TOKEN = re.compile(r"[0-9]+|\s|[^\W\d_]+|.", re.DOTALL)
 
@@ -63,6 +69,24 @@ LABELLED = [
     "Send it to [email|jane (at) example (dot) com] please.",
     "Send it to [email|bob [at] example [dot] org] please.",
     "Reach [email|sales (at) shop (dot) net] by noon.",
+    "Write to [email|jane at example dot com] for details.",
+    "Please ask [email|tom at shop dot org] about it.",
+    "[email|mia at school dot edu]",
+    "[email|ben at office dot net] or call at noon.",
+    "mail [email|eve at club dot org], she said",
+    "or [email|max at work dot info]",
+    "Send it to [email|JANE [AT] EXAMPLE [DOT] COM] please.",
+    "Mail [email|ANNA (AT) SITE (DOT) ORG] today.",
+    "[email|Tom [AT] Shop [DOT] Net] is mine.",
+    "Look at the dot on the map.",
+    "They stop at every dot in the picture.",
+    "a dot and a line at noon",
+    "Tel [phone|020 7946 0958] or write.",
+    "SSN 123-45-6789 is on the form.",
+    "See page 312-555-0176 of it.",
+    "Order 800-555-0143 was sent, lot 212-555-0191 was not.",
+    "from 300 400 500 to 900 of them",
+    "His number 078-05-1120 was on the card.",
     "[email|oning.10@mail8.example.com] are the inor",
     "We met (at) the station at 8.",
     "They are [at] home with 3 dogs.",
@@ -144,8 +168,12 @@ def _shape(token: str) -> str:
     if token.isspace():
         return " "
     if token.isalpha():
-        if token in ("at", "dot"):
-            return token
+        if token.lower() in ("at", "dot"):
+            return token.lower()
+        if token.lower() in _ENDINGS:
+            return "tld"
+        if token.lower() in _NUMBERED:
+            return "no"
         return "a1" if len(token) == 1 else "A" if token[0].isupper() else "a"
     return token if token.isascii() else "u"
 
@@ -337,6 +365,8 @@ def _word_end(text: str, at: int) -> int:
 
 def _valid(kind: str, text: str) -> bool:
     """The checks that a span of the field must pass."""
+    if text != text.strip():
+        return False
     digits = "".join(_DIGIT.findall(text))
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
@@ -345,7 +375,7 @@ def _valid(kind: str, text: str) -> bool:
     if kind == "ip":
         parts = re.findall(r"[0-9]+", text)
         return len(parts) == 4 and all(len(p) < 4 and int(p) <= 255 for p in parts)
-    return bool(re.search(r"@|\Wat\W", text)) and bool(re.search(r"\.|\Wdot\W", text))
+    return text[-1].isalnum() and bool(re.search(r"@|\Wat\W", text, re.I)) and bool(re.search(r"\.|\Wdot\W", text, re.I))
 
 
 def spans_of_texts(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
@@ -397,15 +427,8 @@ def _likely(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     part = data[:size]
     hit = np.flatnonzero((part == 0x40) | ((part >= 0x30) & (part <= 0x39)))
     rows = np.searchsorted(offsets, hit, "right") - 1
-    raw = part.tobytes()
-    for cue in (b"(at)", b"[at]"):
-        at = raw.find(cue)
-        more = []
-        while at >= 0:
-            more.append(int(np.searchsorted(offsets, at, "right")) - 1)
-            at = raw.find(cue, at + 4)
-        rows = np.concatenate((rows, np.array(more, np.int64)))
-    return np.unique(rows)
+    spelt = np.array([m.start() for m in _SPELT_BYTES.finditer(part.tobytes())], np.int64)
+    return np.unique(np.concatenate((rows, np.searchsorted(offsets, spelt, "right") - 1)))
 
 
 def _all_spans(column: pa.Array, field: Field) -> dict[int, tuple[list[Span], list[Span]]]:

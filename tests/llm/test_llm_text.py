@@ -90,6 +90,60 @@ def test_field_learns_its_table_and_keeps_clean_text():
     assert all(base == added == [] for base, added in pii_crf.spans_of_texts(clean, field))
 
 
+#: Rows that the field has not learned from, marked like its table.
+HELD_OUT = [
+    "Reach me on [phone|(212) 555-0198] today.",
+    "My fax is [phone|303-555-0142].",
+    "Tel 20, ask for [phone|617.555.0123].",
+    "call [phone|020 7946 0321] now",
+    "Tel. [phone|020 7946 0777]",
+    "phone [phone|+44 20 7946 0958] please",
+    "ueno [phone|415-555-2671] arst oien",
+    "ring [phone|(415) 555 0132].",
+    "Email [email|mary (at) firm (dot) org] soon.",
+    "contact [email|peter [at] house [dot] net]",
+    "Ask [email|anna at home dot org] please.",
+    "to [email|BOB [AT] MAIL [DOT] COM] now",
+    "write [email|kim at uni dot edu]",
+    "mail [email|x.y@z.org], thanks",
+    "the host [ip|10.20.30.40] is up",
+    "card [card|4111-1111-1111-1111] ok",
+    "SSN 219-09-9999 here",
+    "born 12-05-1980, 42 kg",
+    "ISBN 978-0-306-40615-7",
+    "Look at this dot here.",
+    "we met at 10 dot on the corner",
+    "Sum 1,234,567.89 in 2020",
+    "page 12-14, 2019-2020",
+    "version 1.2.3 of 2021-01-05 10:00:00",
+    "order 20210405-12 of 3 parts",
+    "Meet (at) noon (dot) fine",
+    "pi is 3.14159 and e 2.71828",
+    "from 100 200 300 to 400",
+    "He is at the red dot by 5.",
+    "key abc123def456 and 0042",
+    "page 123-456-7890",
+    "order number 717-555-0202",
+]
+
+
+def test_field_on_held_out_rows():
+    field, found, wrong, missed = pii_crf.fitted(), 0, 0, 0
+    for row in HELD_OUT:
+        text, spans = pii_crf.parse(row)
+        base, added = pii_crf.spans_of_texts([text], field)[0]
+        got, wanted = {*base, *added}, {*spans}
+        found, wrong, missed = found + len(got & wanted), wrong + len(got - wanted), missed + len(wanted - got)
+    assert (found, wrong, missed) == (16, 0, 0)
+
+
+def test_spelt_out_addresses_reach_the_field_in_a_column(spark):
+    texts = ["jane [AT] example [DOT] com", "write to tom at shop dot org please", "a clean text", None, "at dot at", "x" * 100_000 + " dot"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii_crf.find(docs, pii_crf.fitted()).collect()}
+    assert found == {0: "email:0:27", 1: "email:9:28", 2: "", 3: "", 4: "", 5: ""}
+
+
 def test_viterbi_is_the_best_path():
     field = pii_crf.fitted()
     chain = pii_crf._windows([pii_crf._shape(t) for t in ["a", " ", "(", "555", ")"]])
