@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import schema
@@ -69,7 +71,14 @@ def to_messages(df: DataFrame) -> DataFrame:
     return df.select(F.expr("uuid()").alias("key"), message_value(df).alias("value"))
 
 
-def parsed_as(value: Column, kind: str) -> Column:
-    """A text under a type, by the parser that reads CSV files; what does not parse becomes null."""
-    record = F.to_csv(F.struct(value.alias("field")), QUOTING)
-    return F.from_csv(record, f"field {kind}", QUOTING)["field"]
+def parsed_fields(texts: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
+    """The fields by name, text columns under their types by the parser that reads CSV files, all of a
+    row at once; what does not parse becomes null."""
+    held = {name.lower(): kind for name, kind in texts.dtypes}
+    parsed = {name: kind for name, kind in fields if kind.lower() != held[name.lower()]}
+    if not parsed:
+        return texts.select(*[name for name, _ in fields])
+    ddl = ", ".join(f"{name} {kind}" for name, kind in parsed.items())
+    record = F.from_csv(F.to_csv(F.struct(*parsed), QUOTING), ddl, QUOTING)
+    typed = texts.select(*[name for name, _ in fields if name not in parsed], record.alias("_parsed"))
+    return typed.select(*[F.col(f"_parsed.{name}" if name in parsed else name).alias(name) for name, _ in fields])

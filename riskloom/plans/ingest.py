@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskloom import schema
 from riskloom.operators.cleaning import clean_accidents
-from riskloom.operators.parsing import parsed_as
+from riskloom.operators.parsing import parsed_fields
 from riskloom.sources.tables import read_raw_accidents, write_table
 
 #: Windows and replays over a stretch of time read the part of the cleaned table that holds it.
@@ -33,10 +33,4 @@ def clean_file(
 
 def typed(cleaned: DataFrame) -> DataFrame:
     """The cleaned text columns under their types, as reading the cleaned CSV gives them."""
-    kinds = dict(cleaned.dtypes)
-    return cleaned.select(
-        *[
-            (parsed_as(F.col(name), kind) if kinds[name] != kind.lower() else F.col(name)).alias(name)
-            for name, kind in schema.ACCIDENT_FIELDS
-        ]
-    )
+    return parsed_fields(cleaned, schema.ACCIDENT_FIELDS)

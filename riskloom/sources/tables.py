@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom import schema
-from riskloom.operators.parsing import QUOTING, TIME_FORMATS, parsed_as
-from riskloom.session import settings
+from riskloom.operators.parsing import QUOTING, TIME_FORMATS, parsed_fields
+from riskloom.session import fresh_folder, remove_folder, settings
 from riskloom.sources import quoted
 
 # Rows in a file of a CSV table.
@@ -90,12 +90,7 @@ def read_accidents(
         return read_csv(spark, path, schema.ACCIDENT_DDL, whole_files=whole_files)
     # As text first, so that a field that does not parse is told from a field out of place.
     fields = read_text_fields(spark, path, multi_line=False)
-    return fields.select(
-        *[
-            (F.col(name) if kind == "STRING" else parsed_as(F.col(name), kind)).alias(name)
-            for name, kind in schema.ACCIDENT_FIELDS
-        ]
-    )
+    return parsed_fields(fields, schema.ACCIDENT_FIELDS)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

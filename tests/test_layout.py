@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from riskloom import schema
+from riskloom.operators.parsing import parsed_fields
 from riskloom.plans import training
 from riskloom.session import settings
 from riskloom.sources.predictions import read_predictions, with_day
@@ -146,3 +147,25 @@ def test_settings_come_back(spark):
             raise KeyError
     assert session.conf.get("spark.sql.shuffle.partitions") == before
     assert session.conf.get("riskloom.none", None) is None
+
+
+def test_clustered_rows_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    table = spark.range(0, 5000, numPartitions=4).mapInArrow(counted, "id long")
+    write_table(table, str(tmp_path / "once.parquet"), cluster_by=["id"])
+    assert made.value == 5000 == spark.read.parquet(str(tmp_path / "once.parquet")).count()
+
+
+def test_a_row_is_parsed_at_once(spark):
+    texts = spark.createDataFrame([("7", " 8 ", '5"', None, "x\ny"), ("z", "", "1.5", "2024-01-02 03:04:05", None)], "a STRING, b STRING, c STRING, d STRING, e STRING")
+    fields = [("e", "STRING"), ("d", "TIMESTAMP"), ("c", "DOUBLE"), ("b", "DOUBLE"), ("a", "INT")]
+    found = parsed_fields(texts, fields)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    plain = [(r.e, r.d and str(r.d), r.c, r.b, r.a) for r in found.collect()]
+    assert plain == [("x\ny", None, None, 8.0, 7), (None, "2024-01-02 03:04:05", 1.5, None, None)]
