@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.sources import quoted
 from riskloom.sources.tables import read_csv, read_csv_inferred, read_text_fields, write_csv
 
-from helpers import rows
+from helpers import final_plan, rows
 
 DDL = "n INT, text STRING, more STRING"
 
@@ -108,3 +108,18 @@ def test_no_task_reads_a_whole_file(pieces, tmp_path):
     path = written(tmp_path / "b.csv", made(9, 300))
     lines = quoted._lines(pieces, path).groupBy("block").count().collect()
     assert len(lines) > 20 and max(r["count"] for r in lines) < 40
+
+
+def test_records_within_a_split_are_not_shuffled(pieces, tmp_path):
+    path = written(tmp_path / "w.csv", made(12, 300))
+    plan = final_plan(quoted.quoted_records(pieces, path))
+    scan = plan.split("MapInArrow", 1)[1].split("BroadcastExchange", 1)[0]
+    assert "Scan text" in scan and "Exchange" not in scan and "Sort" not in scan
+
+
+def test_tasks_that_scan_many_splits(pieces, tmp_path):
+    path = written(tmp_path / "m.csv", made(13, 3000))
+    splits = pieces.read.text(path).rdd.getNumPartitions()
+    assert quoted._lines(pieces, path).rdd.getNumPartitions() < splits / 2
+    assert rows(read_csv(pieces, path, DDL)) == rows(read_csv(pieces, path, DDL, whole_files=True))
+    assert rows(read_csv(pieces, path, DDL).select("n")) == [(k,) for k in sorted(range(3000), key=lambda k: repr((k,)))]
