@@ -106,13 +106,18 @@ def write_table(
 
     ``cluster_by`` deals the rows by ranges of these columns and sorts each file, so that readers of a
     stretch of the first one pass over the other files and row groups of a Parquet table. Name a key
-    after it: the key splits a value that very many rows share.
+    after it: the key splits a value that very many rows share. The rows are written once before, as
+    the pass that finds the ranges would else make them a second time.
     """
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    if path.rstrip("/").endswith(".parquet"):
-        # Spark's own form of a time, 96 bits wide, has no least and largest value in the file.
-        with settings(df.sparkSession, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+    # Spark's own form of a time, 96 bits wide, has no least and largest value in the file.
+    with settings(df.sparkSession, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+        if cluster_by:
+            made = fresh_folder(df.sparkSession, "unclustered")
+            df.write.parquet(made)
+            df = df.sparkSession.read.parquet(made).repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        if path.rstrip("/").endswith(".parquet"):
             df.write.mode(mode).parquet(path)
-    else:
-        write_csv(df, path, mode)
+        else:
+            write_csv(df, path, mode)
+    if cluster_by:
+        remove_folder(df.sparkSession, made)
