@@ -17,10 +17,11 @@ broadcast or collected, and all that moves grows with the input.
 A word with more than ``SHARD_TOKENS`` training tokens is split by the word before it. The blocks'
 distinct bigrams after such words are counted over all blocks before, and each part gets the counts
 of those it asks for. The distinct trigrams after a pair that fills a shard by itself are counted so
-as well, and the blocks score its tokens themselves. The words and pairs so frequent, less than one
-for each ``SHARD_TOKENS`` tokens, are collected. The two discounts come from the distinct bigrams and
-trigrams drawn by hash among all, all of them up to ``DISCOUNT_SAMPLE`` tokens. So scores depend
-neither on shards nor on blocks.
+as well, and its tokens are scored from their block's own row. The words and pairs so frequent, less
+than one for each ``SHARD_TOKENS`` tokens, are collected. The two discounts come from the counts of all
+distinct bigrams and trigrams: the shards go over their tokens twice, first to tell how many they count
+once and twice, then to score, and both read the same shuffle. So scores depend neither on shards nor
+on blocks.
 
 Defined results: a null or empty text is the end token alone; repeated rows are scored each on
 their own; a row without ID trains or not as its hash says; without training text every token has
@@ -40,14 +41,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.batches import LOWER, NOT_SPACE, by_shard, hash_slices, mixed, run_starts, text_groups, words_of
+from riskloom.llm.batches import LOWER, NOT_SPACE, by_shard, free_memory, hash_slices, mixed, run_starts, text_groups, words_of
 from riskloom.llm.elias_fano import EliasFano
 from riskloom.session import fresh_folder
 
 BLOCK_TOKENS = 3_000_000
 SHARD_TOKENS = 1_500_000
 VOCABULARY_SHARD = 3_000_000
-DISCOUNT_SAMPLE = 1_000_000
 #: Quantised values to a power of ten.
 STEPS = 2048
 #: A document's sum in one shard is told in steps of this part of log10, far below those.
@@ -276,9 +276,10 @@ def _blocks(docs: DataFrame, kind: str, limit: int) -> DataFrame:
                 size += len(hashes)
                 if size >= limit:
                     yield _block(number, held)
-                    number, held, size = number + 1, [], 0
+                    number, size = number + 1, 0
         if held:
             yield _block(number, held)
+        free_memory()
 
     return docs.mapInArrow(run, _BLOCK.format(id=kind))
 
@@ -299,7 +300,11 @@ def _block(number: int, held: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndar
     ids = pa.concat_arrays([h[0] for h in held])
     trains = pa.concat_arrays([h[1] for h in held])
     hashes, lengths = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
-    words, places = np.unique(hashes, return_inverse=True)
+    held.clear()
+    words = np.unique(hashes)
+    places = np.empty(len(hashes), np.int32)
+    for a in range(0, len(hashes), _SLICE):
+        places[a : a + _SLICE] = np.searchsorted(words, hashes[a : a + _SLICE])
     train = np.repeat(trains.to_numpy(zero_copy_only=False), lengths)
     counts = np.bincount(places[train], minlength=len(words))
     one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
@@ -429,44 +434,12 @@ def _block_tokens(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
     return words, tokens, np.cumsum(lengths) - lengths, np.repeat(trains, lengths)
 
 
-def _discounts(blocks: DataFrame, n: int, sample: int = DISCOUNT_SAMPLE) -> tuple[float, float]:
-    """Of bigrams and trigrams, by the counts of those drawn by hash."""
-    limit = np.uint64(min((1 << 64) - 1, (1 << 64) * sample // max(n, 1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                words, tokens, firsts, train = _block_tokens(batch, k)
-                train[firsts] = False
-                first = np.zeros(len(tokens), bool)
-                first[firsts] = True
-                at = np.flatnonzero(train)
-                drawn: dict[int, list[np.ndarray]] = {2: [], 3: []}
-                for part in np.array_split(at, len(at) // _SLICE + 1):
-                    w2 = words[tokens[part - 1]]
-                    w1 = np.where(first[part - 1], _BEFORE, words[tokens[part - 2]])
-                    for order, before in ((2, w2), (3, _joint(w1, w2))):
-                        keys = _joint(before, words[tokens[part]])
-                        drawn[order].append(keys[keys <= limit])
-                for order, parts in drawn.items():
-                    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), order, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)],
-                        ["n", "key", "count"],
-                    )
-
-    drawn = blocks.select("words", "tokens", "lengths", "trains").mapInArrow(run, "n int, key long, count long")
-    counts = drawn.groupBy("n", "key").agg(F.sum("count").alias("count")).where("count <= 2").groupBy("n", "count").agg(F.count("*").alias("kinds"))
-    found = {(r["n"], r["count"]): r["kinds"] for r in counts.collect()}
-    return tuple(_discount_of(found.get((k, 1), 0), found.get((k, 2), 0)) for k in (2, 3))
-
-
 def _counted(
     blocks: DataFrame, grams: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], shards: int, frequent: int
 ) -> DataFrame:
     """block, shard, data (training counts of the block's distinct keys in the shard), and on one row of
-    each shard ``often``: the keys with more than ``frequent``, their counts, and the kinds of each
-    word or pair."""
+    each shard ``often``: the keys with more than ``frequent``, their counts, and for each word or pair
+    its kinds and how many of them occur once and twice."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -492,11 +465,12 @@ def _counted(
             keys = [_sums(p[0]) for p in parts]
             every, first, places = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             counts = np.bincount(places, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-            kinds = np.bincount(np.concatenate([p[2] for p in parts])[first[counts > 0]].astype(np.int64))
+            which = np.concatenate([p[2] for p in parts])[first].astype(np.int64)
+            kinds = [np.bincount(which[some]) for some in (counts > 0, counts == 1, counts == 2)]
             big = np.flatnonzero(counts > frequent)
             cuts = np.cumsum([0, *map(len, keys)])
             data = [pack(counts[places[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-            often = [pack(every[big], counts[big], kinds)] + [b""] * (len(rows) - 1)
+            often = [pack(every[big], counts[big], *kinds)] + [b""] * (len(rows) - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[1] for r in rows], pa.int64()), pa.array([shard] * len(rows), pa.int64()),
@@ -510,28 +484,30 @@ def _counted(
 
 
 def _often(answers: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted keys, their counts, kinds of n words or pairs) that the shards noted."""
+    """(sorted keys, their counts, three rows of n words or pairs: their kinds, those that occur once and
+    those that occur twice) that the shards noted."""
     parts = [unpack(r[0]) for r in answers.where("length(often) > 0").select("often").collect()]
-    kinds = np.zeros(n, np.int64)
+    kinds = np.zeros((3, n), np.int64)
     for p in parts:
-        kinds[: len(p[2])] += p[2].astype(np.int64)
+        for row, own in zip(kinds, p[2:]):
+            row[: len(own)] += own.astype(np.int64)
     none = np.zeros(0, np.uint64)
     keys = np.concatenate([none, *(p[0] for p in parts)])
     order = np.argsort(keys)
     return keys[order], np.concatenate([none, *(p[1] for p in parts)])[order].astype(np.int64), kinds
 
 
-def _sent(
-    joined: DataFrame, kind: str, n: int, v: int, shards: int, shard_tokens: int, frequent: Frequent, discounts: tuple[float, float]
-) -> DataFrame:
+def _sent(joined: DataFrame, kind: str, n: int, v: int, shards: int, shard_tokens: int, frequent: Frequent) -> DataFrame:
     """shard, block, data: each block's tokens by the shard of the word before, and under a shard of
-    its own, below 0, what the block knows by itself."""
-    schema = f"shard long, block long, data binary, ids array<{kind}>, trains array<boolean>"
+    its own, below 0, what the block knows by itself; with it ``own``, the counts of its trigrams that no
+    shard scores."""
+    schema = f"shard long, block long, data binary, own binary, ids array<{kind}>, trains array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 yield from messages(batch, k)
+                free_memory()
 
     def messages(batch: pa.RecordBatch, k: int) -> Iterator[pa.RecordBatch]:
         block = batch.column(0)[k].as_py()
@@ -548,8 +524,9 @@ def _sent(
         start = log_p1[tokens[firsts]]
         at = np.ones(len(tokens), bool)
         at[firsts] = False
-        kinds, count2 = np.zeros(len(counts), np.int64), np.zeros(len(tokens), np.int64)
+        kinds, count2, apart = np.zeros(len(counts), np.int64), None, b""
         if len(frequent.words):
+            count2 = np.zeros(len(tokens), np.int64)
             words = _sums(unpack(batch.column(6)[k].as_py())[0])
             which = _place(words, frequent.words)
             kinds[which >= 0] = frequent.word_kinds[which[which >= 0]]
@@ -558,46 +535,57 @@ def _sent(
             count2[near] = _counts_of(answers, 2)[of]
             if len(frequent.pairs):
                 own, keys, which = frequent.trigrams(words, tokens, firsts)
-                _, of = np.unique(keys, return_inverse=True)
-                values = _frequent_scores(
-                    _counts_of(answers, 3)[of], frequent.pair_counts[which], frequent.pair_kinds[which], count2[own],
-                    counts[tokens[own - 1]], kinds[tokens[own - 1]], log_p1[tokens[own]], discounts,
+                _, first, of = np.unique(keys, return_index=True, return_inverse=True)
+                after, which = own[first], which[first]
+                before = tokens[after - 1]
+                per_doc = np.bincount(doc[own], minlength=len(lengths))
+                often, ranks = _ranked(of, len(first))
+                apart = pack(
+                    _counts_of(answers, 3), frequent.pair_counts[which], frequent.pair_kinds[which], count2[after],
+                    counts[before], kinds[before], counts[tokens[after]], often, ranks, per_doc,
                 )
-                start = start + np.bincount(doc[own], weights=values, minlength=len(lengths))
                 at[own] = False
             del near, keys, of
         head = np.stack([base, known, lengths, start]).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1 - block], pa.int64()), pa.array([block], pa.int64()), pa.array([head], pa.binary()), ids, trains],
-            ["shard", "block", "data", "ids", "trains"],
-        )
-        at = np.flatnonzero(at)
+            [
+                pa.array([-1 - block], pa.int64()), pa.array([block], pa.int64()), pa.array([head], pa.binary()),
+                pa.array([apart], pa.binary()), ids, trains,
+            ],
+            ["shard", "block", "data", "own", "ids", "trains"],
+        )
+        at = np.flatnonzero(at).astype(np.int32)
         if not len(at):
             return
-        w3, w2 = tokens[at], tokens[at - 1]
-        w1 = np.where(at - 1 == firsts[doc[at]], -1, tokens[np.maximum(at - 2, 0)])
-        of = _token_shards(w2, w1, numbers, counts, shards, shard_tokens)
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(shards + 1))
+        # Two before each token, -1 where there is no such word.
+        earlier = np.concatenate((np.full(2, -1, np.int32), tokens[:-2]))
+        earlier[np.minimum(firsts + 1, len(tokens) - 1)[lengths > 1]] = -1
+        of = np.empty(len(at), np.int32 if shards > 65536 else np.uint16)
+        for a in range(0, len(at), _SLICE):
+            some = at[a : a + _SLICE]
+            of[a : a + _SLICE] = _token_shards(tokens[some - 1], earlier[some], numbers, counts, shards, shard_tokens)
+        order = np.argsort(of, kind="stable").astype(np.int32)
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=shards))))
+        del of
         some = np.flatnonzero(np.diff(cuts)).tolist()
         train = batch.column(2)[k].values.to_numpy(zero_copy_only=False)
 
-        def split(used: np.ndarray, place: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def split(used: np.ndarray, place: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if not kinds[used].any():
                 return np.zeros(0, np.int64), np.zeros(0, np.int64)
             _, first, _ = _split_pairs(kinds[used], place[0], place[2])
-            return kinds[used], pairs[first]
+            return kinds[used], count2[own[first]]
 
         data = []
         for s in some:
-            own = order[cuts[s] : cuts[s + 1]]
-            triple = np.concatenate((w2[own], w1[own], w3[own]))
+            own = at[order[cuts[s] : cuts[s + 1]]]
+            triple = np.concatenate((tokens[own - 1], earlier[own], tokens[own]))
             used, place = np.unique(triple, return_inverse=True)
             none = int(used[0] == -1)
             used = used[none:]
             place = (place + 1 - none).reshape(3, -1)  # 0 is no word
             # Of the block's documents only those with a token here, so that all messages grow with tokens.
-            of_doc = doc[at[own]]
+            of_doc = doc[own]
             begins = run_starts(of_doc)
             docs = of_doc[begins]
             per_doc = np.diff(np.append(begins, len(own)))
@@ -607,16 +595,16 @@ def _sent(
             data.append(
                 pack(
                     _steps(numbers[used]), np.where(asked, counts[used], 0), often, *ranks, per_doc, train[docs],
-                    *split(used, place, count2[at[own]]), _steps(docs.astype(np.uint64)),
+                    *split(used, place, own), _steps(docs.astype(np.uint64)),
                 )
             )
         m = len(some)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(some, pa.int64()), pa.array([block] * m, pa.int64()), pa.array(data, pa.binary()),
-                pa.nulls(m, ids.type), pa.nulls(m, trains.type),
+                pa.nulls(m, pa.binary()), pa.nulls(m, ids.type), pa.nulls(m, trains.type),
             ],
-            ["shard", "block", "data", "ids", "trains"],
+            ["shard", "block", "data", "own", "ids", "trains"],
         )
 
     return joined.select("block", "ids", "trains", "lengths", "tokens", "answers", "words").mapInArrow(run, schema)
@@ -670,28 +658,102 @@ def _token_shards(
     return (mixed(key) % np.uint64(shards)).astype(np.int64)
 
 
-def _scored(sent: DataFrame, kind: str, n: int, v: int, shards: int, discounts: tuple[float, float]) -> DataFrame:
-    schema = f"block long, data binary, ids array<{kind}>, trains array<boolean>"
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """(shard, rows) of consecutive rows of one shard; blocks' own rows each for itself."""
+    held: list[pa.RecordBatch] = []
+    shard = None
+    for batch in batches:
+        for k in range(batch.num_rows):
+            now = batch.column(0)[k].as_py()
+            if held and (now != shard or now < 0):
+                yield shard, held
+                held = []
+            shard = now
+            held.append(batch.slice(k, 1))
+    if held:
+        yield shard, held
+
+
+def _kinds_found(dealt: DataFrame) -> DataFrame:
+    """ones2, twos2, ones3, twos3: how many distinct bigrams, but for those after words that several
+    shards share, and trigrams of each shard occur once and twice in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        shard = None
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                now = row.column(0)[0].as_py()
-                if now < 0:
-                    yield row.select(["block", "data", "ids", "trains"])
-                    continue
-                if now != shard and held:
-                    yield _shard_scores(held, n, v, discounts)
-                    held = []
-                shard = now
-                held.append(row)
-        if held:
-            yield _shard_scores(held, n, v, discounts)
+        for shard, rows in _by_shard(batches):
+            if shard >= 0:
+                found = [pa.array([x], pa.int64()) for x in _shard_kinds(rows)]
+                yield pa.RecordBatch.from_arrays(found, ["ones2", "twos2", "ones3", "twos3"])
+        free_memory()
+
+    # All columns, so that this reads the same shuffle as the scoring.
+    return dealt.mapInArrow(run, "ones2 long, twos2 long, ones3 long, twos3 long")
+
+
+def _once_and_twice(keys: np.ndarray) -> tuple[int, int]:
+    """How many distinct keys occur once and twice."""
+    keys.sort()
+    starts = run_starts(keys)
+    kinds = np.bincount(np.minimum(np.diff(np.append(starts, len(keys))), 3), minlength=3)
+    return int(kinds[1]), int(kinds[2])
+
+
+def _shard_kinds(rows: list[pa.RecordBatch]) -> tuple[int, int, int, int]:
+    numbers, triples, shared = [], [], []
+    for r in rows:
+        p = unpack(r.column("data")[0].as_py())
+        train = np.repeat(p[7].astype(bool), p[6].astype(np.int64))
+        numbers.append(_sums(p[0]))
+        triples.append(np.stack([_unranked(p[2], x[train]).astype(np.int32) for x in p[3:6]]))
+        shared.append(p[8] > 0 if len(p[8]) else np.zeros(len(p[0]), bool))
+    every, place = np.unique(np.concatenate(numbers), return_inverse=True)
+    place = (place + 1).astype(np.int32)
+    size = len(every) + 1
+    split = np.zeros(size, bool)
+    split[place[np.concatenate(shared)]] = True
+    cuts = np.cumsum([0, *map(len, numbers)])
+    for k, triple in enumerate(triples):
+        triples[k] = np.concatenate((np.array([_NONE], np.int32), place[cuts[k] : cuts[k + 1]]))[triple]
+    w2, w1, w3 = np.concatenate(triples, axis=1).astype(np.int64)
+    del triples
+    pairs = _once_and_twice((w2 * size + w3)[~split[w2]])
+    contexts = w2 * size + w1
+    if size**3 >= 1 << 63:
+        contexts = np.unique(contexts, return_inverse=True)[1]
+    return *pairs, *_once_and_twice(contexts * size + w3)
 
-    return by_shard(sent, shards).mapInArrow(run, schema)
+
+def _scored(dealt: DataFrame, found: DataFrame, kind: str, n: int, v: int) -> DataFrame:
+    """block, data, ids, trains: each document's sum in each shard, and each block's own row. ``found``
+    is one row with the numbers of all distinct bigrams and trigrams that occur once and twice."""
+    schema = f"block long, data binary, ids array<{kind}>, trains array<boolean>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, rows in _by_shard(batches):
+            ones2, twos2, ones3, twos3 = (rows[0].column(c)[0].as_py() or 0 for c in ("ones2", "twos2", "ones3", "twos3"))
+            discounts = _discount_of(ones2, twos2), _discount_of(ones3, twos3)
+            if shard < 0:
+                (row,) = rows
+                data = _with_own(row.column("data")[0].as_py(), row.column("own")[0].as_py(), n, v, discounts)
+                columns = [row.column("block"), pa.array([data], pa.binary()), row.column("ids"), row.column("trains")]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "data", "ids", "trains"])
+            else:
+                yield _shard_scores(rows, n, v, discounts)
+        free_memory()
+
+    # A join's optimiser drops the order of its input.
+    return dealt.crossJoin(F.broadcast(found)).sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
+def _with_own(head: bytes, own: bytes, n: int, v: int, discounts: tuple[float, float]) -> bytes:
+    """A block's own row with the scores of the trigrams that no shard scores."""
+    if not own:
+        return head
+    *counts, often, ranks, per_doc = (a.astype(np.int64) for a in unpack(own))
+    log_p1 = np.log10((counts.pop() + 0.5) / (n + 0.5 * (v + 1)))
+    values = _frequent_scores(*counts, log_p1, discounts)[_unranked(often, ranks)]
+    rows = np.frombuffer(head, "<f8").reshape(4, -1).copy()
+    rows[3] += np.bincount(np.repeat(np.arange(len(per_doc)), per_doc), weights=values, minlength=len(per_doc))
+    return rows.tobytes()
 
 
 def _distinct(w2: np.ndarray, w1: np.ndarray, w3: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -712,7 +774,7 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
     those of its block."""
     parts = []
     for r in rows:
-        p = unpack(r.column(2)[0].as_py())
+        p = unpack(r.column("data")[0].as_py())
         p[3:6] = [x.astype(np.int32) for x in p[3:6]]
         parts.append(p)
     numbers = [_sums(p[0]) for p in parts]
@@ -757,8 +819,8 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
         values = scores[inverse[at : at + len(own)]]
         at += len(own)
         out.append(_sums_message(p[10], np.bincount(own, weights=values, minlength=len(p[6]))))
-    nothing = [pa.nulls(len(rows), rows[0].column(c).type) for c in (3, 4)]
-    block = pa.concat_arrays([r.column(1) for r in rows])
+    nothing = [pa.nulls(len(rows), rows[0].column(c).type) for c in ("ids", "trains")]
+    block = pa.concat_arrays([r.column("block") for r in rows])
     return pa.RecordBatch.from_arrays(
         [block, pa.array(out, pa.binary()), *nothing], ["block", "data", "ids", "trains"]
     )
@@ -833,7 +895,6 @@ def score(
     n_words, n_tokens, n, n_texts = (int(x or 0) for x in sums)
     answers = _kept(_vocabulary(blocks, max(1, -(-n_words // vocabulary_shard)), shard_tokens), "lm-vocabulary")
     v = int(answers.agg(F.sum("known")).head()[0] or 0)
-    discounts = _discounts(blocks, n)
     columns = ["block", "shard", "data"]
     level = lambda rows, k: rows.select(F.lit(k).alias("level"), *columns)
     every = level(answers, 1)
@@ -841,21 +902,28 @@ def score(
     words = [np.frombuffer(r[0], np.uint64) for r in answers.where("length(often) > 0").select("often").collect()]
     words = np.sort(np.concatenate([none, *words, np.array([_BEFORE] if n_texts > shard_tokens else none, np.uint64)]))
     frequent = Frequent(words, none, none, none, none)
+    counted_kinds = [0] * 4  # of the bigrams and trigrams that no shard has all of: those found once, twice
     if len(words):
         counted = max(1, -(-n_tokens // vocabulary_shard))
         found = _kept(_counted(blocks, frequent.bigrams, counted, shard_tokens), "lm-bigrams")
         pairs, pair_counts, word_kinds = _often(found, len(words))
         every = every.union(level(found, 2))
-        frequent = Frequent(words, word_kinds, pairs, none, pair_counts)
+        counted_kinds[:2] = word_kinds[1:, words != _BEFORE].sum(axis=1).tolist()
+        frequent = Frequent(words, word_kinds[0], pairs, none, pair_counts)
         if len(pairs):
             found = _kept(_counted(blocks, frequent.trigrams, counted, shard_tokens), "lm-trigrams")
             every = every.union(level(found, 3))
-            frequent = Frequent(words, word_kinds, pairs, _often(found, len(pairs))[2], pair_counts)
+            pair_kinds = _often(found, len(pairs))[2]
+            counted_kinds[2:] = pair_kinds[1:].sum(axis=1).tolist()
+            frequent = Frequent(words, word_kinds[0], pairs, pair_kinds[0], pair_counts)
     grouped = every.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "data")).alias("answers"))
     shards = max(1, -(-6 * n_tokens // (5 * shard_tokens)))
     kept = blocks if len(words) else blocks.withColumn("words", F.lit(b""))
-    sent = _sent(kept.join(grouped, "block"), kind, n, v, shards, shard_tokens, frequent, discounts)
-    return _documents(_scored(sent, kind, n, v, shards, discounts), kind, n)
+    sent = _sent(kept.join(grouped, "block"), kind, n, v, shards, shard_tokens, frequent)
+    dealt = by_shard(sent, shards)
+    names = ("ones2", "twos2", "ones3", "twos3")
+    kinds = _kinds_found(dealt).agg(*[(F.coalesce(F.sum(c), F.lit(0)) + k).alias(c) for c, k in zip(names, counted_kinds)])
+    return _documents(_scored(dealt, kinds, kind, n, v), kind, n)
 
 
 def _kept(rows: DataFrame, name: str) -> DataFrame:

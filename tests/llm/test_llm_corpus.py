@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from riskloom.llm import elias_fano, language_id, ngram_trie, simhash, suffix_dedup, url_filter, warc
 from riskloom.llm.queries import remainder_of_id
 
+from helpers import final_plan
+
 
 def by_id(rows, names):
     return sorted((tuple(r[n] for n in names) for r in rows), key=repr)
@@ -180,6 +182,29 @@ def test_scores_against_dictionaries(spark, edge, options):
         assert got[i] == pytest.approx(expected, abs=0.002 + tokens * 0.001)
 
 
+@pytest.mark.parametrize("options", [{}, {"block_tokens": 500, "shard_tokens": 40, "vocabulary_shard": 300}])
+def test_discounts_come_from_all_bigrams_and_trigrams(spark, monkeypatch, options):
+    rng = np.random.default_rng(11)
+    rows = [(k, " ".join(f"w{x}" for x in rng.zipf(1.3, rng.integers(0, 60)) % 200)) for k in range(200)] + [(900 + k, "a b c a b") for k in range(80)]
+    kept, made = [], ngram_trie._scored
+    monkeypatch.setattr(ngram_trie, "_scored", lambda dealt, found, *a: kept.append(found) or made(dealt, found, *a))
+    docs = scored(spark.createDataFrame(rows, "doc_id long, text string"), **options)
+    train = [[*t.split(), None] for i, t in rows if brute.remainder(i) != 1]
+    two = collections.Counter(p for ws in train for p in zip(ws, ws[1:]))
+    three = collections.Counter(p for ws in train for p in zip(["before", *ws], ws, ws[1:]))
+    kinds = [collections.Counter(grams.values()) for grams in (two, three)]
+    assert tuple(kept[0].head()) == tuple(k[n] for k in kinds for n in (1, 2))
+    assert docs.count() == len(rows)
+
+
+def test_discounts_and_scores_read_one_shuffle(spark):
+    docs = spark.createDataFrame([(k, f"a b c{k} a b") for k in range(40)], "doc_id long, text string")
+    found = scored(docs, block_tokens=50, shard_tokens=40, vocabulary_shard=300)
+    found.collect()
+    plan = final_plan(found)
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]
+
+
 def test_messages_are_bounded_by_tokens(spark, monkeypatch):
     kept = {}
     for name in ("_scored", "_documents"):
