@@ -57,6 +57,7 @@ END_HASH = np.uint64(0xE4D0F7EA7E4D0001)
 #: Stands before a text's first token.
 _BEFORE = np.uint64(0xB3F04E5C1D2A0003)
 _SLICE = 1 << 18
+_LONG_PLANE = 1 << 11
 _K = np.uint64(0x9E3779B97F4A7C15)
 _NONE = 0  # the place of "no word" there
 
@@ -65,25 +66,40 @@ _NONE = 0  # the place of "no word" there
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Non-negative integers as byte planes, compressed."""
-    out = [np.array([len(arrays)], "<u4").tobytes()]
+    """Non-negative integers as byte planes, compressed: long planes each for itself, since their bytes
+    are spread in different ways, the others together."""
+    zip_, head, short, long = zstandard.ZstdCompressor(level=3).compress, [len(arrays)], [], []
     for a in arrays:
         a = a.astype("<u8")
         width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-        out.append(np.array([len(a), width], "<u4").tobytes())
-        out.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
+        head += len(a), width
+        planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T)
+        if len(a) < _LONG_PLANE:
+            short.append(planes.tobytes())
+        else:
+            long += map(zip_, planes)
+    head += map(len, long)
+    first = zip_(b"".join([np.array(head, "<u4").tobytes(), *short]))
+    return b"".join([len(first).to_bytes(4, "little"), first, *long])
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    count, at, out = int(np.frombuffer(raw, "<u4", 1)[0]), 4, []
-    for _ in range(count):
-        n, width = (int(x) for x in np.frombuffer(raw, "<u4", 2, at))
+    unzip, end = zstandard.ZstdDecompressor().decompress, 4 + int.from_bytes(data[:4], "little")
+    raw = unzip(data[4:end])
+    count = int(np.frombuffer(raw, "<u4", 1)[0])
+    shapes = np.frombuffer(raw, "<u4", 2 * count, 4).reshape(-1, 2).tolist()
+    sizes = np.frombuffer(raw, "<u4", sum(width for n, width in shapes if n >= _LONG_PLANE), 4 + 8 * count)
+    at, size, out = 4 + 8 * count + 4 * len(sizes), iter(sizes.tolist()), []
+    for n, width in shapes:
         planes = np.zeros((n, 8), np.uint8)
-        planes[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 8).reshape(width, n).T
+        if n < _LONG_PLANE:
+            planes[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+            at += n * width
+        else:
+            for k in range(width):
+                begin, end = end, end + next(size)
+                planes[:, k] = np.frombuffer(unzip(data[begin:end]), np.uint8)
         out.append(planes.view("<u8").reshape(-1))
-        at += 8 + n * width
     return out
 
 
@@ -181,14 +197,19 @@ class NGramTrie:
         d2, d3 = discounts or (_discount(pair_counts), _discount(counts))
         weight2 = d2 * kinds / np.maximum(totals, 1)
         p2 = (pair_counts - d2) / totals[pair_word] + weight2[pair_word] * p1[pair_w3]
+        del pair_word, pair_w3, pair_counts, p1
         starts = np.concatenate(([0], np.cumsum(held)))
         # Contexts (w2, w1), and under each its successors by their place under w2.
+        place = (pair_of - starts[of_word]).astype(np.int32)
         context_keys, context_of = np.unique(of_word * size + w1, return_inverse=True)
+        context_of = context_of.astype(np.int32)
+        del of_word
         context_totals = np.bincount(context_of, weights=counts)
         context_kinds = np.bincount(context_of)
         weight3 = d3 * context_kinds / np.maximum(context_totals, 1)
         p3 = (counts - d3) / context_totals[context_of] + weight3[context_of] * p2[pair_of]
-        place = pair_of - starts[of_word]
+        tables = {name: quantised(value) for name, value in {"p2": p2, "p3": p3, "weight2": weight2, "weight3": weight3}.items()}
+        del p2, p3, pair_of, context_totals
         ranges = held[context_keys // size] if len(context_keys) else np.zeros(0, np.int64)
         bases = np.concatenate(([0], np.cumsum(ranges)))
         sequences = {
@@ -199,8 +220,6 @@ class NGramTrie:
             "thirds": EliasFano.of(bases[context_of] + place, int(bases[-1]) + 1),
             "third_bases": EliasFano.of(bases, int(bases[-1]) + 1),
         }
-        values = {"p2": p2, "p3": p3, "weight2": weight2, "weight3": weight3}
-        tables = {name: quantised(value) for name, value in values.items()}
         return cls(size, sequences, tables)
 
     def _named(self) -> dict[str, np.ndarray]:
@@ -799,10 +818,11 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
         docs.append(np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc))
         trains.append(np.repeat(p[7].astype(bool), per_doc))
     triples = np.concatenate(triples, axis=1)
-    w2, w1, w3, inverse = _distinct(*triples, len(counts))
-    del triples
+    w2, w1, w3, inverse = (x.astype(np.int32) for x in _distinct(*triples, len(counts)))
+    del triples, place
     seen = np.bincount(inverse[np.concatenate(trains)], minlength=len(w2))
     del trains
+    free_memory()
     log_p1 = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
     some = seen > 0
     pair_w2, pair_w3, pair_counts = np.concatenate(pairs, axis=1)
@@ -813,7 +833,13 @@ def _shard_scores(rows: list[pa.RecordBatch], n: int, v: int, discounts: tuple[f
     split = Split(words, kinds[words], counts[words], pair_w2, pair_w3[first], pair_counts[first])
     with tempfile.TemporaryDirectory() as folder:
         NGramTrie.build(w2[some], w1[some], w3[some], seen[some], log_p1, discounts, split).save(folder)
-        scores = NGramTrie.open(folder).score(w2, w1, w3, log_p1[w3])
+        del seen, some
+        free_memory()
+        trie, scores = NGramTrie.open(folder), np.empty(len(w2))
+        for a in range(0, len(w2), _SLICE):
+            part = slice(a, a + _SLICE)
+            scores[part] = trie.score(w2[part], w1[part], w3[part], log_p1[w3[part]])
+        del trie
     out, at = [], 0
     for p, own in zip(parts, docs):
         values = scores[inverse[at : at + len(own)]]
